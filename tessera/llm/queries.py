@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, sharding
+from . import bpe, exact_dedup, langid, licenses, mixing, secrets, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op4_scan_secrets": secrets.query,
     "op5_mix_sources": mixing.query,
+    "op6_language": langid.query,
+    "op7_byte_bpe": bpe.query,
     "op8_shard": sharding.query,
+    "op9_scan_licenses": licenses.query,
 }
 
 SQL = {
