@@ -1,10 +1,57 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: language ID, exact deduplication, near-duplicate removal, source mixing, tokenising.
 
-from tessera.llm.common import read
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. The first four return
+the columns of documents; the last returns what a trainer's manifest needs of each row.
+"""
 
-ORACLE_SQL = None
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import bpe, exact_dedup, langid, mixing, ngram_join
+from tessera.llm.common import read, written
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that no learned language explains: no letter, or a cross-entropy beyond all calibration."""
+    return langid.keep_identified(docs)
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for the case of A-Z, the one with the largest doc_id."""
+    return exact_dedup.drop_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a Jaccard similarity of 0.8 or more of five-word shingles, the one with the least doc_id."""
+    return ngram_join.keep_one(docs)
 
 
-def run(spark, sf_dir):
-    return read(spark, sf_dir, "documents")
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: 0, 1 or 2 times."""
+    return mixing.sample_mix(docs)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row of the mix."""
+    return bpe.digests(docs, *bpe.installed())
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources", mix_sources),
+    ("byte-level BPE", tokenise),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "pipeline")
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+#: Character models and hash-ordered signatures have no SQL form; tests hold the run against brute force.
+ORACLE_SQL = None

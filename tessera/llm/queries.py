@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, langid, licenses, mixing, secrets, sharding
+from . import bpe, exact_dedup, langid, licenses, mixing, ngram_join, secrets, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_byte_bpe": bpe.query,
     "op8_shard": sharding.query,
     "op9_scan_licenses": licenses.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
 SQL = {
