@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -48,7 +49,8 @@ LOAD = 3
 #: most frequent are held by each task (12 bytes each). Beyond it the order is less telling; results are the same.
 FREQUENT, HELD = 2, 1 << 20
 #: Filters that let pass what may be needed are bit maps of so many 64-bit words (8 MB); if they fill up, more passes, and joins decide.
-FILTER_WORDS = 1 << 20
+_WORD_BITS = 20
+FILTER_WORDS = 1 << _WORD_BITS
 #: A member is far from its centre if it differs in more than so many times the most that a link may differ in.
 FAR = 3
 #: Words whose hashes a worker remembers.
@@ -75,24 +77,40 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles; a shorter text is one shingle, an empty one none."""
-    cut = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not cut:
-        return np.zeros(0, np.uint64)
-    codes = np.array(list(map(_words.__getitem__, cut)), dtype=np.uint64)
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct shingles of each text, sorted, one text after the other, and where each begins
+    (one more entry: the end). A text of fewer words is one shingle, an empty one none."""
+    cut = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    n = np.array([len(c) for c in cut], np.int64)
+    codes = np.fromiter(map(_words.__getitem__, chain.from_iterable(cut)), np.uint64, int(n.sum()))
+    first = np.concatenate(([0], np.cumsum(n)))
+    held = np.where(n >= words, n - words + 1, np.minimum(n, 1))
+    begins = np.concatenate(([0], np.cumsum(held)))
+    at = np.arange(begins[-1]) + np.repeat(first[:-1] - begins[:-1], held)
     with np.errstate(over="ignore"):
-        if len(codes) < words:
-            return _mixed(np.array([xxhash.xxh3_64_intdigest(codes.tobytes(), seed=len(codes))], dtype=np.uint64))
-        out = np.zeros(len(codes) - words + 1, np.uint64)
+        padded = np.concatenate((codes, np.zeros(words, np.uint64)))
+        out = np.zeros(len(at), np.uint64)
         for i in range(words):
-            out = out * _ODD[0] + _mixed(codes[i : len(codes) - words + 1 + i] + _ODD[i % 5])
-        return np.unique(_mixed(out))
+            out = out * _ODD[0] + _mixed(padded[at + i] + _ODD[i % len(_ODD)])
+        out = _mixed(out)
+        for i in np.flatnonzero((n > 0) & (n < words)):
+            out[begins[i]] = xxhash.xxh3_64_intdigest(codes[first[i] : first[i + 1]].tobytes(), seed=int(n[i]))
+    for i in np.flatnonzero(held > 1):
+        out[begins[i] : begins[i + 1]].sort()
+    new = np.ones(len(out), bool)
+    new[1:] = out[1:] != out[:-1]
+    new[begins[:-1][held > 0]] = True
+    return out[new], np.concatenate(([0], np.cumsum(new)))[begins]
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted hashes of one text's distinct shingles."""
+    return shingle_sets([text], words)[0]
 
 
 def set_id(own: np.ndarray) -> int:
     """A 64-bit name of a set; 0 only for the empty set."""
-    return (xxhash.xxh3_64_intdigest(own.tobytes()) or 1) - (1 << 63) if len(own) else 0
+    return ((xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)) or 1) if len(own) else 0
 
 
 def bands(size: int) -> list[int]:
@@ -103,38 +121,90 @@ def bands(size: int) -> list[int]:
     return [b, b + 1] if 5 * size >= 4 * RATIO ** (b + 1) else [b]
 
 
-def cells_of(own: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Signatures of the non-empty cells, how many shingles each has, and the number of cells."""
-    parts = max(1, math.ceil(RATIO ** (band + 1) / LOAD / 2))
-    n = 2 * parts
+def n_cells(band: int) -> int:
+    return 2 * max(1, math.ceil(RATIO ** (band + 1) / LOAD / 2))
+
+
+class Cells:
+    """The non-empty cells of some sets, each in each of its bands: signatures, how many shingles they hold, and which (set, band) they are of."""
+
+    def __init__(self, flat: np.ndarray, begins: np.ndarray) -> None:
+        sizes = np.diff(begins)
+        self.takes = [(i, band) for i in np.flatnonzero(sizes) for band in bands(int(sizes[i]))]
+        owner, band = (np.array([t[x] for t in self.takes], np.int64) for x in (0, 1))
+        self.sizes, self.bands, self.n = sizes[owner], band, np.array([n_cells(b) for b in band.tolist()], np.int64)
+        ends = np.cumsum(self.sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        pick = np.arange(total) + np.repeat(begins[:-1][owner] - (ends - self.sizes), self.sizes)
+        self.base = np.concatenate(([0], np.cumsum(self.n)))
+        with np.errstate(over="ignore"):
+            mixed = _mixed(flat[pick] ^ (np.uint64(0x5851F42D4C957F2D) + np.repeat(band.astype(np.uint64), self.sizes)))
+            cell = (mixed % np.repeat(self.n.astype(np.uint64), self.sizes)).astype(np.int64) + np.repeat(self.base[:-1], self.sizes)
+            content = _mixed(mixed + _ODD[1])
+            held = np.bincount(cell, minlength=self.base[-1])
+            low, high = (np.bincount(cell, (content >> np.uint64(shift)) & np.uint64(0xFFFFFFFF), self.base[-1]).astype(np.uint64) for shift in (0, 32))  # sums of 32-bit halves are exact
+            self.full = np.flatnonzero(held)
+            self.of = np.searchsorted(self.base, self.full, side="right") - 1
+            number = (self.full - self.base[self.of]).astype(np.uint64)
+            self.held = held[self.full]
+            self.signs = _mixed((low + (high << np.uint64(32)))[self.full] ^ _place(number, self.bands[self.of]))
+
+
+def _place(cell: np.ndarray, band: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return _mixed(cell.astype(np.uint64) * _ODD[2] + (band.astype(np.uint64) + np.uint64(1)) * _ODD[3])
+
+
+def signatures(flat: np.ndarray, begins: np.ndarray, often: Callable[[np.ndarray], np.ndarray]) -> list[np.ndarray]:
+    """What each set enumerates; often: how frequent each signature is, coarsely (0 to 63)."""
+    cells = Cells(flat, begins)
+    rank = often(cells.signs).astype(np.uint64) << np.uint64(58) | (63 - np.minimum(cells.held, 63)).astype(np.uint64) << np.uint64(52) | cells.signs >> np.uint64(12)
+    starts = np.searchsorted(cells.of, np.arange(len(cells.takes) + 1))
+    out: list[list[np.ndarray]] = [[] for _ in range(len(begins) - 1)]
+    for i, (owner, band) in enumerate(cells.takes):
+        lo, hi, need = starts[i], starts[i + 1], int(cells.sizes[i]) // 4 + 1
+        out[owner].append(cells.signs[lo:hi][np.argsort(rank[lo:hi], kind="stable")[:need]] if need < hi - lo else cells.signs[lo:hi])
+        if need > hi - lo:  # empty cells come last in the order, by number
+            empty = np.setdiff1d(np.arange(cells.n[i]), cells.full[lo:hi] - cells.base[i], assume_unique=True)[: need - (hi - lo)]
+            out[owner].append(_mixed_once(_place(empty, np.full(len(empty), band))))
+    return [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in out]
+
+
+def _mixed_once(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        mixed = _mixed(own ^ np.uint64(0x5851F42D4C957F2D + band))
-        cell = (mixed % np.uint64(n)).astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        ordered = cell[order]
-        first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        held = np.diff(np.append(first, len(ordered)))
-        content = np.add.reduceat(_mixed(mixed + _ODD[1])[order], first)
-        return _mixed(content ^ _signed(ordered[first], band)), held, n
-
-
-def _signed(cell: np.ndarray, band: int) -> np.ndarray:
-    return _mixed(cell.astype(np.uint64) * _ODD[2] + np.uint64(band + 1) * _ODD[3])
-
-
-def signatures(own: np.ndarray, often: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """The signatures that a set enumerates in its bands; often: how frequent each is, coarsely."""
-    out = []
-    for band in bands(len(own)):
-        signs, held, n = cells_of(own, band)
-        need = len(own) // 4 + 1
-        order = np.lexsort((signs, -held, often(signs)))[:need]
-        out.append(signs[order])
-        if need > len(signs):  # empty cells come last in the order, by number
-            cell = (_mixed(own ^ np.uint64(0x5851F42D4C957F2D + band)) % np.uint64(n)).astype(np.int64)
-            empty = np.setdiff1d(np.arange(n), cell)[: need - len(signs)]
-            out.append(_mixed(_signed(empty, band) + np.uint64(1)))
-    return np.concatenate(out)
+        return _mixed(x + np.uint64(1))
+
+
+def _blocks(batch: pa.RecordBatch, column: int, chars: int = 200_000) -> Iterator[tuple[int, list]]:
+    """Rows of a batch in blocks of about so many characters: where each begins, and its values."""
+    start, held, values = 0, 0, []
+    for i, value in enumerate(batch.column(column)):
+        values.append(value.as_py())
+        held += len(values[-1] or "")
+        if held >= chars:
+            yield start, values
+            start, held, values = i + 1, 0, []
+    if values:
+        yield start, values
+
+
+def _new_sets(texts: list[str | None], seen: set[int]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+    """Shingle sets, their names, and which of them are not empty and not seen before."""
+    flat, begins = shingle_sets(texts)
+    names, new = [], []
+    for i in range(len(texts)):
+        names.append(set_id(flat[begins[i] : begins[i + 1]]))
+        if names[-1] and names[-1] not in seen:
+            seen.add(names[-1])
+            new.append(i)
+    return flat, begins, names, new
+
+
+def _chosen(flat: np.ndarray, begins: np.ndarray, which: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    if len(which) == len(begins) - 1:
+        return flat, begins
+    parts = [flat[begins[i] : begins[i + 1]] for i in which]
+    return np.concatenate(parts) if parts else flat[:0], np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -159,15 +229,12 @@ def _sets(docs: DataFrame) -> DataFrame:
         for batch in batches:
             id_type = batch.column(1).type
             sizes, ids = [], []
-            for text in batch.column(2):
-                own = shingles(text.as_py())
-                sizes.append(len(own))
-                ids.append(set_id(own))
-                if len(own) and ids[-1] not in seen:
-                    seen.add(ids[-1])
-                    for band in bands(len(own)):
-                        signs.append(cells_of(own, band)[0])
-                        held += len(signs[-1])
+            for _, texts in _blocks(batch, 2):
+                flat, begins, names_of, new = _new_sets(texts, seen)
+                sizes += np.diff(begins).tolist()
+                ids += names_of
+                signs.append(Cells(*_chosen(flat, begins, new)).signs)
+                held += len(signs[-1])
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=names)
             if held > 4_000_000:
                 yield frequent(id_type)
@@ -204,12 +271,10 @@ def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
 
         for batch in batches:
             ids, signs = [], []
-            for text in batch.column(0):
-                own = shingles(text.as_py())
-                if len(own) and (name := set_id(own)) not in seen:
-                    seen.add(name)
-                    ids.append(name)
-                    signs.append(signatures(own, often).view(np.int64))
+            for _, texts in _blocks(batch, 0):
+                flat, begins, names_of, new = _new_sets(texts, seen)
+                ids += [names_of[i] for i in new]
+                signs += [x.view(np.int64) for x in signatures(*_chosen(flat, begins, new), often)]
             ends = np.cumsum([0, *map(len, signs)])
             values = np.concatenate(signs) if signs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], names=["set_id", "sigs"])
@@ -218,46 +283,57 @@ def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
 
 
 class Filter:
-    """A bit map of hashes that lets pass all it was made of."""
+    """A bit map of hashed longs that lets pass all it was made of."""
 
     def __init__(self, values: DataFrame, column: str) -> None:
-        spot = F.xxhash64(column)
-        bits = values.select(F.shiftrightunsigned(spot, 64 - int(math.log2(FILTER_WORDS))).alias("w"), F.expr(f"shiftleft(1L, cast(xxhash64({column}) & 63 as int))").alias("b"))
+        bits = values.select(F.shiftrightunsigned(column, 64 - _WORD_BITS).alias("w"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("b"))
         got = bits.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most FILTER_WORDS rows
-        words = np.zeros(FILTER_WORDS, np.int64)
-        words[got.column("w").to_numpy()] = got.column("b").to_numpy()
+        words = np.zeros(FILTER_WORDS, np.uint64)
+        words[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
         self.words = values.sparkSession.sparkContext.broadcast(words)
 
-    def passes(self, column: str) -> Column:
-        words, shift = self.words, np.uint64(64 - int(math.log2(FILTER_WORDS)))
+    def test(self, values: np.ndarray) -> np.ndarray:
+        s = values.astype(np.int64).view(np.uint64)
+        return (self.words.value[s >> np.uint64(64 - _WORD_BITS)] >> (s & np.uint64(63))) & np.uint64(1) == 1
 
+    def passes(self, column: Column) -> Column:
         @F.pandas_udf("boolean")
-        def test(spot: pd.Series) -> pd.Series:
-            s = spot.to_numpy().astype(np.int64).view(np.uint64)
-            return pd.Series((words.value.view(np.uint64)[s >> shift] >> (s & np.uint64(63))) & np.uint64(1) == 1)
+        def test(values: pd.Series) -> pd.Series:
+            return pd.Series(self.test(values.to_numpy()))
 
-        return test(F.xxhash64(column))
+        return test(column)
 
 
 def _buckets(enumerated: DataFrame) -> DataFrame:
-    """sig, set_id, centre of all buckets with two sets or more."""
-    rows = enumerated.select("set_id", F.explode("sigs").alias("sig"))
-    twice = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig")
-    shared = written(rows.where(Filter(twice, "sig").passes("sig")), "jaccard-shared")
-    degree = shared.groupBy("set_id").agg(F.count(F.lit(1)).alias("degree"))
-    ranked = written(shared.join(degree, "set_id").select("sig", "set_id", "degree").distinct(), "jaccard-ranked")
-    centres = ranked.groupBy("sig").agg(F.max(F.struct("degree", "set_id")).alias("top"), F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a < b").select("sig", F.col("top.set_id").alias("centre"))
-    return written(ranked.join(centres, "sig").select("sig", "set_id", "centre"), "jaccard-buckets")
+    """sig, set_id, centre of all buckets with two sets or more; a row may repeat."""
+    twice = enumerated.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig")
+    keep = Filter(twice, "sig")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends, sigs = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy()
+            ends, sigs = ends - ends[0], sigs[ends[0] : ends[-1]]
+            kept = keep.test(sigs)
+            degree = np.concatenate(([0], np.cumsum(kept)))
+            degree = degree[ends[1:]] - degree[ends[:-1]]
+            yield pa.RecordBatch.from_arrays([pa.array(sigs[kept]), pa.array(np.repeat(batch.column(0).to_numpy(), degree)), pa.array(np.repeat(degree, degree))], names=["sig", "set_id", "degree"])
+
+    shared = written(enumerated.mapInArrow(run, "sig long, set_id long, degree long"), "jaccard-shared")
+    centres = shared.groupBy("sig").agg(F.max(F.struct("degree", "set_id")).alias("top"), F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a < b").select("sig", F.col("top.set_id").alias("centre"))
+    return written(shared.join(centres, "sig").select("sig", "set_id", "centre"), "jaccard-buckets")
 
 
 def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id, shingles (sorted, as bytes) of the wanted sets, read from one row of each."""
     one = written(rows.join(wanted, "set_id").groupBy("set_id").agg(F.min("row_key").alias("row_key")), "jaccard-rows")
-    found = docs.where(Filter(one, "row_key").passes("row_key")).join(one.withColumnRenamed("set_id", "wanted_id"), "row_key")
+    found = docs.where(Filter(one, "row_key").passes(F.col("row_key"))).join(one.withColumnRenamed("set_id", "wanted_id"), "row_key")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
+            sets = []
+            for _, texts in _blocks(batch, 1):
+                flat, begins = shingle_sets(texts)
+                sets += [flat[begins[i] : begins[i + 1]].tobytes() for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["set_id", "shingles"])
 
     out = found.select("wanted_id", "text").mapInArrow(run, "set_id long, shingles binary")
@@ -320,12 +396,16 @@ def _across_near(compared: DataFrame, named: DataFrame) -> DataFrame:
     near = _labelled(compared.where("added is not null").select(F.col("a").alias("centre"), F.col("b").alias("set_id"), "n_a", "n_b", "apart", "linked", "added", "removed"), "set_id", named, "component")
     mixed = near.groupBy("centre").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max((~F.col("linked")).cast("int")).alias("loose")).where("lo < hi and loose = 1").select("centre")
     near = written(near.join(mixed, "centre"), "jaccard-near")
-    # If x is not linked to the centre and y is linked to x, they share over (9 apart + n_centre - n_y) / 18 of y's difference.
-    least = F.floor((9 * F.col("apart") + F.col("n_a") - F.col("n_b")) / 18) + 1
+    # Of a pair's differences from the centre, (9 (apart_a + apart_b) - size_a - size_b) / 18 must be common, which is over 0 if a
+    # isn't linked. In one order of shingles the first common one leaves so many behind it in both.
     ordered = F.concat(F.array_sort("added"), F.array_sort("removed"))
-    prefix = near.select("centre", F.col("set_id").alias("b"), F.col("component").alias("of_b"), F.col("apart").alias("apart_b"), F.col("n_b").alias("size_b"), F.explode(F.slice(ordered, F.lit(1), F.greatest(F.lit(0), F.col("apart") - least + 1).cast("int"))).alias("e"))
-    probe = near.where("not linked").select("centre", F.col("set_id").alias("a"), F.col("component").alias("of_a"), F.col("apart").alias("apart_a"), F.col("n_b").alias("size_a"), F.explode(F.concat("added", "removed")).alias("e"))
-    met = probe.join(prefix, (probe["centre"] == prefix["centre"]) & (probe["e"] == prefix["e"]) & (probe["of_a"] != prefix["of_b"]) & _possible())
+    side = lambda x, at: ["centre", F.col("set_id").alias(x), F.col("component").alias(f"of_{x}"), F.col("apart").alias(f"apart_{x}"), F.col("n_b").alias(f"size_{x}"), F.posexplode(F.slice(ordered, F.lit(1), at.cast("int"))).alias(f"at_{x}", "e")]
+    least = F.floor((9 * F.col("apart") + F.col("n_a") - F.col("n_b")) / 18) + 1  # of b's, whatever a is
+    b = near.select(*side("b", F.greatest(F.lit(0), F.col("apart") - least + 1)))
+    a = near.where("not linked").select(*side("a", F.floor(F.col("n_b") / 4) + 1))
+    common = 9 * (F.col("apart_a") + F.col("apart_b")) - F.col("size_a") - F.col("size_b")
+    early = (common <= 18 * (F.col("apart_a") - F.col("at_a"))) & (common <= 18 * (F.col("apart_b") - F.col("at_b")))
+    met = a.join(b, (a["centre"] == b["centre"]) & (a["e"] == b["e"]) & (F.col("of_a") != F.col("of_b")) & _possible() & early)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -380,11 +460,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """docs without the rows whose component has a smaller id, with docs' columns; rows without an id stay."""
     found = jaccard_components(docs, id_col, text_col)
     dropped = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__nj_id")).distinct(), "jaccard-dropped")
-    passes = Filter(dropped, "__nj_id").passes
-    marked = docs.withColumn("__nj_key", F.col(id_col))
-    maybe = F.coalesce(passes("__nj_key"), F.lit(False)) & F.col("__nj_key").isNotNull()
-    kept = marked.where(maybe).join(dropped, F.col("__nj_key") == F.col("__nj_id"), "left_anti")
-    return marked.where(~maybe).select(*docs.columns).unionAll(kept.select(*docs.columns))
+    passes = Filter(dropped.select(F.xxhash64("__nj_id").alias("__nj_hash")), "__nj_hash").passes
+    maybe = passes(F.xxhash64(id_col))
+    kept = docs.where(maybe).join(dropped, F.col(id_col) == F.col("__nj_id"), "left_anti")
+    return docs.where(~maybe).unionAll(kept)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
