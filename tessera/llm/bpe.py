@@ -20,11 +20,11 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import arrow_map, read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pre-tokens that a worker remembers between texts; beyond that it forgets all and starts again, which changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 
 
 def byte_characters() -> list[str]:
@@ -130,7 +130,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())], names=["doc_id", "n_tokens", "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
+    return arrow_map(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, n_tokens long, ids binary, decoded binary")
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -144,7 +144,7 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids"
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded_text"])
 
     schema = encoded.schema.add("decoded_text", "string") if "decoded_text" not in encoded.columns else encoded.schema
-    return encoded.drop("decoded_text").mapInArrow(run, schema)
+    return arrow_map(encoded.drop("decoded_text"), run, schema)
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,7 +162,7 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow_map(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def installed() -> tuple[str, str]:

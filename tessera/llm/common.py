@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +46,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a Python worker holds at a time, unless the session says otherwise. Texts may be long.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower Arrow's rows per batch from its default; a value that the user chose stays."""
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+def release() -> None:
+    """Give freed memory back to the system, since a worker process outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow with bounded batches, whose workers release their memory after each task."""
+    bounded_batches(df.sparkSession)
+
+    def tidy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(tidy, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

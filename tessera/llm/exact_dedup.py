@@ -43,8 +43,9 @@ def directory(entries: DataFrame, bucket_entries: int = BUCKET_ENTRIES, max_dept
     levels = cells.select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth"))
     levels = levels.withColumn("first", F.expr(f"shiftleft(shiftright(cell, {max_depth} - depth), {max_depth} - depth)"))
     sums = levels.groupBy("depth", "first").agg(F.sum("n").alias("held"))
+    # At most 2 ** (max_depth + 1) rows, whatever the input.
     fitting = sums.where((F.col("held") <= bucket_entries) | (F.col("depth") == max_depth)).select("depth", "first")
-    return levels.join(fitting, ["depth", "first"]).groupBy("cell").agg(F.min(F.struct("depth", "first")).alias("b")).select("cell", F.col("b.depth").alias("depth"), F.col("b.first").alias("first"))
+    return levels.join(F.broadcast(fitting), ["depth", "first"]).groupBy("cell").agg(F.min(F.struct("depth", "first")).alias("b")).select("cell", F.col("b.depth").alias("depth"), F.col("b.first").alias("first"))
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hash_bits: int = 64, bucket_entries: int = BUCKET_ENTRIES, max_depth: int = MAX_DEPTH) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, written
+from .common import arrow_map, bounded_batches, read, written
 
 UNKNOWN_LANGUAGE = "und"
 #: The models are fitted on about so many labelled texts of each language, the least of a seeded hash
@@ -221,7 +221,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         for lang, own in found.items():
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.int64())], names=["lang", "gram", "n"])
 
-    grams = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = arrow_map(chosen, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts: dict[str, dict] = {}
     mask = (1 << 21) - 1
     for r in grams.toLocalIterator():
@@ -243,7 +243,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                     out.append((lang, float(entropy[at]), float((other.min() - entropy[at]) * np.sqrt(len(codes))) if len(other) else 1.0))
             yield pa.RecordBatch.from_pylist([dict(zip(("lang", "entropy", "margin"), x, strict=True)) for x in out], pa.schema([("lang", pa.string()), ("entropy", pa.float64()), ("margin", pa.float64())]))
 
-    probed = written(chosen.mapInArrow(probe, "lang string, entropy double, margin double"), "langid-held")
+    probed = written(arrow_map(chosen, probe, "lang string, entropy double, margin double"), "langid-held")
     for r in probed.groupBy("lang").agg(F.max("entropy").alias("worst")).collect():
         models.worst[models.langs.index(r["lang"])] = r["worst"]
     grid = [0.1, 0.3, 1.0, 3.0, 10.0]
@@ -260,6 +260,7 @@ def identify(docs: DataFrame, models: Models, text_col: str = "text") -> DataFra
     everything if no language was learned. Languages that tie go to the first in order. Texts of any
     length are read whole.
     """
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     @F.pandas_udf("lang string, score double, entropy double, rejected boolean")

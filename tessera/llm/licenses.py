@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import arrow_map, read
 
 # Base phrases and their labels.
 BASE = {
@@ -122,7 +122,7 @@ def frequencies(docs: DataFrame, vocabulary: set[bytes], text_col: str = "text")
                 found.update(vocabulary.intersection(words_of(text.as_py())))
         yield pa.RecordBatch.from_arrays([pa.array([b"", *found], pa.binary()), pa.array([n, *found.values()], pa.int64())], names=["word", "n"])
 
-    rows = docs.select(text_col).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()  # a row per word of the vocabulary
+    rows = arrow_map(docs.select(text_col), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()  # a row per word of the vocabulary
     got = {bytes(r["word"]): r["n"] for r in rows}
     return got, got.pop(b"", 0)
 
@@ -149,7 +149,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(matches, kind)], names=["doc_id", "n_words", "matches"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_words long, matches array<struct<start: long, n_words: long, label: string, base: boolean, share: double>>")
+    return arrow_map(rows, run, f"doc_id {kind}, n_words long, matches array<struct<start: long, n_words: long, label: string, base: boolean, share: double>>")
 
 
 def summary(scanned: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, written
+from .common import arrow_map, read, written
 
 WORDS = 5
 #: Sizes of a band lie within this factor.
@@ -54,7 +54,7 @@ FILTER_WORDS = 1 << _WORD_BITS
 #: A member is far from its centre if it differs in more than so many times the most that a link may differ in.
 FAR = 3
 #: Words whose hashes a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 _MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
@@ -236,14 +236,14 @@ def _sets(docs: DataFrame) -> DataFrame:
                 signs.append(Cells(*_chosen(flat, begins, new)).signs)
                 held += len(signs[-1])
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=names)
-            if held > 4_000_000:
+            if held > 1_000_000:
                 yield frequent(id_type)
                 signs, held = [], 0
         if signs:
             yield frequent(id_type)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"kind int, row_key long, doc_id {kind}, n_shingles long, set_id long")
+    return arrow_map(docs, run, f"kind int, row_key long, doc_id {kind}, n_shingles long, set_id long")
 
 
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -279,7 +279,7 @@ def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
             values = np.concatenate(signs) if signs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], names=["set_id", "sigs"])
 
-    return docs.select("text").mapInArrow(run, "set_id long, sigs array<long>")
+    return arrow_map(docs.select("text"), run, "set_id long, sigs array<long>")
 
 
 class Filter:
@@ -318,7 +318,7 @@ def _buckets(enumerated: DataFrame) -> DataFrame:
             degree = degree[ends[1:]] - degree[ends[:-1]]
             yield pa.RecordBatch.from_arrays([pa.array(sigs[kept]), pa.array(np.repeat(batch.column(0).to_numpy(), degree)), pa.array(np.repeat(degree, degree))], names=["sig", "set_id", "degree"])
 
-    shared = written(enumerated.mapInArrow(run, "sig long, set_id long, degree long"), "jaccard-shared")
+    shared = written(arrow_map(enumerated, run, "sig long, set_id long, degree long"), "jaccard-shared")
     centres = shared.groupBy("sig").agg(F.max(F.struct("degree", "set_id")).alias("top"), F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a < b").select("sig", F.col("top.set_id").alias("centre"))
     return written(shared.join(centres, "sig").select("sig", "set_id", "centre"), "jaccard-buckets")
 
@@ -336,7 +336,7 @@ def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets += [flat[begins[i] : begins[i + 1]].tobytes() for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["set_id", "shingles"])
 
-    out = found.select("wanted_id", "text").mapInArrow(run, "set_id long, shingles binary")
+    out = arrow_map(found.select("wanted_id", "text"), run, "set_id long, shingles binary")
     return written(out.dropDuplicates(["set_id"]), "jaccard-sets")
 
 
@@ -364,7 +364,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, differences: bool) -> DataFrame
 
     right = pairs.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("s_b")), "b")
     both = right.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("s_a")), "a")
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long, n_a long, n_b long, apart long, linked boolean, added array<long>, removed array<long>")
+    return arrow_map(both.select("a", "b", "s_a", "s_b"), run, "a long, b long, n_a long, n_b long, apart long, linked boolean, added array<long>, removed array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:

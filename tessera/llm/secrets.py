@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import arrow_map, read
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -126,7 +126,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kind)], names=["doc_id", "findings"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, findings array<struct<start: long, end: long, kind: string, found: string, weak: boolean>>")
+    return arrow_map(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, findings array<struct<start: long, end: long, kind: string, found: string, weak: boolean>>")
 
 
 def summary(found: DataFrame) -> DataFrame:
