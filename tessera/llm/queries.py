@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprints, langid, licenses, mixing, ngram_join, secrets, sharding
+from . import bpe, exact_dedup, fingerprints, html_extract, langid, licenses, mixing, ngram_join, secrets, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op2_extract_html": html_extract.query,
     "op3_fingerprint": fingerprints.query,
     "op4_scan_secrets": secrets.query,
     "op5_mix_sources": mixing.query,
