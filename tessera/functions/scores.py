@@ -1,0 +1,82 @@
+"""Scores and codes that rules derive from a record's fields."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# What tells the two topics of a review.
+STRONG_TERMS = ("war game", "wargame", "wargaming", "war-game", "military simulation", "defense simulation", "crisis simulation", "strategic simulation", "red team", "blue team", "tabletop exercise")
+WEAK_TERMS = ("strategic", "military", "defense", "crisis", "simulation", "game theory", "nash equilibrium")
+MODEL_TERMS = ("large language model", "llm", "gpt", "chatgpt", "neural network", "deep learning", "transformer", "ai agent", "multi-agent", "reinforcement learning", "machine learning", "artificial intelligence")
+
+
+def hits(text: Column, terms: Iterable[str]) -> Column:
+    """How many of the terms the text contains."""
+    return reduce(add, [F.when(F.contains(text, F.lit(t)), 1).otherwise(0) for t in terms], F.lit(0))
+
+
+def topic_score(title: Column, abstract: Column, strong: Iterable[str] = STRONG_TERMS, weak: Iterable[str] = WEAK_TERMS, model: Iterable[str] = MODEL_TERMS, bonus: Iterable[str] = ("war game", "wargame"), least_weak: int = 3, least_model: int = 2) -> Column:
+    """9 if both topics are present, 7 for one, 3 for none; one more, up to 10, for a telling title."""
+    low = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(abstract, F.lit(""))))
+    first = (hits(low, strong) > 0) | (hits(low, weak) >= least_weak)
+    second = hits(low, model) >= least_model
+    score = F.when(first & second, 9).when(first | second, 7).otherwise(3)
+    return F.least(F.lit(10), score + F.when(hits(F.lower(F.coalesce(title, F.lit(""))), bonus) > 0, 1).otherwise(0))
+
+
+def scale_estimate(game_type: Column, quantitative: Column, open_ended: Column) -> Column:
+    """1 (qualitative) to 7 (analytical): a base by type, one up or down for each trait, clamped at each step."""
+    kind = F.lower(F.coalesce(game_type, F.lit("")))
+    base = F.when(F.contains(kind, F.lit("seminar")), 2).when(F.contains(kind, F.lit("matrix")), 3).when(F.contains(kind, F.lit("digital")) | F.contains(kind, F.lit("computer")), 6).otherwise(4)
+    clamp = lambda x: F.greatest(F.lit(1), F.least(F.lit(7), x))
+    counted = clamp(base + F.when(quantitative == "yes", 1).when(quantitative == "no", -1).otherwise(0))
+    return clamp(counted + F.when(open_ended == "yes", -1).when(open_ended == "no", 1).otherwise(0))
+
+
+def confidence(required: Iterable[Column], optional: Iterable[Column]) -> Column:
+    """0.5, 0.08 for each required field that is known and 0.03 for each optional one, at most 1."""
+    known = lambda c: F.when((F.coalesce(c, F.lit("")) != "") & (F.lower(c) != "unknown"), 1).otherwise(0)
+    return F.least(F.lit(1.0), F.lit(0.5) + reduce(add, map(known, required), F.lit(0)) * 0.08 + reduce(add, map(known, optional), F.lit(0)) * 0.03)
+
+
+def yes_no(x: Column) -> Column:
+    return F.when(F.lower(x.cast("string")).isin("true", "yes", "1"), "yes").otherwise("no")
+
+
+def included_code(x: Column) -> Column:
+    return F.when(F.lower(x) == "yes", 1).when(F.lower(x) == "no", 0).otherwise(-1)
+
+
+def log_status(message: Column, level: Column) -> Column:
+    """By the first word that the message has; else the level."""
+    low = F.lower(F.coalesce(message, F.lit("")))
+    has = lambda *words: reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
+    return F.when(has("success", "completed"), "success").when(has("error", "failed"), "error").when(has("warning"), "warning").otherwise(F.lower(level))
+
+
+def error_class(message: Column) -> Column:
+    low = F.lower(F.coalesce(message, F.lit("")))
+    has = lambda *words: reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
+    return F.when(has("rate limit", "429"), "rate_limit").when(has("timeout", "timed out"), "timeout").when(has("connection"), "connection_error").when(has("500", "502", "503", "504"), "server_error").otherwise("unknown")
+
+
+def citation_type(venue_type: Column) -> Column:
+    low = F.lower(F.coalesce(venue_type, F.lit("")))
+    has = lambda w: F.contains(low, F.lit(w))
+    return F.when(has("conference") | has("workshop"), "inproceedings").when(has("journal"), "article").when(has("tech") & has("report"), "techreport").otherwise("misc")
+
+
+def json_or_raw(x: Column, schema: str) -> Column:
+    """A struct of the text as JSON, of the first object in it, or null fields."""
+    return F.coalesce(F.from_json(x, schema), F.from_json(F.nullif(F.regexp_extract(x, r"(?s)\{.*\}", 0), F.lit("")), schema))
+
+
+def query_potential(text: Column, core: Iterable[str], model: Iterable[str], action: Iterable[str], valued: Iterable[str]) -> Column:
+    """0.5 and capped shares for terms that a query names, at most 1."""
+    part = lambda terms, each, most: F.least(F.lit(most), hits(text, terms) * each)
+    return F.least(F.lit(1.0), F.lit(0.5) + part(core, 0.1, 0.3) + part(model, 0.1, 0.3) + part(action, 0.05, 0.2) + hits(text, valued) * 0.1)

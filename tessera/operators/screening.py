@@ -1,0 +1,84 @@
+"""The screening sheet: order, ids, scores, statistics."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# Exclusion reasons of the sheet.
+REASONS = {
+    "E1": "Not about wargaming", "E2": "No language model", "E3": "Not empirical", "E4": "Not in English",
+    "E5": "Duplicate", "E6": "No full text", "E7": "Not scholarly", "E8": "Other",
+}
+DECISIONS = ("include_ta", "reason_ta", "notes_ta", "include_ft", "reason_ft", "notes_ft", "screener_ta", "screened_ta_date", "screener_ft", "screened_ft_date", "relevance_score", "quality_score")
+
+
+def bucketed(df: DataFrame, value: str, buckets: int = 5, name: str = "bucket") -> DataFrame:
+    """df with the quantile bucket, 1 to buckets, of each row's value; edges are the exact quantiles, linearly interpolated.
+
+    With fewer different values than buckets, the dense rank of the value. The edges are one small row.
+    """
+    probabilities = [i / buckets for i in range(1, buckets)]
+    edges = df.agg(F.percentile(value, F.array(*map(F.lit, probabilities))).alias("e"), F.approx_count_distinct(value).alias("d")).first()
+    if edges["e"] is None:
+        return df.withColumn(name, F.lit(None).cast("int"))
+    if edges["d"] < 2 * buckets:  # the estimate is near; the few values themselves decide
+        few = [r[0] for r in df.select(value).where(F.col(value).isNotNull()).distinct().orderBy(value).limit(buckets).collect()]
+        if len(few) < buckets:
+            return df.withColumn(name, F.array_position(F.array(*map(F.lit, few)), F.col(value)).cast("int"))
+    return df.withColumn(name, reduce(add, [F.when(F.col(value) > e, 1).otherwise(0) for e in edges["e"]], F.lit(1)))
+
+
+def order_score(keywords: Sequence[str], as_of_year: int, citation_bucket: Column) -> Column:
+    """Title hits count 2, abstract hits 1, up to 5 for recent years, and the citation bucket."""
+    title, abstract = F.lower(F.coalesce(F.col("title"), F.lit(""))), F.lower(F.coalesce(F.col("abstract"), F.lit("")))
+    words = reduce(add, [F.when(F.contains(title, F.lit(k)), 2).otherwise(0) + F.when(F.contains(abstract, F.lit(k)), 1).otherwise(0) for k in keywords], F.lit(0))
+    return words + F.greatest(F.lit(0), F.lit(5) - (F.lit(as_of_year) - F.col("year"))) + citation_bucket
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """df with each row's place in the total order, from 1, without putting all rows into one task.
+
+    Rows are sorted by range; each partition counts its rows, and the counts before it shift its numbers.
+    order must make rows unique, else ties are numbered as they come.
+    """
+    spark = df.sparkSession
+    ranged = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
+    part, at = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    placed = ranged.withColumns({"__part": part, "__at": at})
+    counts = sorted((r["__part"], r["n"]) for r in placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect())  # a row per partition
+    starts, start = [], 0
+    for p, n in counts:
+        starts.append((p, start))
+        start += n
+    table = spark.createDataFrame(starts, "__part long, __start long")
+    return placed.join(F.broadcast(table), "__part").withColumn(name, F.col("__start") + F.col("__at") + 1).drop("__id", "__part", "__at", "__start")
+
+
+def sheet(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows in screening order with SCREEN_ ids and empty decision columns where they are missing."""
+    out = numbered(df, order)
+    out = out.withColumn("screening_id", F.format_string("SCREEN_%04d", F.col("position")))
+    return out.select("*", *[F.lit("").alias(c) for c in DECISIONS if c not in out.columns])
+
+
+def statistics(df: DataFrame, decision: str, reason: str) -> DataFrame:
+    """Counts by decision, and of reasons, in one table: kind, value, n. Empty decisions count as unscreened."""
+    value = F.coalesce(F.nullif(F.lower(F.trim(F.col(decision))), F.lit("")), F.lit("unscreened"))
+    by_decision = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("decision").alias("kind"), "value", "n")
+    by_reason = df.where(F.coalesce(F.trim(F.col(reason)), F.lit("")) != "").groupBy(F.col(reason).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return by_decision.unionByName(by_reason.select(F.lit("reason").alias("kind"), "value", "n"))
+
+
+def reasons_table(spark) -> DataFrame:  # noqa: ANN001
+    return spark.createDataFrame(list(REASONS.items()), "code string, reason string")
+
+
+def asreview(df: DataFrame) -> DataFrame:
+    """The seven columns of a screening tool's import, included as 1, 0 or -1."""
+    code = F.when(F.lower("include_ta") == "yes", 1).when(F.lower("include_ta") == "no", 0).otherwise(-1)
+    return df.select("title", "abstract", "authors", "year", "doi", "url", code.alias("included"))
