@@ -73,7 +73,8 @@ def citation_type(venue_type: Column) -> Column:
 
 def json_or_raw(x: Column, schema: str) -> Column:
     """A struct of the text as JSON, of the first object in it, or null fields."""
-    return F.coalesce(F.from_json(x, schema), F.from_json(F.nullif(F.regexp_extract(x, r"(?s)\{.*\}", 0), F.lit("")), schema))
+    span = F.regexp_extract(x, r"(?s)\{.*\}", 0)
+    return F.from_json(F.when(F.try_parse_json(x).isNotNull(), x).otherwise(span), schema)
 
 
 def query_potential(text: Column, core: Iterable[str], model: Iterable[str], action: Iterable[str], valued: Iterable[str]) -> Column:

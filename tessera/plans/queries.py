@@ -264,7 +264,7 @@ def log_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 b AS (SELECT *, CASE g WHEN 'seminar' THEN 2 WHEN 'matrix game' THEN 3 WHEN 'Digital' THEN 6 ELSE 4 END AS base FROM t),
 c AS (SELECT *, greatest(1, least(7, base + CASE q WHEN 'yes' THEN 1 WHEN 'no' THEN -1 ELSE 0 END)) AS one FROM b)
 SELECT ord, greatest(1, least(7, one + CASE o WHEN 'yes' THEN -1 WHEN 'no' THEN 1 ELSE 0 END))::INT AS awscale,
-       round(least(1.0, 0.5 + 0.08 * (1 + (q <> 'unknown')::INT) + 0.03 * (o IS NOT NULL)::INT), 6) AS confidence FROM c""")
+       round(least(1.0, 0.5 + 0.08 * (1 + (q <> 'unknown')::INT) + 0.03 * (o IS NOT NULL)::INT), 6)::DOUBLE AS confidence FROM c""")
 def heuristic_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("ord")
     game = F.when(i % 4 == 0, "seminar").when(i % 4 == 1, "matrix game").when(i % 4 == 2, "Digital").otherwise("other")
