@@ -63,10 +63,10 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **index_options) -> DataFrame:
     """docs with __xd_digest, __xd_keep_id, __xd_group_size and __xd_kept; every row and column of docs stays."""
-    index = build_index(docs, id_col, text_col, **index_options).select("key", F.col("digest").alias("__xd_digest"), F.col("keep_id").alias("__xd_keep_id"), F.col("group_size").alias("__xd_group_size"))
+    index = build_index(docs, id_col, text_col, **index_options).select(F.col("key").alias("__xd_index_key"), F.col("digest").alias("__xd_digest"), F.col("keep_id").alias("__xd_keep_id"), F.col("group_size").alias("__xd_group_size"))
     rows = _keyed(docs, text_col, index_options.get("hash_bits", 64)).withColumn("__xd_own", F.unhex(F.sha2("__xd_norm", 256))).drop("__xd_norm")
-    found = rows.join(index, (F.col("__xd_key") == F.col("key")) & (F.col("__xd_own") == F.col("__xd_digest")))
-    return found.withColumn("__xd_kept", F.col(id_col).eqNullSafe(F.col("__xd_keep_id"))).drop("__xd_key", "__xd_own", "key")
+    found = rows.join(index, (F.col("__xd_key") == F.col("__xd_index_key")) & (F.col("__xd_own") == F.col("__xd_digest")))
+    return found.withColumn("__xd_kept", F.col(id_col).eqNullSafe(F.col("__xd_keep_id"))).drop("__xd_key", "__xd_own", "__xd_index_key")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **index_options) -> DataFrame:

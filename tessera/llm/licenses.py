@@ -159,7 +159,7 @@ def summary(scanned: DataFrame) -> DataFrame:
     labels = lambda found: F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda m: m["label"]))), ",")
     return scanned.select(
         "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
-        labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"), F.coalesce(F.least(F.lit(1.0), F.array_max(F.transform("matches", lambda m: m["share"]))), F.lit(0.0)).alias("score"),
+        labels(base).alias("base_labels"), labels(F.col("matches")).alias("labels"), F.least(F.lit(1.0), F.coalesce(F.array_max(F.transform("matches", lambda m: m["share"])), F.lit(0.0))).alias("score"),
     )
 
 

@@ -127,8 +127,6 @@ def seeded_key(doc_id: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
-PATTERN = F.array_sort("__members")
-
 
 def _cuts(sized: DataFrame, quota: DataFrame) -> DataFrame:
     """Per pattern: base copies, the cut (key, id, size up to which documents get one more) and the closing document.
