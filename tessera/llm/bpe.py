@@ -19,6 +19,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_map, read
 
@@ -143,8 +144,8 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids"
             texts = pa.array([None if x is None else own.decode(x).decode("utf-8", "replace") for x in ids], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded_text"])
 
-    schema = encoded.schema.add("decoded_text", "string") if "decoded_text" not in encoded.columns else encoded.schema
-    return arrow_map(encoded.drop("decoded_text"), run, schema)
+    rows = encoded.drop("decoded_text")
+    return arrow_map(rows, run, T.StructType([*rows.schema.fields, T.StructField("decoded_text", T.StringType())]))
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -417,8 +417,14 @@ def _possible() -> Column:
 
 def _across_far(buckets: DataFrame, compared: DataFrame, named: DataFrame) -> DataFrame:
     """Candidates (a, b) in unlike components of one bucket, of which one at least is far from the centre."""
+    far = compared.where("added is null")
+    if far.isEmpty():
+        return compared.select("a", "b").limit(0)
+    # Few buckets have such a member; bit maps leave the others where they are.
+    held = buckets.where(Filter(far, "b").passes(F.col("set_id"))).join(far.select(F.col("a").alias("centre"), F.col("b").alias("set_id")), ["centre", "set_id"], "left_semi").select("sig").distinct()
+    few = written(buckets.where(Filter(held, "sig").passes(F.col("sig"))), "jaccard-few")
     of = compared.select(F.col("a").alias("centre"), F.col("b").alias("set_id"), F.col("n_b").alias("size"), "apart", F.col("added").isNull().alias("far"))
-    rows = _labelled(buckets.join(of, ["centre", "set_id"]), "set_id", named, "component")
+    rows = _labelled(few.join(of, ["centre", "set_id"]), "set_id", named, "component")
     rows = written(rows.select("sig", "set_id", "size", "apart", "far", "component"), "jaccard-far")
     some = rows.groupBy("sig").agg(F.max("far").alias("far"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("far and lo < hi").select("sig")
     rows = rows.join(some, "sig")
