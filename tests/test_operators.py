@@ -94,3 +94,46 @@ def test_search_language(spark):
     for bad in ("(a", "AND", 'a NEAR/2', "a )"):
         with pytest.raises(ValueError):
             search.parse(bad)
+
+
+def test_similar_titles_anywhere_equal_the_greedy_scan(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(6)
+    titles = []
+    for _ in range(80):
+        if titles and rng.random() < 0.6:
+            t = list(rng.choice(titles))
+            for _ in range(rng.randint(0, 5)):
+                t[rng.randrange(len(t))] = rng.choice("abcdef ")
+            titles.append("".join(t))
+        else:
+            titles.append("".join(rng.choice("abcdefghij ") for _ in range(rng.randint(6, 50))))
+    rows = [(i, t, "", "", 2000 + i % 7, "", "", "", 0) for i, t in enumerate(titles)] + [(900, "", "", "", 1, "", "", "", 0)]
+    kept: list[str] = []
+    want = []
+    for r in sorted(rows, key=lambda r: (-r[4], r[0])):
+        t = r[1].lower()
+        if t and not any(t == k or SequenceMatcher(None, t, k).ratio() > 0.9 for k in kept):
+            kept.append(t)
+            want.append(r[0])
+    assert ords(dedup.by_similar_titles_anywhere(papers(spark, *rows))) == sorted(want)
+
+
+def test_extraction(spark):
+    from tessera.operators import extraction
+
+    long = "A conference paper: a seminar game with GPT-4 as player, open-ended, 40 % wins. " * 3
+    df = spark.createDataFrame([(1, long), (2, "short"), (3, None)], "ord long, t string")
+    got = {r["ord"]: r for r in extraction.extract(df, F.col("t")).collect()}
+    assert (got[1]["extraction_status"], got[1]["llm_family"], got[1]["awscale"]) == ("success", "gpt-4", 2)
+    assert (got[2]["extraction_status"], got[3]["extraction_status"]) == ("insufficient_text", "pdf_not_found")
+
+    def broken(_):
+        raise OSError
+
+    assert extraction.first_answer([broken, lambda t: None, extraction.offline_provider])(long)
+    assert extraction.extract(df, F.col("t"), lambda t: None).where("ord = 1").first()["extraction_status"] == "llm_extraction_failed"
+    where = spark.createDataFrame([("", "2301.1", "10.1/a", "u.pdf"), ("", "", "", "http://x/y.PDF"), ("", "", "", "z")], "pdf_url string, arxiv_id string, doi string, url string").select(extraction.pdf_location().alias("p")).collect()
+    assert [r["p"] and r["p"]["kind"] for r in where] == ["arxiv", "direct", None]
