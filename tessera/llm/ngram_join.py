@@ -327,6 +327,7 @@ def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id, shingles (sorted, as bytes) of the wanted sets, read from one row of each."""
     one = written(rows.join(wanted, "set_id").groupBy("set_id").agg(F.min("row_key").alias("row_key")), "jaccard-rows")
     found = docs.where(Filter(one, "row_key").passes(F.col("row_key"))).join(one.withColumnRenamed("set_id", "wanted_id"), "row_key")
+    found = found.dropDuplicates(["row_key"])  # repeated rows; where the join dealt out by row_key, nothing moves
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,7 +338,7 @@ def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["set_id", "shingles"])
 
     out = arrow_map(found.select("wanted_id", "text"), run, "set_id long, shingles binary")
-    return written(out.dropDuplicates(["set_id"]), "jaccard-sets")
+    return written(out, "jaccard-sets")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, differences: bool) -> DataFrame:
@@ -453,7 +454,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = compared.where("linked").select("a", "b")
     named = written(components(links), "jaccard-named")
     across = written(_across_near(compared, named).union(_across_far(buckets, compared, named)).distinct(), "jaccard-across")
-    more = written(_compared(across, members, differences=False).where("linked").select("a", "b"), "jaccard-links")
+    ends = across.select(F.explode(F.array("a", "b")).alias("set_id"))
+    some = members.where(Filter(ends, "set_id").passes(F.col("set_id")))
+    more = written(_compared(across, some, differences=False).where("linked").select("a", "b"), "jaccard-links")
     if not more.isEmpty():
         named = written(components(links.union(more)), "jaccard-named")
     labelled = written(_labelled(sets.select("doc_id", "n_shingles", "set_id"), "set_id", named, "component"), "jaccard-labelled")
