@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -43,7 +44,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def sweep(spark: SparkSession, *done: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, and let Spark remove the shuffle files of finished jobs.
+
+    What was derived from them must be written itself, so that a lost executor needs none of them.
+    """
+    for df in done:
+        at = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)  # noqa: SLF001
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)  # noqa: SLF001
+    gc.collect()
+    spark._jvm.System.gc()  # noqa: SLF001 - the cleaner acts on what the driver has let go
+
+
 
 
 #: Rows that a Python worker holds at a time, unless the session says otherwise. Texts may be long.

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, ascii_lower, partitions, read, written
+from .common import LOWER, UPPER, ascii_lower, partitions, read, sweep, written
 
 MAX_DEPTH = 16
 BUCKET_ENTRIES = 100_000
@@ -58,7 +58,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = partitions(docs.sparkSession)
     chain = Window.partitionBy("first", "__xd_key")
     owned = owned.repartitionByRange(n, "first", "__xd_key").withColumn("chain_pos", F.row_number().over(chain.orderBy("digest")) - 1).withColumn("chain_len", F.count(F.lit(1)).over(chain))
-    return written(owned.select(F.col("first").alias("bucket"), "depth", F.col("__xd_key").alias("key"), "chain_pos", "chain_len", "digest", "keep_id", "group_size"), "dedup-index")
+    index = written(owned.select(F.col("first").alias("bucket"), "depth", F.col("__xd_key").alias("key"), "chain_pos", "chain_len", "digest", "keep_id", "group_size"), "dedup-index")
+    sweep(docs.sparkSession, entries)
+    return index
 
 
 def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **index_options) -> DataFrame:

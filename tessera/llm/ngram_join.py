@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, read, written
+from .common import arrow_map, read, sweep, written
 
 WORDS = 5
 #: Sizes of a band lie within this factor.
@@ -320,7 +320,9 @@ def _buckets(enumerated: DataFrame) -> DataFrame:
 
     shared = written(arrow_map(enumerated, run, "sig long, set_id long, degree long"), "jaccard-shared")
     centres = shared.groupBy("sig").agg(F.max(F.struct("degree", "set_id")).alias("top"), F.min("set_id").alias("a"), F.max("set_id").alias("b")).where("a < b").select("sig", F.col("top.set_id").alias("centre"))
-    return written(shared.join(centres, "sig").select("sig", "set_id", "centre"), "jaccard-buckets")
+    buckets = written(shared.join(centres, "sig").select("sig", "set_id", "centre"), "jaccard-buckets")
+    sweep(enumerated.sparkSession, enumerated, shared)
+    return buckets
 
 
 def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -451,12 +453,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = stars.select(F.col("a").alias("set_id")).union(stars.select(F.col("b").alias("set_id"))).distinct()
     members = _members(rows.select("row_key", "text"), sets.select("set_id", "row_key"), wanted)
     compared = written(_compared(stars, members, differences=True), "jaccard-compared")
+    spark = docs.sparkSession
+    sweep(spark)
     links = compared.where("linked").select("a", "b")
     named = written(components(links), "jaccard-named")
-    across = written(_across_near(compared, named).union(_across_far(buckets, compared, named)).distinct(), "jaccard-across")
+    near = written(_across_near(compared, named), "jaccard-across")
+    sweep(spark)
+    far = written(_across_far(buckets, compared, named), "jaccard-across")
+    sweep(spark, buckets)
+    across = written(near.union(far).distinct(), "jaccard-across")
     ends = across.select(F.explode(F.array("a", "b")).alias("set_id"))
     some = members.where(Filter(ends, "set_id").passes(F.col("set_id")))
     more = written(_compared(across, some, differences=False).where("linked").select("a", "b"), "jaccard-links")
+    sweep(spark, members)
     if not more.isEmpty():
         named = written(components(links.union(more)), "jaccard-named")
     labelled = written(_labelled(sets.select("doc_id", "n_shingles", "set_id"), "set_id", named, "component"), "jaccard-labelled")
