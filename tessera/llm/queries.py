@@ -20,4 +20,5 @@ QUERIES = {
 SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op5_mix_sources": mixing.SQL,
+    "op10_ngram_join": ngram_join.SQL,
 }
