@@ -5,6 +5,8 @@ The texts are invented, so vocabularies here are words that occur in them; the o
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from tessera.functions import scores as S
 from tessera.functions import text as X
 from tessera.operators import dedup, metrics, rules, screening, search, tagging
+from tessera.sources import records
+from tessera.streaming import incremental
 
 from .papers import LOG, PAPERS, SCREENED, log, papers, screened, table
 
@@ -293,3 +297,44 @@ def seed_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.lower("text"), "\n")).alias("line")).distinct()
     seeds = table(spark, sf_dir, "benchmark").select("item_id", F.lower(F.split("text", "\n", 2)[0]).alias("line"))
     return seeds.join(lines, "line", "left").groupBy("item_id").agg(F.count("doc_id").alias("n"))
+
+
+_part = lambda tag: f"nullif(regexp_extract(html, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), '')"
+
+
+@register(f"SELECT page_id, trim(regexp_replace(regexp_replace(coalesce({_part('main')}, {_part('article')}, html), '(?s)<[^>]+>', chr(10), 'g'), '\\s*\\n\\s*', chr(10), 'g'), ' ' || chr(10)) AS text FROM pages")
+def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", records.plain_html(F.col("html")).alias("text"))
+
+
+@register(f"""WITH {PAPERS} SELECT ord, round(least(1.0, 0.5 + least(0.3, 0.1 * ({_has('lower(title)', ('the', 'of'))})) + least(0.3, 0.1 * ({_has('lower(title)', ('with', 'from'))})) + least(0.2, 0.05 * ({_has('lower(title)', ('and', 'for'))})) + 0.1 * ({_has('lower(title)', ('this',))})), 6)::DOUBLE AS potential FROM papers""")
+def query_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    low = F.lower("title")
+    return papers(spark, sf_dir).select("ord", F.round(S.query_potential(low, ("the", "of"), ("with", "from"), ("and", "for"), ("this",)), 6).alias("potential"))
+
+
+@register(f"WITH {PAPERS}, k AS (SELECT *, {TITLE_KEY} AS k FROM papers) SELECT b.item_id, EXISTS (SELECT 1 FROM k WHERE k.k = s.k) AS found FROM benchmark b JOIN (SELECT item_id, {TITLE_KEY.replace('title', 't')} AS k FROM (SELECT item_id, split_part(text, chr(10), 1) AS t FROM benchmark)) s USING (item_id)")
+def seed_titles_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seeds = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", "\n", 2)[0].alias("title"))
+    return records.coverage(seeds, papers(spark, sf_dir)).select("item_id", "found")
+
+
+@register(f"WITH {PAPERS} SELECT DISTINCT {LIGHT_KEY} AS title_key FROM papers WHERE {LIGHT_KEY} <> ''")
+def stream_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First-seen titles of a stream over documents: as many as the batch finds."""
+    folder = f"{(spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/titles-{uuid.uuid4().hex}"
+    schema = table(spark, sf_dir, "documents").schema
+    stream = incremental.chunks(spark, f"{sf_dir}/documents.parquet*", schema).select(F.split("text", "\n", 2)[0].alias("title"))
+    incremental.run_to_end(incremental.new_titles(stream).select("title_key"), f"{folder}/out", f"{folder}/state")
+    return spark.read.schema("title_key string").parquet(f"{folder}/out")
+
+
+@register()
+def bibtex_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.bibtex(papers(spark, sf_dir).withColumn("venue", F.col("source_db")))
+
+
+@register(f"WITH {LOG} SELECT module, count(*) AS sessions, sum(n)::BIGINT AS entries FROM (SELECT module, s, count(*) AS n FROM (SELECT module, sum(new::INT) OVER (PARTITION BY module ORDER BY timestamp, id) AS s FROM (SELECT *, coalesce(timestamp - lag(timestamp) OVER (PARTITION BY module ORDER BY timestamp, id) >= INTERVAL 30 MINUTE, true) AS new FROM log)) GROUP BY module, s) GROUP BY module")
+def log_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = log(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp")).groupBy(F.session_window("timestamp", "30 minutes"), "module").agg(F.count(F.lit(1)).alias("n"))
+    return runs.groupBy("module").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("entries"))
