@@ -82,14 +82,16 @@ def release() -> None:
         trim(0)
 
 
-def arrow_map(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with bounded batches, whose workers release their memory after each task."""
+def arrow_map(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, forget: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow with bounded batches, whose workers release their memory after each task; forget empties a module's caches."""
     bounded_batches(df.sparkSession)
 
     def tidy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
+            if forget:
+                forget()
             release()
 
     return df.mapInArrow(tidy, schema)

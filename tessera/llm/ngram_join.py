@@ -71,6 +71,10 @@ class _Hashes(dict):
 _words = _Hashes()
 
 
+def _forget() -> None:
+    _words.clear()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX[0]
     x = (x ^ (x >> np.uint64(27))) * _MIX[1]
@@ -243,7 +247,7 @@ def _sets(docs: DataFrame) -> DataFrame:
             yield frequent(id_type)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs, run, f"kind int, row_key long, doc_id {kind}, n_shingles long, set_id long")
+    return arrow_map(docs, run, f"kind int, row_key long, doc_id {kind}, n_shingles long, set_id long", _forget)
 
 
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -279,7 +283,7 @@ def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
             values = np.concatenate(signs) if signs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], names=["set_id", "sigs"])
 
-    return arrow_map(docs.select("text"), run, "set_id long, sigs array<long>")
+    return arrow_map(docs.select("text"), run, "set_id long, sigs array<long>", _forget)
 
 
 class Filter:
@@ -339,7 +343,7 @@ def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets += [flat[begins[i] : begins[i + 1]].tobytes() for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["set_id", "shingles"])
 
-    out = arrow_map(found.select("wanted_id", "text"), run, "set_id long, shingles binary")
+    out = arrow_map(found.select("wanted_id", "text"), run, "set_id long, shingles binary", _forget)
     return written(out, "jaccard-sets")
 
 
