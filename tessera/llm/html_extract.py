@@ -5,8 +5,9 @@ host, URL path and id; each is paired with its neighbour on the same host (posit
 ...; a last odd page joins the pair before it). The lines of a pair are aligned by longest common
 subsequence, and shared lines go: they belong to the site and not to the page. Two things limit that.
 Lines inside an article or main element are the page's own even where a copy of the page repeats them;
-and lines of menus, headers, footers, sidebars, notices, adverts, forms and comments go by their markup,
-shared or not, as a host with a single page has no neighbour to tell.
+and lines of menus, headers, footers, sidebars, cookie notices, adverts, forms and comments go by their
+markup, shared or not, as a host with a single page has no neighbour to tell. Class tokens, ids and roles
+tell by the whole name; inside article and main only nav, aside, form, adverts and comments go.
 
 The order comes from a narrow table of URLs, sorted by range; its cuts fall between pairs, so that pages
 move once, to the task that holds their pair, and a host of any size is dealt over many tasks.
@@ -33,33 +34,54 @@ CHUNK_PAGES = 4096
 TABLE_BITS = 1 << 28
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
+_NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
-_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "option", "button", "object", "canvas", "math"}
-_DROPPED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "figure", "fieldset"}
+_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "option", "button", "object", "canvas"}
+_DROPPED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "fieldset"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
-_BLOCK = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "blockquote", "pre", "section", "article", "main", "body", "html", "address", "figcaption", "hr", "details", "summary", "center", "hgroup"} | _DROPPED
+_BLOCK = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "tr", "td", "th", "thead", "tbody", "tfoot", "caption", "blockquote", "pre", "section", "article", "main", "body", "html", "address", "figure", "figcaption", "hr", "details", "summary", "center", "hgroup"} | _DROPPED
 _OWN = {"article", "main"}
-#: Words of class, id, role and label that tell a site's parts from its text.
-_SITE = re.compile(r"(?:^|[^a-z])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|header|masthead|footer|foot|cookies?\w*|consent|notice\w*|alert|popup|modal|newsletter|subscri\w+|share|sharing|social\w*|related|recommend\w*|comments?|reply|replies|respond|disqus|form|login|search\w*|widget\w*|skip\w*|toolbar|pagination|pager|copyright|legal)(?![a-z])", re.IGNORECASE)
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Of _DROPPED, what is no part of a text inside an article or main element either.
+_DROPPED_INSIDE = {"nav", "aside", "form"}
+#: Whole class tokens, ids and roles of adverts and comments, which are dropped everywhere.
+_SITE_INSIDE = re.compile(r"(?:ads?|adsense|adsbygoogle|advert(?:s|isement|isements|ising)?|sponsored|(?:ads?|advert)[-_](?:block|box|container|slot|unit|wrapper)|comments?|comments?[-_](?:area|form|list|section|thread)|commentlist|disqus_thread|respond)", re.IGNORECASE)
+#: Whole class tokens, ids and roles of a site's parts outside article and main elements.
+_SITE = re.compile(_SITE_INSIDE.pattern + r"|(?:(?:site|page|top|main|left|right|bottom|global|primary|secondary|footer|header|nav|social)[-_]?)?(?:nav|navbar|navigation|menu|sidebar|header|footer|masthead)|menubar|breadcrumbs?|contentinfo|complementary|(?:cookies?|consent)[-_](?:banner|bar|consent|notice|popup)|newsletter(?:[-_](?:form|signup))?|(?:share|sharing|social)[-_](?:bar|buttons|icons|links)|(?:related|recommended)[-_](?:articles|links|posts|stories)|(?:login|search)[-_]?(?:box|form)|skip[-_]?(?:link|links|nav)|toolbar|pagination|pager|copyright", re.IGNORECASE)
 
 #: A line: its text, whether it stands in the page's own element, whether its markup is a site's part.
 Line = tuple[str, bool, bool]
 
 
+#: How an element is dropped: a form may hold the whole page, other site parts don't.
+_FORM, _PART = 1, 2
+
+
+def _site_part(name: str, attributes: str, own: bool) -> int:
+    """_PART or _FORM for a site's part by its element or names, else 0; own: inside article or main. Headings and layout wrappers are none."""
+    if name in ("form", "fieldset") and not (own and name == "fieldset"):
+        return _FORM
+    if name in (_DROPPED_INSIDE if own else _DROPPED):
+        return _PART
+    if name in _HEADINGS or name in _OWN | {"body", "html"} or name not in _BLOCK and name != "span":
+        return 0
+    site = _SITE_INSIDE if own else _SITE
+    return _PART if any(site.fullmatch(t) for x in _NAMES.findall(attributes) for t in x.strip("\"'").split()) else 0
+
+
 def page_lines(source: str | None) -> list[Line]:
     """The page's block texts in order, with character references decoded and white space made single spaces."""
     source = source or ""
     out: list[Line] = []
     parts: list[str] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, own, dropped: as they hold for what is inside
+    open_tags: list[tuple[str, bool, int]] = []  # name, own, dropped: as they hold for what is inside
     at, raw = 0, ""
 
     def close_line() -> None:
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            own, dropped = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, False)
-            out.append((text, own, dropped))
+            own, dropped = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, 0)
+            out.append((text, own, bool(dropped)))
         parts.clear()
 
     for m in _TOKEN.finditer(source):
@@ -100,13 +122,12 @@ def page_lines(source: str | None) -> list[Line]:
                 open_tags.pop()
             if open_tags and open_tags[-1][0] == name:
                 open_tags.pop()
-        own, dropped = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, False)
-        names = " ".join(x.strip("\"'") for x in _NAMES.findall(m[3] or ""))
-        site = name in _DROPPED and not (name == "header" and own) or bool(names) and name in _BLOCK | {"span"} and bool(_SITE.search(names)) and name not in _OWN | {"body", "html"}
-        if name in _BLOCK or site:
-            open_tags.append((name, own or name in _OWN, dropped or site))
-        elif name == "article":
-            open_tags.append((name, True, dropped))
+        own, dropped = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, 0)
+        if name == "main" or name == "article" and dropped == _FORM:
+            dropped = 0  # what holds the page's own text is no site part, as where a form wraps the whole page
+        part = _site_part(name, m[3] or "", own)
+        if name in _BLOCK or part:
+            open_tags.append((name, own or name in _OWN, max(dropped, part)))
     if not raw:
         parts.append(source[at:] if not re.match(r"<[a-zA-Z/!][^>]*$", source[at:]) else "")
     close_line()

@@ -112,6 +112,17 @@ def test_html(spark, none):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+def own_text(source):
+    return html_extract.main_text(html_extract.page_lines(source), set())
+
+
+def test_html_drops_no_headings_wrappers_figures_or_formulas():
+    kept = '<div class="content no-sidebar"><article><h2 id="related-work">Related</h2><section id="legal-status"><p>law</p></section><figure><blockquote>q</blockquote><figcaption>cap</figcaption></figure><p>x <math><mi>y</mi></math></p><footer>notes</footer></article></div>'
+    assert own_text(kept) == "Related\n\nlaw\n\nq\n\ncap\n\nx y\n\nnotes"
+    assert own_text('<form id="page"><main><p>own</p></main><p>field</p></form>') == "own"
+    assert own_text('<main><p>own</p><nav>n</nav><aside>a</aside><form>f</form><div class="box ad">x</div><ol class="comment-list"><li>c</ol></main><div class="main-menu">m</div><div role="contentinfo">i</div>') == "own"
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(5)
     for _ in range(300):
