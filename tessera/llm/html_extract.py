@@ -75,7 +75,8 @@ def page_lines(source: str | None) -> list[Line]:
     out: list[Line] = []
     parts: list[str] = []
     open_tags: list[tuple[str, bool, int]] = []  # name, own, dropped: as they hold for what is inside
-    at, raw = 0, ""
+    at = 0
+    endless: set[str] = set()  # raw elements without an end tag in what follows
 
     def close_line() -> None:
         text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
@@ -84,27 +85,22 @@ def page_lines(source: str | None) -> list[Line]:
             out.append((text, own, bool(dropped)))
         parts.clear()
 
-    for m in _TOKEN.finditer(source):
-        if m.start() < at:
-            continue
-        if not raw:
-            parts.append(source[at : m.start()])
+    while m := _TOKEN.search(source, at):  # from where the last element ended, as the content of raw ones is no markup
+        parts.append(source[at : m.start()])
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
             continue
-        if raw:
-            if m[1] and name == raw:
-                raw = ""
-            continue
         if name in _RAW:
-            if not m[1] and not (m[3] or "").endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(source, at)
+            if not m[1] and not (m[3] or "").endswith("/") and name not in endless:
+                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
                 if end is None and name in ("script", "style", "textarea", "title"):
                     at = len(source)  # never closed: all the rest is its content
                     break
-                raw = name if end else ""
-                at = end.start() if end else at
+                if end is None:
+                    endless.add(name)
+                else:
+                    at = end.end()
             continue
         if name in _BLOCK:
             close_line()
@@ -128,8 +124,7 @@ def page_lines(source: str | None) -> list[Line]:
         part = _site_part(name, m[3] or "", own)
         if name in _BLOCK or part:
             open_tags.append((name, own or name in _OWN, max(dropped, part)))
-    if not raw:
-        parts.append(source[at:] if not re.match(r"<[a-zA-Z/!][^>]*$", source[at:]) else "")
+    parts.append(source[at:] if not re.match(r"<[a-zA-Z/!][^>]*$", source[at:]) else "")
     close_line()
     return out
 

@@ -123,6 +123,12 @@ def test_html_drops_no_headings_wrappers_figures_or_formulas():
     assert own_text('<main><p>own</p><nav>n</nav><aside>a</aside><form>f</form><div class="box ad">x</div><ol class="comment-list"><li>c</ol></main><div class="main-menu">m</div><div role="contentinfo">i</div>') == "own"
 
 
+def test_html_goes_on_after_a_script_that_holds_a_less_than_sign():
+    script = "<script>for(i=0;i<n;i++){track(i)}</script>"
+    assert own_text(f"<p>a</p>{script}<p>b</p><style>p<q{{}}</style><svg><path d='1'/></svg>c<script>x<y") == "a\n\nb\n\nc"
+    assert own_text(f"<article>one <SCRIPT>if(a<b)'\"</SCRIPT >two</article>{script}") == "one two"
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(5)
     for _ in range(300):
