@@ -2,15 +2,17 @@
 
 A page is read as text lines: one per block element, with the markup that holds it. Pages are ordered by
 host, URL path and id; each is paired with its neighbour on the same host (positions 0 and 1, 2 and 3,
-...; a last odd page joins the pair before it). The lines of a pair are aligned by longest common
-subsequence, and shared lines go: they belong to the site and not to the page. Two things limit that.
-Lines inside an article or main element are the page's own even where a copy of the page repeats them;
-and lines of menus, headers, footers, sidebars, cookie notices, adverts, forms and comments go by their
+...; a last odd page is compared with the one before it). The lines of a pair are aligned by longest common
+subsequence, and shared lines go: they belong to the site and not to the page. Three things limit that.
+A neighbour that shares nearly all lines is a copy of the page, and the next page of the block that is none
+is taken instead; without one nothing is shared. A line inside an article or main element is likelier the
+page's own, so it goes only if a second page, no copy of the page or its neighbour, shares it as well.
+And lines of menus, headers, footers, sidebars, cookie notices, adverts, forms and comments go by their
 markup, shared or not, as a host with a single page has no neighbour to tell. Class tokens, ids and roles
 tell by the whole name; inside article and main only nav, aside, form, adverts and comments go.
 
-The order comes from a narrow table of URLs, sorted by range; its cuts fall between pairs, so that pages
-move once, to the task that holds their pair, and a host of any size is dealt over many tasks.
+The order comes from a narrow table of URLs, sorted by range; its cuts fall between blocks, so that pages
+move once, to the task that holds their block, and a host of any size is dealt over many tasks.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pandas as pd
 import pyarrow as pa
@@ -30,6 +34,10 @@ from .common import arrow_map, bounded_batches, partitions, read, release, writt
 
 #: About so many pages, at most, are compared by one task.
 CHUNK_PAGES = 4096
+#: Pages of a host, next to each other in the order, among which neighbours are sought. A chunk holds whole blocks.
+BLOCK = 16
+#: Pages that share this part of their lines, without what goes by markup, are copies, which tell nothing of the site.
+COPY = 0.9
 #: Bits of the alignment's table; longer pairs are aligned by lines that are unique in both.
 TABLE_BITS = 1 << 28
 
@@ -167,9 +175,43 @@ def shared_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     return left, right
 
 
-def main_text(lines: list[Line], shared: set[int]) -> str:
-    """The lines that remain, joined by an empty line."""
-    return "\n\n".join(text for i, (text, own, dropped) in enumerate(lines) if not dropped and (own or i not in shared))
+def main_text(lines: list[Line], shared: set[int], again: set[int] = frozenset()) -> str:
+    """The lines that remain, joined by an empty line. shared: positions that a neighbour shares, again: those that a second one shares."""
+    return "\n\n".join(text for i, (text, own, dropped) in enumerate(lines) if not dropped and (i not in shared or own and i not in again))
+
+
+def block_texts(pages: list[list[Line]]) -> list[str]:
+    """Texts of one block's pages, in order."""
+    plain = [[x[0] for x in lines] for lines in pages]
+    counts = [Counter(text for text, _, dropped in lines if not dropped) for lines in pages]
+    aligned: dict[tuple[int, int], tuple[set[int], set[int]]] = {}
+
+    @cache
+    def copies(x: int, y: int) -> bool:
+        return sum((counts[x] & counts[y]).values()) >= COPY * max(counts[x].total(), counts[y].total())
+
+    def shared(x: int, y: int) -> set[int]:
+        pair = min(x, y), max(x, y)
+        if pair not in aligned:
+            aligned[pair] = shared_lines(plain[pair[0]], plain[pair[1]])
+        return aligned[pair][x > y]
+
+    def texts() -> Iterator[str]:
+        n = len(pages)
+        for x, lines in enumerate(pages):
+            mate = x ^ 1 if x ^ 1 < n else x - 1
+            others = [mate, *(y % n for y in range(x + 1, x + n) if y % n != mate)] if n > 1 else []
+            first = next((y for y in others if not copies(min(x, y), max(x, y))), None)
+            if first is None:
+                yield main_text(lines, set())
+                continue
+            met, again = shared(x, first), set()
+            if any(lines[i][1] and not lines[i][2] for i in met):
+                second = next((y for y in others if y != first and not copies(min(x, y), max(x, y)) and not copies(min(first, y), max(first, y))), None)
+                again = met & shared(x, second) if second is not None else again
+            yield main_text(lines, met, again)
+
+    return list(texts())
 
 
 def host_and_path(url: str | None) -> tuple[str, str]:
@@ -186,7 +228,7 @@ def _keys(urls: pd.Series) -> pd.DataFrame:
 
 
 def _cuts(pages: DataFrame) -> list[tuple]:
-    """Ordered keys (host, path, page_id as text) at which chunks begin: each at an even position of its host."""
+    """Ordered keys (host, path, page_id as text) at which chunks begin: each at the first page of a block."""
     spark = pages.sparkSession
     split = F.pandas_udf(_keys, "host string, path string")
     n = partitions(spark)
@@ -210,9 +252,9 @@ def _cuts(pages: DataFrame) -> list[tuple]:
     placed = placed.join(F.broadcast(spark.createDataFrame(starts, "part int, start long")), "part").withColumn("pos", F.col("start") + F.col("at"))
     hosts = placed.groupBy("host").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
     step = max(2, min(CHUNK_PAGES, -(-total // (4 * n))))  # several chunks a task, as they are dealt out by hash
-    # Of each stretch of step positions the first that begins a pair; a last odd page never begins one.
+    # Of each stretch of step positions the first that begins a block; a last page alone never begins one.
     inside = F.col("pos") - F.col("first")
-    begins = placed.join(hosts, "host").where((F.pmod(inside, F.lit(2)) == 0) & ~((inside == F.col("n") - 1) & (F.col("n") > 1)))
+    begins = placed.join(hosts, "host").where((F.pmod(inside, F.lit(BLOCK)) == 0) & ~((inside == F.col("n") - 1) & (F.col("n") > 1)))
     found = begins.groupBy(F.floor(F.col("pos") / step).alias("s")).agg(F.min(F.struct("pos", "host", "path", "id")).alias("k")).orderBy("s").collect()  # a row per chunk
     return [(r["k"]["host"], r["k"]["path"], r["k"]["id"]) for r in found]
 
@@ -240,18 +282,15 @@ def extract(pages: DataFrame) -> DataFrame:
         texts: list[str] = [""] * len(pdf)
         at = 0
         while at < len(order):
-            host, group = keys[order[at]][0], [order[at]]
-            while at + len(group) < len(order) and keys[order[at + len(group)]][0] == host and len(group) < 2:
-                group.append(order[at + len(group)])
-            if at + 2 < len(order) and len(group) == 2 and keys[order[at + 2]][0] == host and (at + 3 >= len(order) or keys[order[at + 3]][0] != host):
-                group.append(order[at + 2])  # a last odd page
-            lines = [page_lines(sources[i]) for i in group]
-            plain = [[x[0] for x in own] for own in lines]
-            for x, i in enumerate(group):
-                mate = x ^ 1 if x < 2 else 1
-                shared = shared_lines(plain[x], plain[mate])[0] if len(group) > 1 else set()
-                texts[i] = main_text(lines[x], shared)
-            at += len(group)
+            host, end = keys[order[at]][0], at
+            while end < len(order) and end - at <= BLOCK + 1 and keys[order[end]][0] == host:
+                end += 1
+            if end - at > BLOCK and end - at != BLOCK + 1:  # a last page alone joins the block before it
+                end = at + BLOCK
+            group = order[at:end]
+            for i, text in zip(group, block_texts([page_lines(sources[i]) for i in group]), strict=True):
+                texts[i] = text
+            at = end
         release()
         return pd.DataFrame({"own_id": pdf["own_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 

@@ -129,6 +129,19 @@ def test_html_goes_on_after_a_script_that_holds_a_less_than_sign():
     assert own_text(f"<article>one <SCRIPT>if(a<b)'\"</SCRIPT >two</article>{script}") == "one two"
 
 
+def test_html_differencing_acts_inside_main_and_spares_copies(spark):
+    inside = [(i, f"http://m.org/{i}", f'<main><p>Site line</p><p>own {i}</p><p>more {i}</p></main>') for i in range(3)]
+    copied = [(i, f"http://c.org/{i // 2}?v={i}", f"<p>Menu</p><p>own {i // 2}</p><p>more {i // 2}</p>") for i in range(10, 14)]
+    only = [(i, f"http://o.org/x?v={i}", "<p>a</p><p>b</p>") for i in (20, 21)]
+    many = [(100 + i, f"http://n.org/{i:02}", f"<main><p>Site line</p><p>own {i}</p></main>") for i in range(33)]
+    df = spark.createDataFrame([*inside, *copied, *only, *many], "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert [got[i] for i in range(3)] == [f"own {i}\n\nmore {i}" for i in range(3)]
+    assert [got[i] for i in range(10, 14)] == [f"own {i // 2}\n\nmore {i // 2}" for i in range(10, 14)]
+    assert got[20] == got[21] == "a\n\nb"
+    assert [got[100 + i] for i in range(33)] == [f"own {i}" for i in range(33)]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(5)
     for _ in range(300):
