@@ -23,6 +23,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -38,7 +39,7 @@ CHUNK_PAGES = 4096
 BLOCK = 16
 #: Pages that share this part of their lines, without what goes by markup, are copies, which tell nothing of the site.
 COPY = 0.9
-#: Bits of the alignment's table; longer pairs are aligned by lines that are unique in both.
+#: Bits of the alignment's table; longer pairs are halved until their parts fit (Hirschberg).
 TABLE_BITS = 1 << 28
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
@@ -137,8 +138,66 @@ def page_lines(source: str | None) -> list[Line]:
     return out
 
 
+def _rows(a: list[str], b: list[str]) -> Iterator[int]:
+    """The bit-parallel rows of the alignment's table, from no line of a on: a zero bit is where the row's length steps up."""
+    full = (1 << len(b)) - 1
+    places: dict[str, list[int]] = {}
+    for j, line in enumerate(b):
+        places.setdefault(line, []).append(j)
+
+    def mask(line: str) -> int:
+        bits = bytearray(len(b) // 8 + 1)
+        for j in places.get(line, ()):
+            bits[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(bits, "little")
+
+    often = {line: mask(line) for line, at in places.items() if len(at) ** 2 > len(b)}  # others are made anew, as all masks would fill a table
+    row = full
+    yield row
+    for line in a:
+        met = row & (often[line] if line in often else mask(line))
+        row = (row + met | row - met) & full
+        yield row
+
+
+def _lengths(a: list[str], b: list[str]) -> list[int]:
+    """Length of a longest common subsequence of a with each beginning of b."""
+    row = 0
+    for row in _rows(a, b):  # only the last
+        pass
+    return [0, *accumulate(1 - int(bit) for bit in reversed(f"{row:0{len(b)}b}"[-len(b) :]))] if b else [0]
+
+
+def _aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Pairs of positions of one longest common subsequence of a and b, in a table of at most TABLE_BITS bits at a time."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        left, right = a[i0:i1], b[j0:j1]
+        if not left or not right:
+            continue
+        if len(left) * len(right) > TABLE_BITS and len(left) > 1:
+            half = len(left) // 2
+            before, after = _lengths(left[:half], right), _lengths(left[half:][::-1], right[::-1])
+            cut = max(range(len(right) + 1), key=lambda j: before[j] + after[len(right) - j])
+            todo += [(i0, i0 + half, j0, j0 + cut), (i0 + half, i1, j0 + cut, j1)]
+            continue
+        rows = list(_rows(left, right))
+        i, j = len(left), len(right)
+        while i and j:
+            if rows[i] >> j - 1 & 1:
+                j -= 1
+            elif not rows[i - 1] >> j - 1 & 1:
+                i -= 1
+            else:
+                out.append((i0 + i - 1, j0 + j - 1))
+                i, j = i - 1, j - 1
+    return out
+
+
 def shared_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
-    """Positions in a and in b of one longest common subsequence, by bit-parallel rows and a walk back."""
+    """Positions in a and in b of one longest common subsequence, by bit-parallel rows and a walk back; exact at any length."""
     first = 0
     while first < min(len(a), len(b)) and a[first] == b[first]:
         first += 1
@@ -149,29 +208,9 @@ def shared_lines(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     common = set(a[first : len(a) - last]) & set(b[first : len(b) - last])
     ia = [i for i in range(first, len(a) - last) if a[i] in common]
     ib = [i for i in range(first, len(b) - last) if b[i] in common]
-    if len(ia) * len(ib) > TABLE_BITS:
-        ua, ub = ({x for x in common if sum(1 for i in of if line[i] == x) == 1} for line, of in ((a, ia), (b, ib)))
-        ia, ib = [i for i in ia if a[i] in ua & ub], [i for i in ib if b[i] in ua & ub]
-    if ia and ib:
-        full = (1 << len(ib)) - 1
-        where: dict[str, int] = {}
-        for j, i in enumerate(ib):
-            where[b[i]] = where.get(b[i], 0) | 1 << j
-        rows, row = [full], full
-        for i in ia:
-            met = row & where.get(a[i], 0)
-            row = (row + met | row - met) & full
-            rows.append(row)
-        i, j = len(ia), len(ib)
-        while i and j:  # a zero bit is where the row's length steps up
-            if rows[i] >> j - 1 & 1:
-                j -= 1
-            elif not rows[i - 1] >> j - 1 & 1:
-                i -= 1
-            else:
-                left.add(ia[i - 1])
-                right.add(ib[j - 1])
-                i, j = i - 1, j - 1
+    for i, j in _aligned([a[i] for i in ia], [b[j] for j in ib]):
+        left.add(ia[i])
+        right.add(ib[j])
     return left, right
 
 
@@ -264,7 +303,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A null html has no text; a null url belongs to the host without a name. Pages that repeat url and id
     are neighbours in some order, which matters only if their html differs. Pages of any length are
-    read whole. Other columns are not read.
+    read whole, and pairs of any length are aligned exactly. Other columns are not read.
     """
     spark = pages.sparkSession
     bounded_batches(spark)

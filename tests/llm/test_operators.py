@@ -155,6 +155,18 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert len(left) == table[-1][-1]
 
 
+@pytest.mark.parametrize("bits", [0, 1, 7, 30])
+def test_shared_lines_of_long_pairs_are_longest_too(monkeypatch, bits):
+    rng = random.Random(6)
+    pairs = [[[rng.choice("abcd") for _ in range(rng.randint(0, 14))] for _ in range(2)] for _ in range(200)]
+    want = [len(html_extract.shared_lines(a, b)[0]) for a, b in pairs]
+    monkeypatch.setattr(html_extract, "TABLE_BITS", bits)
+    for (a, b), n in zip(pairs, want, strict=True):
+        left, right = html_extract.shared_lines(a, b)
+        assert [a[i] for i in sorted(left)] == [b[i] for i in sorted(right)]
+        assert len(left) == n
+
+
 def test_fingerprints(docs, rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     want = []
