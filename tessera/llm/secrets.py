@@ -3,14 +3,16 @@
 Base findings stand by themselves: assignments of a value to a telling name, access identifiers with
 their prefix, and long runs of hexadecimal digits. Weak candidates do not: a credential that is cut in
 parts shows an identifier, a secret and an endpoint that each could be ordinary text. Scopes are
-stretches of text without a blank line; within a scope an interval join pairs parts that lie at most
-``reach`` characters apart, and a weak part is reported only where a complementary part, weak or base,
-co-occurs. The join sweeps the parts in order of position, so it costs one pass and never lists pairs.
+stretches of text without a blank line; within a scope an interval join pairs parts at any distance (or
+at most ``reach`` characters apart), and a weak part is reported only where a complementary part, weak or
+base, co-occurs. An endpoint may hold parts of its own: identifiers anywhere, secrets in its user part or
+after its first ?, # or ;, as a long path is no secret. The join sweeps the parts in order of position, so it costs one pass and never lists pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable, Iterator
@@ -38,7 +40,26 @@ WEAK = {
 ROLE = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret", "weak_endpoint": "endpoint"}
 #: What completes each role.
 COMPLETES = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
-REACH = 200
+REACH = math.inf
+#: A secret where an endpoint's credentials stand: the user part's beginning, or after a : or =.
+INNER_SECRET = re.compile(r"(?:^|(?<=[:=]))" + WEAK["weak_secret"].pattern.split(")", 1)[1])
+KINDS = ("assign", "access", "hex")
+
+#: Weak parts: an identifier, a secret or an endpoint of a credential.
+WEAK = {
+    "weak_id": re.compile(r"""(?:client|account|user|access|key)[_-]?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9._-]{4,}|(?<![A-Za-z0-9])AS?IA[A-Z0-9]{8,}""", re.IGNORECASE | re.ASCII),
+    "weak_secret": re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
+    "weak_endpoint": re.compile(r"(?:[a-z][a-z0-9+.-]{1,15}://|(?:endpoint|host|server)\x20*[:=]\x20*)[^\s\"'<>]{4,}", re.IGNORECASE | re.ASCII),
+}
+#: The part of a credential that a finding can be.
+ROLE = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret", "weak_endpoint": "endpoint"}
+#: What completes each role.
+COMPLETES = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
+REACH = math.inf
+#: Inside an endpoint: the user part, and what follows the address, in which a secret may stand after any separator.
+_USER = re.compile(r"://([^\s/?#@]+(?:/[^\s/?#@]+)*)@")
+_REST = re.compile(r"[?#;]")
+_INNER_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])" + WEAK["weak_secret"].pattern.split(")", 1)[1])
 KINDS = (*BASE_KINDS, *WEAK)
 SCOPE_END = re.compile(r"\n[ \t\r]*\n")
 
@@ -57,14 +78,30 @@ def _order(span: Span) -> tuple[int, int, int]:
     return span[0], KINDS.index(span[2]), span[1]
 
 
-def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
+def _credentials(text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Where an endpoint's credentials may stand: its user part, and what follows its address."""
+    scheme = text.find("://", start, stop)
+    host = scheme + 3 if scheme >= 0 else start
+    rest = min(i if i >= 0 else stop for i in (text.find(c, host, stop) for c in "?#;"))
+    at = text.rfind("@", host, rest)
+    if scheme >= 0 and at >= 0:
+        yield host, at
+    if rest < stop:
+        yield rest, stop
+
+
+def linked_spans(text: str, base: list[Span], reach: float = REACH) -> list[Span]:
     """Weak parts that a complementary part completes within one scope and reach.
 
-    A weak part that overlaps a base finding, or an earlier weak part, is that finding and not a part of its own.
+    A weak part that overlaps a base finding, or an earlier weak part, is that finding and not a part of its own;
+    but an endpoint and what it holds are parts each.
     """
-    weak = sorted(((m.start(), m.end(), kind) for kind, pattern in WEAK.items() for m in pattern.finditer(text)), key=_order)
+    weak = [(m.start(), m.end(), kind) for kind, pattern in WEAK.items() for m in pattern.finditer(text)]
     if not weak:
         return []
+    places = {span: list(_credentials(text, *span[:2])) for span in weak if span[2] == "weak_endpoint"}
+    inner = {(at + m.start(), at + m.end(), "weak_secret") for within in places.values() for at, stop in within for m in INNER_SECRET.finditer(text[at:stop])}
+    weak = sorted({*weak, *inner}, key=_order)
     cover: list[list[int]] = []  # stretches that base findings take, disjoint, in order
     for start, stop, _ in base:
         if cover and start < cover[-1][1]:
@@ -72,10 +109,18 @@ def linked_spans(text: str, base: list[Span], reach: int = REACH) -> list[Span]:
         else:
             cover.append([start, stop])
     starts = [c[0] for c in cover]
-    parts, taken = [], 0
+    parts, taken, held = [], 0, 0  # held: where the last endpoint ends
     for span in weak:
-        i = bisect_left(starts, span[1]) - 1
-        if span[0] >= taken and (i < 0 or cover[i][1] <= span[0]):
+        i = bisect_left(starts, span[1])
+        within = places.get(span, [])
+        while i and cover[i - 1][1] > span[0] and any(at <= cover[i - 1][0] and cover[i - 1][1] <= stop for at, stop in within):
+            i -= 1
+        if span[0] < taken or i and cover[i - 1][1] > span[0]:
+            continue
+        if span in places:
+            parts.append(span)
+            held = span[1]
+        elif span[0] >= held or span[2] == "weak_id" or span in inner:
             parts.append(span)
             taken = span[1]
     if not parts:
@@ -106,7 +151,7 @@ def digest(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: float = REACH) -> DataFrame:
     """One row per row of docs: doc_id and findings, an array of (start, end, kind, found, weak).
 
     Positions count code points, end exclusive, in order of start, kind, end. Null and empty texts have
