@@ -6,7 +6,7 @@ word of highest IDF (its anchor), with all its words' positions as postings rela
 file's words are looked up by falling IDF; an anchor found at position p puts the template's start at
 p minus the anchor's position, and the postings of the other words are intersected at their relative
 positions. A template that keeps enough of its words is verified by its key phrases, word by word, and
-labels the file. A name's only key phrase is the whole name, so that names are found exactly.
+labels the file. A name's only key phrase is the whole name, so that names are found exactly, whatever the frequencies.
 """
 
 from __future__ import annotations
@@ -29,6 +29,14 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
+#: Further names and their labels, which stand word by word wherever they occur.
+NAMES = {
+    "gnu lesser general public license": "lgpl",
+    "mozilla public license": "mpl",
+    "cc by nc": "cc-by-nc",
+    "cc by sa": "cc-by-sa",
+    "cc by nd": "cc-by-nd",
+}
 #: Notices by label: the text, then phrases of it that must occur word by word.
 NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
@@ -37,9 +45,6 @@ NOTICES = (
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("you can redistribute it and or modify it under the terms of the gnu general public license",)),
     ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", ("gnu lesser general public license",)),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
-    ("cc-by-nc", "licensed under cc by nc", ("cc by nc",)),
-    ("cc-by-sa", "licensed under cc by sa", ("cc by sa",)),
-    ("cc-by-nd", "licensed under cc by nd", ("cc by nd",)),
     ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain", ("dedicated the work to the public domain",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software released into the public domain",)),
 )
@@ -62,9 +67,10 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().translate(_WORD).split()
 
 
-def templates(base: dict[str, str] = BASE, notices: tuple = NOTICES) -> list[Template]:
+def templates(base: dict[str, str] = BASE, notices: tuple = NOTICES, names: dict[str, str] = NAMES) -> list[Template]:
     cut = lambda phrase: tuple(words_of(phrase))
-    return [Template(label, cut(p), (cut(p),), True) for p, label in base.items()] + [Template(label, cut(t), tuple(map(cut, keys)), False) for label, t, keys in notices]
+    exact = [Template(label, cut(p), (cut(p),), own is base) for own in (base, names) for p, label in own.items()]
+    return exact + [Template(label, cut(t), tuple(map(cut, keys)), False) for label, t, keys in notices]
 
 
 class Index:
@@ -97,7 +103,7 @@ class Index:
 
     def _verified(self, words: list[bytes], start: int, t: Template) -> float | None:
         lo, hi = max(0, start), min(len(words), start + len(t.words))
-        if t.base:
+        if t.words in t.keys:  # a name
             return 1.0 if start >= 0 and tuple(words[lo : lo + len(t.words)]) == t.words else None
         whole = sum(self.idf[w] for w in t.words)
         met = sum(self.idf[w] for w, q in zip(t.words, range(start, start + len(t.words)), strict=True) if lo <= q < hi and words[q] == w)

@@ -356,6 +356,13 @@ def test_licenses(spark):
     assert (got[5]["base_labels"], got[5]["labels"]) == ("", "mit")
 
 
+@pytest.mark.parametrize("common", ["", "cc by nc sa nd", "licensed under", "mozilla gnu lesser"])
+def test_license_names_need_no_notice_around_them(spark, common):
+    rows = [(1, "This is CC BY-NC 4.0."), (2, "(CC-BY-SA)"), (3, "cc by nd"), (4, "Mozilla Public License 2.0"), (5, "see the GNU Lesser General Public License"), (6, "Licensed under CC BY-NC"), (7, "cc by x nc"), *((i, common) for i in range(8, 60))]
+    got = {r["doc_id"]: r["labels"] for r in licenses.summary(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [got[i] for i in range(1, 8)] == ["cc-by,cc-by-nc", "cc-by,cc-by-sa", "cc-by,cc-by-nd", "mpl", "lgpl", "cc-by,cc-by-nc", "cc-by"]
+
+
 def brute_components(rows):
     sets = []
     for _, t, _, _ in rows:
