@@ -11,7 +11,9 @@ Texts are equal when their bytes agree after A-Z became a-z; null counts as empt
 3. Owner tasks hold contiguous key ranges of buckets. Entries with one key but different bytes
    (collisions) are chained there; a chain's entries have positions 0, 1, ... The index is written to
    the shared folder, so lost executors cost a re-read, not a rebuild.
-4. Rows find their entry by key and 256-bit digest.
+4. Rows find their entry by key and 256-bit digest, in a join.
+
+The aggregation of step 1 decides; buckets, depths, chains and the directory order the index and change no answer.
 """
 
 from __future__ import annotations
