@@ -49,20 +49,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def sweep(spark: SparkSession, *done: DataFrame) -> None:
-    """Delete written tables that nothing reads any more, and let Spark remove the shuffle files of finished jobs.
+def delete(*done: DataFrame) -> None:
+    """Delete written tables that nothing reads any more.
 
     What was derived from them must be written itself, so that a lost executor needs none of them.
     """
     for df in done:
+        spark = df.sparkSession
         at = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)  # noqa: SLF001
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)  # noqa: SLF001
+
+
+def sweep(spark: SparkSession, *done: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, and let Spark remove the shuffle files of finished jobs."""
+    delete(*done)
     gc.collect()
     spark._jvm.System.gc()  # noqa: SLF001 - the cleaner acts on what the driver has let go
 
 
 
-
 #: Rows that a Python worker holds at a time, unless the session says otherwise. Texts may be long.
 BATCH_ROWS = 1000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"

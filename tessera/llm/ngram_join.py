@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, arrow_map, read, sweep, written
+from .common import LOWER, UPPER, arrow_map, delete, read, sweep, written
 
 WORDS = 5
 #: Sizes of a band lie within this factor.
@@ -112,9 +112,28 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return shingle_sets([text], words)[0]
 
 
-def set_id(own: np.ndarray) -> int:
-    """A 64-bit name of a set; 0 only for the empty set."""
-    return ((xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)) or 1) if len(own) else 0
+def digest(own: np.ndarray) -> bytes:
+    """128 bits that stand for a set."""
+    return xxhash.xxh3_128_digest(own.tobytes())
+
+
+class Names:
+    """64-bit names of sets, 0 only for the empty one. Names that stand for several 128-bit digests are
+    clashes; their sets are named by the other half of the digest. bits: of the first half, fewer in tests."""
+
+    def __init__(self, clashes: frozenset[int] = frozenset(), bits: int = 64) -> None:
+        self.clashes, self.bits = clashes, bits
+
+    def halves(self, own: np.ndarray) -> tuple[int, int]:
+        if not len(own):
+            return 0, 0
+        whole = digest(own)
+        first, other = (int.from_bytes(whole[i : i + 8], "little", signed=True) for i in (0, 8))
+        return first >> 64 - self.bits or 1, other or 1
+
+    def of(self, own: np.ndarray) -> int:
+        first, other = self.halves(own)
+        return other if first in self.clashes else first
 
 
 def bands(size: int) -> list[int]:
@@ -192,13 +211,14 @@ def _blocks(batch: pa.RecordBatch, column: int, chars: int = 200_000) -> Iterato
         yield start, values
 
 
-def _new_sets(texts: list[str | None], seen: set[int]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
+def _new_sets(texts: list[str | None], seen: set, name: Callable) -> tuple[np.ndarray, np.ndarray, list, list[int]]:
     """Shingle sets, their names, and which of them are not empty and not seen before."""
     flat, begins = shingle_sets(texts)
     names, new = [], []
     for i in range(len(texts)):
-        names.append(set_id(flat[begins[i] : begins[i + 1]]))
-        if names[-1] and names[-1] not in seen:
+        own = flat[begins[i] : begins[i + 1]]
+        names.append(name(own))
+        if len(own) and names[-1] not in seen:
             seen.add(names[-1])
             new.append(i)
     return flat, begins, names, new
@@ -215,31 +235,34 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """Per row: row_key, doc_id, n_shingles, set_id; and, in rows of kind 1, frequent signatures of a task with their counts."""
+def _sets(docs: DataFrame, names: Names) -> DataFrame:
+    """Per row: row_key, row_key2, doc_id, n_shingles, set_id, other (both halves of the digest); and, in rows of
+    kind 1, frequent signatures of a task (as row_key) with their counts."""
+    columns = ["kind", "row_key", "row_key2", "doc_id", "n_shingles", "set_id", "other"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         signs: list[np.ndarray] = []
         held = 0
-        names = ["kind", "row_key", "doc_id", "n_shingles", "set_id"]
 
         def frequent(id_type: pa.DataType) -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(signs) if signs else np.zeros(0, np.uint64), return_counts=True)
             found, n = found[n >= FREQUENT], n[n >= FREQUENT]
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(n), np.int32)), _long(found), pa.nulls(len(n), id_type), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.int64())], names=names)
+            none = pa.nulls(len(n), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(n), np.int32)), _long(found), none, pa.nulls(len(n), id_type), pa.array(n.astype(np.int64)), none, none], names=columns)
 
         id_type = None
         for batch in batches:
-            id_type = batch.column(1).type
+            id_type = batch.column(2).type
             sizes, ids = [], []
-            for _, texts in _blocks(batch, 2):
-                flat, begins, names_of, new = _new_sets(texts, seen)
+            for _, texts in _blocks(batch, 3):
+                flat, begins, names_of, new = _new_sets(texts, seen, names.halves)
                 sizes += np.diff(begins).tolist()
                 ids += names_of
                 signs.append(Cells(*_chosen(flat, begins, new)).signs)
                 held += len(signs[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())], names=names)
+            halves = [pa.array([x[i] for x in ids], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int32)), *batch.columns[:3], pa.array(sizes, pa.int64()), *halves], names=columns)
             if held > 1_000_000:
                 yield frequent(id_type)
                 signs, held = [], 0
@@ -247,7 +270,19 @@ def _sets(docs: DataFrame) -> DataFrame:
             yield frequent(id_type)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs, run, f"kind int, row_key long, doc_id {kind}, n_shingles long, set_id long", _forget)
+    return arrow_map(docs.select("row_key", "row_key2", "doc_id", "text"), run, f"kind int, row_key long, row_key2 long, doc_id {kind}, n_shingles long, set_id long, other long", _forget)
+
+
+def _named(sets: DataFrame, bits: int) -> tuple[DataFrame, Names]:
+    """The rows with a name for each different set, and the rule of the names.
+
+    Of n different sets about n * n / 2**65 share a first half (3 of 10**10); only these are collected.
+    """
+    several = sets.groupBy("set_id").agg(F.min("other").alias("lo"), F.max("other").alias("hi")).where("lo < hi")
+    clashes = frozenset(r["set_id"] for r in several.select("set_id").collect())
+    if clashes:
+        sets = sets.withColumn("set_id", F.when(F.col("set_id").isin(list(clashes)), F.col("other")).otherwise(F.col("set_id")))
+    return sets.drop("other"), Names(clashes, bits)
 
 
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -259,7 +294,7 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return signs[order], np.log2(top.column("n").to_numpy().astype(np.float64)).astype(np.int8)[order]
 
 
-def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], names: Names) -> DataFrame:
     """set_id and its signatures, once for each task that meets the set."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -276,7 +311,7 @@ def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Dat
         for batch in batches:
             ids, signs = [], []
             for _, texts in _blocks(batch, 0):
-                flat, begins, names_of, new = _new_sets(texts, seen)
+                flat, begins, names_of, new = _new_sets(texts, seen, names.of)
                 ids += [names_of[i] for i in new]
                 signs += [x.view(np.int64) for x in signatures(*_chosen(flat, begins, new), often)]
             ends = np.cumsum([0, *map(len, signs)])
@@ -331,9 +366,10 @@ def _buckets(enumerated: DataFrame) -> DataFrame:
 
 def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id, shingles (sorted, as bytes) of the wanted sets, read from one row of each."""
-    one = written(rows.join(wanted, "set_id").groupBy("set_id").agg(F.min("row_key").alias("row_key")), "jaccard-rows")
-    found = docs.where(Filter(one, "row_key").passes(F.col("row_key"))).join(one.withColumnRenamed("set_id", "wanted_id"), "row_key")
-    found = found.dropDuplicates(["row_key"])  # repeated rows; where the join dealt out by row_key, nothing moves
+    firsts = rows.groupBy("set_id").agg(F.min(F.struct("row_key", "row_key2")).alias("row"))  # copies fold before they move
+    one = written(firsts.join(wanted, "set_id").select(F.col("set_id").alias("wanted_id"), "row.row_key", "row.row_key2"), "jaccard-rows")
+    found = docs.where(Filter(one, "row_key").passes(F.col("row_key"))).join(one, ["row_key", "row_key2"])
+    found = found.dropDuplicates(["row_key", "row_key2"])  # repeated rows; where the join dealt out by these, nothing moves
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -385,7 +421,8 @@ def components(links: DataFrame) -> DataFrame:
         large = written(large, "stars")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
-        edges = written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "stars")
+        before, edges = edges, written(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "stars")
+        delete(before, large)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -399,21 +436,29 @@ def _labelled(frame: DataFrame, column: str, named: DataFrame, label: str) -> Da
 
 
 def _across_near(compared: DataFrame, named: DataFrame) -> DataFrame:
-    """Candidates (a, b) in unlike components, both near one centre, by their differences from it."""
+    """Links (a, b) between unlike components, both near one centre, by their differences from it."""
     near = _labelled(compared.where("added is not null").select(F.col("a").alias("centre"), F.col("b").alias("set_id"), "n_a", "n_b", "apart", "linked", "added", "removed"), "set_id", named, "component")
     mixed = near.groupBy("centre").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max((~F.col("linked")).cast("int")).alias("loose")).where("lo < hi and loose = 1").select("centre")
-    near = written(near.join(mixed, "centre"), "jaccard-near")
+    near = written(near.where(Filter(mixed, "centre").passes(F.col("centre"))), "jaccard-near")  # what else passes meets nothing below
     # Of a pair's differences from the centre, (9 (apart_a + apart_b) - size_a - size_b) / 18 must be common, which is over 0 if a
     # isn't linked. In one order of shingles the first common one leaves so many behind it in both.
     ordered = F.concat(F.array_sort("added"), F.array_sort("removed"))
-    side = lambda x, at: ["centre", F.col("set_id").alias(x), F.col("component").alias(f"of_{x}"), F.col("apart").alias(f"apart_{x}"), F.col("n_b").alias(f"size_{x}"), F.posexplode(F.slice(ordered, F.lit(1), at.cast("int"))).alias(f"at_{x}", "e")]
+    side = lambda x, at: [F.col("centre").alias(f"centre_{x}"), F.col("set_id").alias(x), F.col("component").alias(f"of_{x}"), F.col("apart").alias(f"apart_{x}"), F.col("n_b").alias(f"size_{x}"), F.posexplode(F.slice(ordered, F.lit(1), at.cast("int"))).alias(f"at_{x}", f"e_{x}")]
     least = F.floor((9 * F.col("apart") + F.col("n_a") - F.col("n_b")) / 18) + 1  # of b's, whatever a is
     b = near.select(*side("b", F.greatest(F.lit(0), F.col("apart") - least + 1)))
     a = near.where("not linked").select(*side("a", F.floor(F.col("n_b") / 4) + 1))
     common = 9 * (F.col("apart_a") + F.col("apart_b")) - F.col("size_a") - F.col("size_b")
     early = (common <= 18 * (F.col("apart_a") - F.col("at_a"))) & (common <= 18 * (F.col("apart_b") - F.col("at_b")))
-    met = a.join(b, (a["centre"] == b["centre"]) & (a["e"] == b["e"]) & (F.col("of_a") != F.col("of_b")) & _possible() & early)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = a.join(b, F.expr("centre_a = centre_b and e_a = e_b and of_a <> of_b") & _possible() & early)
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "centre_a").groupBy("a", "b").agg(F.min("centre_a").alias("centre"))
+    # What a and b have apart from each other is what their differences from the centre have apart: no set moves again.
+    own = lambda x: near.select("centre", F.col("set_id").alias(x), F.col("apart").alias(f"apart_{x}"), F.col("n_b").alias(f"size_{x}"), F.col("added").alias(f"added_{x}"), F.col("removed").alias(f"removed_{x}"))
+    full = pairs.join(own("a"), ["centre", "a"]).join(own("b"), ["centre", "b"])
+    both = F.size(F.array_intersect("added_a", "added_b")) + F.size(F.array_intersect("removed_a", "removed_b"))
+    links = full.where(9 * (F.col("apart_a") + F.col("apart_b") - 2 * both) <= F.col("size_a") + F.col("size_b")).select("a", "b")
+    out = written(links, "jaccard-links")
+    delete(near)
+    return out
 
 
 def _possible() -> Column:
@@ -441,50 +486,70 @@ def _across_far(buckets: DataFrame, compared: DataFrame, named: DataFrame) -> Da
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, set_id, component_id (the least doc_id reachable by links).
+def _row_keys(id_col: str, text_col: str) -> list[Column]:
+    """128 bits that stand for a row's id and text, as two longs."""
+    return [F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias(name) for seed, name in ((0, "row_key"), (1, "row_key2"))]
 
-    Words are runs of characters other than ASCII white space, with A-Z lower-cased. Null and empty texts
-    have no shingle and no link: their component is their own id. Equal sets are linked, whatever
-    the number of copies. A null id is the least of no component unless all its ids are null, and then
-    null; repeated rows get equal answers. No rows give no rows. Other columns are not read.
-    """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
-    all_sets = written(_sets(rows.select("row_key", "doc_id", "text")), "jaccard-all")
-    sets = all_sets.where("kind = 0").drop("kind")
-    buckets = _buckets(written(_enumerated(rows, _frequent(all_sets)), "jaccard-signatures"))
+
+def _components_of_rows(docs: DataFrame, id_col: str, text_col: str, name_bits: int = 64) -> DataFrame:
+    """Per row of docs: row_key, row_key2, doc_id, n_shingles, set_id, component_id."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *_row_keys(id_col, text_col))
+    all_sets = written(_sets(rows, Names(bits=name_bits)), "jaccard-all")
+    sets, names = _named(all_sets.where("kind = 0").drop("kind"), name_bits)
+    buckets = _buckets(written(_enumerated(rows, _frequent(all_sets), names), "jaccard-signatures"))
     stars = written(buckets.where("set_id <> centre").select(F.col("centre").alias("a"), F.col("set_id").alias("b")).distinct(), "jaccard-stars")
     wanted = stars.select(F.col("a").alias("set_id")).union(stars.select(F.col("b").alias("set_id"))).distinct()
-    members = _members(rows.select("row_key", "text"), sets.select("set_id", "row_key"), wanted)
+    members = _members(rows.select("row_key", "row_key2", "text"), sets.select("set_id", "row_key", "row_key2"), wanted)
+    sweep(spark)
     compared = written(_compared(stars, members, differences=True), "jaccard-compared")
-    spark = docs.sparkSession
     sweep(spark)
     links = compared.where("linked").select("a", "b")
     named = written(components(links), "jaccard-named")
-    near = written(_across_near(compared, named), "jaccard-across")
+    near = _across_near(compared, named)
     sweep(spark)
     far = written(_across_far(buckets, compared, named), "jaccard-across")
     sweep(spark, buckets)
-    across = written(near.union(far).distinct(), "jaccard-across")
-    ends = across.select(F.explode(F.array("a", "b")).alias("set_id"))
+    ends = far.select(F.explode(F.array("a", "b")).alias("set_id"))
     some = members.where(Filter(ends, "set_id").passes(F.col("set_id")))
-    more = written(_compared(across, some, differences=False).where("linked").select("a", "b"), "jaccard-links")
+    more = written(near.union(_compared(far, some, differences=False).where("linked").select("a", "b")), "jaccard-links")
     sweep(spark, members)
     if not more.isEmpty():
         named = written(components(links.union(more)), "jaccard-named")
-    labelled = written(_labelled(sets.select("doc_id", "n_shingles", "set_id"), "set_id", named, "component"), "jaccard-labelled")
-    least = labelled.where("set_id <> 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    linked = labelled.where("set_id <> 0").join(least, "component").select("doc_id", "n_shingles", "set_id", F.col("least").alias("component_id"))
-    return linked.unionAll(labelled.where("set_id = 0").select("doc_id", "n_shingles", "set_id", F.col("doc_id").alias("component_id")))
+    # Rows fold to their set and sets to their component before anything is joined; each result is a table of
+    # its own, so that a join dealt by a hot set or component can be split.
+    least = written(sets.where("set_id <> 0").groupBy("set_id").agg(F.min("doc_id").alias("least")), "jaccard-least")
+    linked = least.join(named.withColumnRenamed("node", "set_id"), "set_id", "left")
+    linked = written(linked.select("set_id", "least", F.coalesce("component", "set_id").alias("component")), "jaccard-labelled")
+    of_component = written(linked.groupBy("component").agg(F.min("least").alias("component_id")), "jaccard-components")
+    answers = written(linked.join(of_component, "component").select("set_id", "component_id"), "jaccard-answers")
+    delete(least, linked, of_component)
+    columns = ["row_key", "row_key2", "doc_id", "n_shingles", "set_id", "component_id"]
+    return sets.where("set_id <> 0").join(answers, "set_id").select(*columns).unionAll(sets.where("set_id = 0").withColumn("component_id", F.col("doc_id")).select(*columns))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, set_id, component_id (the least doc_id reachable by links).
+
+    Words are runs of characters other than ASCII white space, with A-Z lower-cased. Null and empty texts
+    have no shingle and no link: their component is their own id. Equal sets are linked, whatever
+    the number of copies. A null id is the least of no component unless all its ids are null, and then
+    null; repeated rows get equal answers. No rows give no rows. Other columns are not read.
+    """
+    return _components_of_rows(docs, id_col, text_col, **options).select("doc_id", "n_shingles", "set_id", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows whose component has a smaller id, with docs' columns; rows without an id stay."""
-    found = jaccard_components(docs, id_col, text_col)
-    dropped = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__nj_id")).distinct(), "jaccard-dropped")
-    passes = Filter(dropped.select(F.xxhash64("__nj_id").alias("__nj_hash")), "__nj_hash").passes
-    maybe = passes(F.xxhash64(id_col))
-    kept = docs.where(maybe).join(dropped, F.col(id_col) == F.col("__nj_id"), "left_anti")
+    """docs without the rows whose component has a smaller id, with docs' columns; rows without an id stay.
+
+    Decisions are by row (id and text): of rows that repeat an id, each goes or stays by its own text, and
+    all rows with the least id of a component stay, as do repetitions of one row. No rows give no rows.
+    """
+    found = _components_of_rows(docs, id_col, text_col)
+    dropped = written(found.where("component_id <> doc_id").select(F.col("row_key").alias("__nj_1"), F.col("row_key2").alias("__nj_2")).distinct(), "jaccard-dropped")
+    one, two = _row_keys(id_col, text_col)
+    maybe = Filter(dropped, "__nj_1").passes(one)
+    kept = docs.where(maybe).join(dropped, (one == F.col("__nj_1")) & (two == F.col("__nj_2")), "left_anti")
     return docs.where(~maybe).unionAll(kept)
 
 
