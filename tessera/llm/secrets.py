@@ -5,7 +5,8 @@ their prefix, and long runs of hexadecimal digits. Weak candidates do not: a cre
 parts shows an identifier, a secret and an endpoint that each could be ordinary text. Scopes are
 stretches of text without a blank line; within a scope an interval join pairs parts at any distance (or
 at most ``reach`` characters apart), and a weak part is reported only where a complementary part, weak or
-base, co-occurs. An endpoint may hold parts of its own: identifiers anywhere, secrets in its user part or
+base, co-occurs. All candidates are linked, overlapping ones too; what overlaps is settled among those that
+are completed. An endpoint may hold parts of its own: identifiers anywhere, secrets in its user part or
 after its first ?, # or ;, as a long path is no secret. The join sweeps the parts in order of position, so it costs one pass and never lists pairs.
 """
 
@@ -32,7 +33,7 @@ BASE_KINDS = ("assign", "access", "hex")
 
 #: Weak parts: an identifier, a secret or an endpoint of a credential.
 WEAK = {
-    "weak_id": re.compile(r"""(?:client|account|user|access|key)[_-]?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9._-]{4,}|(?<![A-Za-z0-9])AS?IA[A-Z0-9]{8,}""", re.IGNORECASE | re.ASCII),
+    "weak_id": re.compile(r"""(?:client|account|user|access|key)[_-]?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9._-]{4,}|(?<![A-Za-z0-9])(?-i:(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{8,})""", re.IGNORECASE | re.ASCII),
     "weak_secret": re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
     "weak_endpoint": re.compile(r"(?:[a-z][a-z0-9+.-]{1,15}://|(?:endpoint|host|server)\x20*[:=]\x20*)[^\s\"'<>]{4,}", re.IGNORECASE | re.ASCII),
 }
@@ -43,23 +44,6 @@ COMPLETES = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secr
 REACH = math.inf
 #: A secret where an endpoint's credentials stand: the user part's beginning, or after a : or =.
 INNER_SECRET = re.compile(r"(?:^|(?<=[:=]))" + WEAK["weak_secret"].pattern.split(")", 1)[1])
-KINDS = ("assign", "access", "hex")
-
-#: Weak parts: an identifier, a secret or an endpoint of a credential.
-WEAK = {
-    "weak_id": re.compile(r"""(?:client|account|user|access|key)[_-]?id["']?\x20*[:=]\x20*["']?[A-Za-z0-9._-]{4,}|(?<![A-Za-z0-9])AS?IA[A-Z0-9]{8,}""", re.IGNORECASE | re.ASCII),
-    "weak_secret": re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{20,}={0,2}"),
-    "weak_endpoint": re.compile(r"(?:[a-z][a-z0-9+.-]{1,15}://|(?:endpoint|host|server)\x20*[:=]\x20*)[^\s\"'<>]{4,}", re.IGNORECASE | re.ASCII),
-}
-#: The part of a credential that a finding can be.
-ROLE = {"assign": "secret", "access": "id", "hex": "secret", "weak_id": "id", "weak_secret": "secret", "weak_endpoint": "endpoint"}
-#: What completes each role.
-COMPLETES = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
-REACH = math.inf
-#: Inside an endpoint: the user part, and what follows the address, in which a secret may stand after any separator.
-_USER = re.compile(r"://([^\s/?#@]+(?:/[^\s/?#@]+)*)@")
-_REST = re.compile(r"[?#;]")
-_INNER_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])" + WEAK["weak_secret"].pattern.split(")", 1)[1])
 KINDS = (*BASE_KINDS, *WEAK)
 SCOPE_END = re.compile(r"\n[ \t\r]*\n")
 
@@ -90,18 +74,12 @@ def _credentials(text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
         yield rest, stop
 
 
-def linked_spans(text: str, base: list[Span], reach: float = REACH) -> list[Span]:
-    """Weak parts that a complementary part completes within one scope and reach.
-
-    A weak part that overlaps a base finding, or an earlier weak part, is that finding and not a part of its own;
-    but an endpoint and what it holds are parts each.
-    """
+def _candidates(text: str, base: list[Span]) -> tuple[list[Span], dict[Span, list[Span]]]:
+    """Weak parts that are no base finding, overlaps among them included; and by endpoint the secrets, base ones too, that it holds."""
     weak = [(m.start(), m.end(), kind) for kind, pattern in WEAK.items() for m in pattern.finditer(text)]
-    if not weak:
-        return []
     places = {span: list(_credentials(text, *span[:2])) for span in weak if span[2] == "weak_endpoint"}
-    inner = {(at + m.start(), at + m.end(), "weak_secret") for within in places.values() for at, stop in within for m in INNER_SECRET.finditer(text[at:stop])}
-    weak = sorted({*weak, *inner}, key=_order)
+    stretches = [*(x for within in places.values() for x in within), *(span[:2] for span in weak if span[2] == "weak_id")]  # an identifier's value may be the secret
+    inner = {(at + m.start(), at + m.end(), "weak_secret") for at, stop in stretches for m in INNER_SECRET.finditer(text[at:stop])}
     cover: list[list[int]] = []  # stretches that base findings take, disjoint, in order
     for start, stop, _ in base:
         if cover and start < cover[-1][1]:
@@ -109,42 +87,67 @@ def linked_spans(text: str, base: list[Span], reach: float = REACH) -> list[Span
         else:
             cover.append([start, stop])
     starts = [c[0] for c in cover]
-    parts, taken, held = [], 0, 0  # held: where the last endpoint ends
-    for span in weak:
+    parts, holds, held = [], {}, 0  # held: where the last endpoint ends
+    for span in sorted({*weak, *inner}, key=_order):
         i = bisect_left(starts, span[1])
         within = places.get(span, [])
+        inside = []
         while i and cover[i - 1][1] > span[0] and any(at <= cover[i - 1][0] and cover[i - 1][1] <= stop for at, stop in within):
             i -= 1
-        if span[0] < taken or i and cover[i - 1][1] > span[0]:
+            inside.append((cover[i][0], cover[i][1], "assign"))
+        if i and cover[i - 1][1] > span[0]:
             continue
         if span in places:
             parts.append(span)
+            holds[span] = inside
             held = span[1]
         elif span[0] >= held or span[2] == "weak_id" or span in inner:
             parts.append(span)
-            taken = span[1]
+    ends = sorted(holds)
+    for span in parts:  # endpoints don't overlap one another
+        i = bisect_right(ends, (span[0], math.inf, "")) - 1
+        if span[2] == "weak_secret" and i >= 0 and span[1] <= ends[i][1]:
+            holds[ends[i]].append(span)
+    return parts, holds
+
+
+def linked_spans(text: str, base: list[Span], reach: float = REACH) -> list[Span]:
+    """Weak parts that a complementary part completes within one scope and reach.
+
+    Parts are linked first, and overlaps are settled among those that are completed. Parts that overlap don't complete each
+    other, but an endpoint and the secrets that it holds do. Of completed identifiers and secrets that overlap, the first stays; a weak part that
+    overlaps a base finding is that finding.
+    """
+    parts, holds = _candidates(text, base)
     if not parts:
         return []
     scopes = [m.end() for m in SCOPE_END.finditer(text)]
-
-    def completed(span: Span, latest: dict[str, Span], gap: Callable[[Span], int]) -> bool:
-        others = (latest[role] for role in COMPLETES[ROLE[span[2]]] if role in latest)
-        return any(gap(x) <= reach and bisect_right(scopes, x[0]) == bisect_right(scopes, span[0]) for x in others)
-
-    every, fits = sorted([*base, *parts], key=_order), set()
-    latest: dict[str, Span] = {}  # by role, the finding before this one that reaches furthest
-    for span in every:
-        if span[2] in WEAK and completed(span, latest, lambda x, at=span[0]: at - x[1]):
-            fits.add(span)
-        role = ROLE[span[2]]
-        if role not in latest or span[1] > latest[role][1]:
-            latest[role] = span
-    latest = {}  # by role, the next finding
-    for span in reversed(every):
-        if span[2] in WEAK and completed(span, latest, lambda x, at=span[1]: x[0] - at):
-            fits.add(span)
-        latest[ROLE[span[2]]] = span
-    return sorted(fits, key=_order)
+    every = sorted([*base, *parts], key=_order)
+    fits = {x for endpoint, secrets in holds.items() if secrets for x in (endpoint, *(s for s in secrets if s[2] in WEAK))}
+
+    def link(ordered: list[Span], others: list[Span], met: Callable[[Span, Span], bool], gap: Callable[[Span, Span], int]) -> None:
+        """others come nearer one by one; of those that a span has passed, the last of each role is the nearest."""
+        nearest: dict[str, Span] = {}
+        i = 0
+        for span in ordered:
+            while i < len(others) and met(others[i], span):
+                nearest[ROLE[others[i][2]]] = others[i]
+                i += 1
+            if span[2] in WEAK and span not in fits:
+                found = (nearest[role] for role in COMPLETES[ROLE[span[2]]] if role in nearest)
+                if any(gap(x, span) <= reach and bisect_right(scopes, x[0]) == bisect_right(scopes, span[0]) for x in found):
+                    fits.add(span)
+
+    link(every, sorted(every, key=lambda x: x[1]), lambda x, span: x[1] <= span[0], lambda x, span: span[0] - x[1])
+    link(sorted(every, key=lambda x: -x[1]), every[::-1], lambda x, span: x[0] >= span[1], lambda x, span: x[0] - span[1])
+    out, taken = [], 0
+    for span in sorted(fits, key=_order):
+        if span[2] != "weak_endpoint":
+            if span[0] < taken:
+                continue
+            taken = span[1]
+        out.append(span)
+    return out
 
 
 def digest(spans: list[Span]) -> str:
@@ -156,7 +159,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach:
 
     Positions count code points, end exclusive, in order of start, kind, end. Null and empty texts have
     no findings; texts of any length are scanned whole and row by row, so repeated rows repeat their
-    findings and ties of position go by kind. Other columns are not read.
+    findings and ties of position go by kind. No rows give no rows. Other columns are not read.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
