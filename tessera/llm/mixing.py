@@ -174,12 +174,13 @@ def _copies() -> Column:
 def plan(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str = "text", cycle: tuple[int, ...] = CYCLE, share: float = SHARE, most: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
     """docs, every row and column, with __size, __copies, __source_size and __target (of the first source of the row).
 
-    members: array of the sources that a row belongs to; a null array or null element is the source null.
+    members: array of the sources that a row belongs to; a null or empty array or a null element is the source null.
     Copies are whole: 0 to most. A row without words is taken 0 times. Rows that repeat an id are ordered
     by size; where all of it agrees they are cut together. No documents: no rows.
     """
     spark = docs.sparkSession
-    sets = F.coalesce(F.array_sort(F.array_distinct(members)), F.array(F.lit(None).cast("string")))
+    distinct = F.array_sort(F.array_distinct(members))
+    sets = F.when(F.size(distinct) > 0, distinct).otherwise(F.array(F.lit(None).cast("string")))
     tagged = docs.withColumn("__size", word_count(F.col(text_col))).withColumn("__members", sets).withColumn("__id", F.col(id_col)).withColumn("__key", seeded_key(F.col(id_col), seed))
     tagged = tagged.withColumn("__p", F.to_json("__members", {"ignoreNullFields": "false"}))
     sized = written(tagged.select("__p", "__members", "__key", "__id", "__size"), "mix-sizes")
