@@ -2,11 +2,13 @@
 
 Templates are licence names and notices as word sequences, each with mandatory key phrases. Document
 frequencies of the templates' words are counted over all documents. Each template is indexed under its
-word of highest IDF (its anchor), with all its words' positions as postings relative to that anchor. A
-file's words are looked up by falling IDF; an anchor found at position p puts the template's start at
-p minus the anchor's position, and the postings of the other words are intersected at their relative
-positions. A template that keeps enough of its words is verified by its key phrases, word by word, and
-labels the file. A name's only key phrase is the whole name, so that names are found exactly, whatever the frequencies.
+ANCHORS words of highest IDF (a name under one), with their positions. A file's words are looked up by falling
+IDF; an anchor found at position p puts the template's start near p minus the anchor's position. There the
+postings of the template's words in the file are intersected by relative position: in the template's order,
+each word at most SLACK words off the place that the start gives it, so that words put in or left out don't
+break the match. A template that keeps enough of its words' IDF is verified by its key phrases, word by word,
+and labels the file. A name's only key phrase is the whole name, so that names are found exactly, whatever the
+frequencies.
 """
 
 from __future__ import annotations
@@ -40,16 +42,28 @@ NAMES = {
 #: Notices by label: the text, then phrases of it that must occur word by word.
 NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", ("shall be included in all copies or substantial portions of the software",)),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ("permission to use copy modify", "with or without fee is hereby granted")),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution and use in source and binary forms",)),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ("may be used to endorse or promote products derived from this software",)),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ("in no event will the authors be held liable",)),
     ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("you may not use this file except in compliance with the license",)),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ("you can redistribute it and or modify it under the terms of the gnu general public license",)),
+    ("agpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation", ("gnu affero general public license",)),
     ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", ("gnu lesser general public license",)),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", ("eclipse public license",)),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", ("any person or organization obtaining a copy of the software",)),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike international license", ("creative commons attribution sharealike",)),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial international license", ("creative commons attribution noncommercial",)),
     ("cc0", "the person who associated a work with this deed has dedicated the work to the public domain", ("dedicated the work to the public domain",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("free and unencumbered software released into the public domain",)),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed", ("changing it is allowed as long as the name is changed",)),
 )
 #: Share of a notice's IDF that must be found at the right relative positions.
 OVERLAP = 0.7
+#: Words of highest IDF under which a notice is indexed, and how many words its others may be off their places.
+ANCHORS, SLACK = 3, 6
 #: Bytes of words after lower-casing A-Z; all bytes of characters beyond ASCII count as word bytes.
 _WORD = bytes(b if b in b"0123456789abcdefghijklmnopqrstuvwxyz" or b >= 0x80 else 0x20 for b in range(256))
 
@@ -80,35 +94,56 @@ class Index:
         self.idf = {w: math.log((n_docs + 1) / (frequency.get(w, 0) + 1)) + 1e-3 for t in known for w in t.words}
         self.anchors: dict[bytes, list[tuple[Template, int]]] = {}
         for t in known:
-            must = {w for key in t.keys for w in key}
-            anchor = max(must, key=lambda w: (self.idf[w], w))
+            rare = sorted(set(t.words), key=lambda w: (-self.idf[w], w))[: 1 if t.words in t.keys else ANCHORS]
             for place, word in enumerate(t.words):
-                if word == anchor:
-                    self.anchors.setdefault(anchor, []).append((t, place))
+                if word in rare:
+                    self.anchors.setdefault(word, []).append((t, place))
 
     def find(self, words: list[bytes]) -> list[tuple[int, float, Template]]:
-        """(start, share of IDF found, template) of each verified template, by start."""
+        """(start, share of IDF found, template) of each verified template, by start. A notice that several anchors find is found once."""
         places: dict[bytes, list[int]] = {}
         for i, w in enumerate(words):
             if w in self.anchors:
                 places.setdefault(w, []).append(i)
-        out = {}
+        out: dict[tuple[int, Template], float] = {}
+        taken: dict[Template, list[int]] = {}
+        tried: set[tuple[int, Template]] = set()
         for w in sorted(places, key=lambda w: (-self.idf[w], w)):
             for p in places[w]:
                 for t, place in self.anchors[w]:
                     start = p - place
-                    if (start, t) not in out and (share := self._verified(words, start, t)) is not None:
-                        out[start, t] = share
+                    if (start, t) in tried:
+                        continue
+                    tried.add((start, t))
+                    if t.words in t.keys:
+                        if start >= 0 and tuple(words[start : start + len(t.words)]) == t.words:
+                            out[start, t] = 1.0
+                    elif (met := self._aligned(words, start, t)) is not None:
+                        first, share = met
+                        if all(abs(first - other) > SLACK + ANCHORS for other in taken.get(t, ())):
+                            taken.setdefault(t, []).append(first)
+                            out[first, t] = share
         return sorted(((start, share, t) for (start, t), share in out.items()), key=lambda x: (x[0], x[2].label, x[2].words))
 
-    def _verified(self, words: list[bytes], start: int, t: Template) -> float | None:
-        lo, hi = max(0, start), min(len(words), start + len(t.words))
-        if t.words in t.keys:  # a name
-            return 1.0 if start >= 0 and tuple(words[lo : lo + len(t.words)]) == t.words else None
+    def _aligned(self, words: list[bytes], start: int, t: Template) -> tuple[int, float] | None:
+        """Where the notice's first word that is met stands, and the greatest share of IDF that an alignment in order keeps."""
+        lo, hi = max(0, start - SLACK), min(len(words), start + len(t.words) + SLACK)
+        near = words[lo:hi]
+        postings: dict[bytes, list[int]] = {}
+        for i, w in enumerate(near):
+            postings.setdefault(w, []).append(lo + i)
         whole = sum(self.idf[w] for w in t.words)
-        met = sum(self.idf[w] for w, q in zip(t.words, range(start, start + len(t.words)), strict=True) if lo <= q < hi and words[q] == w)
-        near = words[max(0, lo - len(t.words)) : hi + len(t.words)]
-        return met / whole if met >= OVERLAP * whole and all(_occurs(key, near) for key in t.keys) else None
+        if sum(self.idf[w] for w in t.words if w in postings) < OVERLAP * whole:
+            return None
+        best = [(0.0, hi)] * (len(near) + 1)  # by the last place that is used: IDF met, and the first place
+        for k, w in enumerate(t.words):
+            for p in reversed(postings.get(w, ())):
+                if abs(p - start - k) <= SLACK:
+                    met, first = max(best[: p - lo + 1], key=lambda x: (x[0], -x[1]))
+                    best[p - lo + 1] = max(best[p - lo + 1], (met + self.idf[w], min(first, p)), key=lambda x: (x[0], -x[1]))
+        met, first = max(best, key=lambda x: (x[0], -x[1]))
+        around = words[max(0, lo - len(t.words)) : hi + len(t.words)]
+        return (first, min(1.0, met / whole)) if met >= OVERLAP * whole and all(_occurs(key, around) for key in t.keys) else None
 
 
 def _occurs(phrase: tuple[bytes, ...], words: list[bytes]) -> bool:
@@ -138,7 +173,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
 
     start counts words from 0; matches come by start, then label; share is the part of the template's
     IDF that stands at the right places. Null and empty texts have no words and no matches. Whole texts
-    are read, of any length; repeated rows repeat their matches. Other columns are not read.
+    are read, of any length; repeated rows repeat their matches, and no rows give no rows. Other columns are not read.
     """
     known = known or templates()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
