@@ -5,7 +5,7 @@ discounted counts interpolated with continuation counts of the shorter contexts,
 distribution over the learned alphabet and one unknown character. All languages' models lie side by side
 in sorted arrays of n-gram hashes, one column per language; a binary search finds an n-gram once for all
 languages. The language of least cross-entropy per character wins. A text is rejected if it has no letter, or if
-its cross-entropy is far above what the training texts of the winning language have shown.
+its cross-entropy is far above what the calibration texts of the winning language have shown, and its score says so.
 
 Texts are read as lower-case letters with each run of other characters as one blank, so that markup,
 digits and noise marks don't decide a language.
@@ -32,6 +32,8 @@ TRAIN_TEXTS = 2000
 FOLD = 5
 #: Rejection: above the worst calibration text's cross-entropy by this many nats a character.
 SLACK = 1.5
+#: How steeply the score falls where a text's cross-entropy passes that limit, at which it is halved: per nat a character.
+STEEP = 4.0
 SEED = 6
 BLANK = ord(" ")
 PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -184,14 +186,20 @@ def _backed_off(models: Models, part: np.ndarray, missed: np.ndarray) -> np.ndar
 
 
 def decide(models: Models, text: str | None) -> tuple[str, float, float | None, bool]:
-    """Language, score, cross-entropy and whether it is rejected."""
+    """Language, score, cross-entropy and whether it is rejected.
+
+    The score is the calibrated probability among the learned languages times that of being one of them at all; a rejected
+    text's is under a half.
+    """
     codes = letters(text or "")
     if not len(codes) or not models.langs:
         return UNKNOWN_LANGUAGE, 0.0, None, True
     entropy = cross_entropy(models, codes)
     best = int(np.argmin(entropy))
     odds = np.exp(-(entropy - entropy[best]) * models.sharpness * np.sqrt(len(codes)))
-    return models.langs[best], float(1.0 / odds.sum()), float(entropy[best]), bool(entropy[best] > models.worst[best] + SLACK)
+    beyond = float(entropy[best] - models.worst[best] - SLACK)  # over 0: no learned language explains the text
+    known = 1.0 / (1.0 + np.exp(min(50.0, STEEP * beyond)))
+    return models.langs[best], float(known / odds.sum()), float(entropy[best]), beyond > 0
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_texts: int = TRAIN_TEXTS) -> Models:
@@ -279,7 +287,8 @@ def held_out(doc_id: Column) -> Column:
 def predict(docs: DataFrame, train_texts: int = TRAIN_TEXTS) -> DataFrame:
     """One row per row of docs: doc_id, held_out, lang_pred, score, entropy, rejected.
 
-    Learns from the rows that are not held out. Columns other than doc_id, text and lang are not read.
+    Learns from the rows that are not held out. Repeated rows get equal answers; an empty table gives no
+    rows, and where nothing can be learned all are ``und``. Columns other than doc_id, text and lang are not read.
     """
     rows = docs.select("doc_id", "text", "lang")
     models = fit(rows.where(~held_out(F.col("doc_id"))), train_texts=train_texts)
