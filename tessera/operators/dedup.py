@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from difflib import SequenceMatcher
 
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import text as X
-from tessera.operators.screening import numbered
+from tessera.operators.ordering import numbered
+from tessera.storage import delete, written
 
 
 def keep_first(df: DataFrame, key: Column, *order: Column, blanks: bool = True) -> DataFrame:
@@ -31,6 +31,11 @@ def by_doi(df: DataFrame) -> DataFrame:
     return keep_first(df, X.doi_key(F.col("doi")), X.info_score(F.col("abstract"), F.col("authors"), F.col("citations")).desc(), F.col("ord"))
 
 
+def by_doi_first(df: DataFrame) -> DataFrame:
+    """Of records with one DOI, the first."""
+    return keep_first(df, X.doi_key(F.col("doi")), F.col("ord"))
+
+
 def by_arxiv(df: DataFrame) -> DataFrame:
     return keep_first(df, X.arxiv_parts(F.col("arxiv_id"))[0], F.col("ord"))
 
@@ -122,33 +127,45 @@ def title_links(df: DataFrame, threshold: float = 0.9, gram: int = 4) -> DataFra
     return pairs.where(matched("t_a", "t_b") > threshold).select(F.col("place_a").alias("a"), F.col("place_b").alias("b"))
 
 
-def by_similar_titles_anywhere(df: DataFrame, threshold: float = 0.9, folder: str | None = None) -> DataFrame:
+def by_similar_titles_anywhere(df: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Greedy over all records, newest first: a title goes if it is similar to any kept one. Equal titles keep the first; empty titles go.
 
     The greedy result is the first maximal independent set of the links. It is found in rounds: what has no undecided
-    earlier neighbour stays, and its later neighbours go. Each round's state is checkpointed.
+    earlier neighbour stays, and its later neighbours go. Each round's state is a written table, and the one before it goes.
     """
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-"))
-    titled = keep_first(df, F.lower("title"), F.col("year").desc(), F.col("ord"), blanks=False)
-    placed = numbered(titled, [F.col("year").desc(), F.col("ord")], "place")
-    placed = placed.checkpoint()
-    links = title_links(placed, threshold).checkpoint()
+    titled = keep_first(df, F.lower(F.trim("title")), F.col("year").desc(), F.col("ord"), blanks=False)
+    placed = written(numbered(titled, [F.col("year").desc(), F.col("ord")], "place"), "titles-placed")
+    links = written(title_links(placed, threshold), "titles-links")
     gone = spark.createDataFrame([], "place long")
     while True:
         waiting = links.select(F.col("b").alias("place")).distinct()
-        stay = links.select(F.col("a").alias("place")).distinct().join(waiting, "place", "left_anti")
-        drop = links.join(stay.withColumnRenamed("place", "a"), "a", "left_semi").select(F.col("b").alias("place")).distinct().checkpoint()
+        stay = written(links.select(F.col("a").alias("place")).distinct().join(waiting, "place", "left_anti"), "titles-stay")
+        drop = written(links.join(stay.withColumnRenamed("place", "a"), "a", "left_semi").select(F.col("b").alias("place")).distinct(), "titles-drop")
         if drop.isEmpty():
             break
         gone = gone.unionByName(drop)
+        rest = links
         for side in ("a", "b"):
-            links = links.join(drop.withColumnRenamed("place", side), side, "left_anti").select("a", "b")
-        links = links.join(stay.withColumnRenamed("place", "a"), "a", "left_anti").select("a", "b").checkpoint()
+            rest = rest.join(drop.withColumnRenamed("place", side), side, "left_anti").select("a", "b")
+        before, links = links, written(rest.join(stay.withColumnRenamed("place", "a"), "a", "left_anti").select("a", "b"), "titles-links")
+        delete(before, stay)
     return placed.join(gone, "place", "left_anti").select(*df.columns)
 
 
+def production_chain(df: DataFrame) -> DataFrame:
+    """DOI, then similar titles among records without one, then arXiv id, then URL; the first of each stays.
+
+    Records with a DOI come before the others, and those newest first; after the third step records with an arXiv id come first.
+    """
+    has = lambda c: F.when(F.coalesce(F.col(c), F.lit("")) != "", 1).otherwise(0)
+    with_doi = keep_first(df.where(has("doi") == 1), X.doi_key(F.col("doi")), F.col("ord"))
+    titled = by_similar_titles_anywhere(df.where(has("doi") == 0))
+    order = [has("doi").desc(), F.when(has("doi") == 0, F.col("year")).desc_nulls_first(), F.col("ord")]
+    both = keep_first(with_doi.unionByName(titled), X.arxiv_parts(F.col("arxiv_id"))[0], *order)
+    return keep_first(both, F.col("url"), has("arxiv_id").desc(), *order)
+
+
 METHODS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "doi_exact": by_doi,
     "arxiv_exact": by_arxiv,
@@ -156,6 +173,8 @@ METHODS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "title_fuzzy": by_similar_title,
     "content_hash": by_content,
     "url_based": by_url,
+    "title_global": by_similar_titles_anywhere,
+    "production": production_chain,
 }
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import scores as S
 from tessera.functions import text as X
+from tessera.operators.caching import older_than
 
 # Fields of an extraction, and the fewest characters of a text worth reading.
 REQUIRED = ("venue_type", "game_type", "open_ended", "quantitative", "llm_family", "llm_role")
@@ -58,27 +59,35 @@ def extract(df: DataFrame, text: Column, provider: Provider = offline_provider)
     """df with the fields, awscale, extraction_status and extraction_confidence.
 
     Status: pdf_not_found without a text, insufficient_text for a short one, llm_extraction_failed without an answer,
-    success. Missing required fields become unknown.
+    error where the provider raises, success. Missing required fields become unknown.
     """
 
+    def answer(text: str | None) -> tuple[str | None, bool]:
+        if text is None or len(text) < LEAST_CHARS:
+            return None, False
+        try:
+            return provider(text), False
+        except Exception:  # noqa: BLE001 - one text's error is its status, not the task's end
+            return None, True
+
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            answers = [None if t is None or len(t) < LEAST_CHARS else provider(t) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], names=[*batch.schema.names, "__answer"])
+            answers = [answer(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([a for a, _ in answers], pa.string()), pa.array([e for _, e in answers], pa.bool_())], names=[*batch.schema.names, "__answer", "__failed"])
 
     rows = df.withColumn("__text", X.context(text))
-    asked = rows.mapInArrow(ask, T.StructType([*rows.schema.fields, T.StructField("__answer", T.StringType())]))
+    asked = rows.mapInArrow(ask, T.StructType([*rows.schema.fields, T.StructField("__answer", T.StringType()), T.StructField("__failed", T.BooleanType())]))
     fields = S.json_or_raw(F.col("__answer"), ", ".join(f"{c} string" for c in (*REQUIRED, *OPTIONAL)))
     out = asked.withColumn("__f", fields)
     out = out.withColumns({c: F.coalesce(F.nullif(F.col(f"__f.{c}"), F.lit("")), F.lit("unknown")) for c in REQUIRED} | {c: F.col(f"__f.{c}") for c in OPTIONAL})
     out = out.withColumns({c: S.yes_no(F.col(c)) for c in ("open_ended", "quantitative")})
-    status = F.when(F.col("__text").isNull(), "pdf_not_found").when(F.length("__text") < LEAST_CHARS, "insufficient_text").when(F.col("__answer").isNull(), "llm_extraction_failed").otherwise("success")
+    status = F.when(F.col("__text").isNull(), "pdf_not_found").when(F.length("__text") < LEAST_CHARS, "insufficient_text").when(F.col("__failed"), "error").when(F.col("__answer").isNull(), "llm_extraction_failed").otherwise("success")
     good = F.col("extraction_status") == "success"
     out = out.withColumn("extraction_status", status)
     out = out.withColumn("awscale", F.when(good, S.scale_estimate(F.col("game_type"), F.col("quantitative"), F.col("open_ended"))))
     out = out.withColumn("extraction_confidence", F.when(good, S.confidence([F.col(c) for c in REQUIRED], [F.col(c) for c in OPTIONAL])).otherwise(0.0))
-    return out.drop("__text", "__answer", "__f")
+    return out.drop("__text", "__answer", "__failed", "__f")
 
 
 def pdf_location() -> Column:
@@ -92,13 +101,18 @@ def pdf_location() -> Column:
     )
 
 
+def scale_by_answer(answer: Column, otherwise: Column) -> Column:
+    """The scale as an answer's first character gives it, 1 to 7, else the estimate."""
+    digit = F.substring(F.trim(answer), 1, 1).try_cast("int")
+    return F.when(digit.between(1, 7), digit).otherwise(otherwise)
+
+
 def missing(wanted: DataFrame, cache: DataFrame, days: int = 90) -> DataFrame:
     """Wanted (paper_id, content_type) without a cache entry that is young enough."""
-    fresh = cache.where(F.col("created_at") >= F.current_timestamp() - F.make_dt_interval(F.lit(days)))
-    return wanted.join(fresh, ["paper_id", "content_type"], "left_anti")
+    return wanted.join(cache.where(~older_than("created_at", days)), ["paper_id", "content_type"], "left_anti")
 
 
 def binary_files(spark, path: str) -> DataFrame:  # noqa: ANN001
-    """Files with their SHA-256 and whether they begin as PDFs do."""
+    """Files with their SHA-256 and MD5 and whether they begin as PDFs do."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"), (F.substring("content", 1, 5) == F.lit(b"%PDF-")).alias("is_pdf"))
+    return files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"), (F.substring("content", 1, 5) == F.lit(b"%PDF-")).alias("is_pdf"))

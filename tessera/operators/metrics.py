@@ -73,9 +73,9 @@ def log_summary(df: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def latest(df: DataFrame, key: Sequence[str], at: str) -> DataFrame:
-    """The latest row of each key: an append-only table read as an upserted one."""
+    """The latest row of each key: an append-only table read as an upserted one. Of rows of one time the greatest by its other columns, in order."""
     rest = [c for c in df.columns if c not in key]
-    return df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(at)).alias("r")).select(*key, "r.*")
+    return df.groupBy(*key).agg(F.max(F.struct(F.col(at).alias("__at"), *rest)).alias("r")).select(*key, *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
 def quotas(df: DataFrame, total: int, weights: dict[str, float], default: float = 0.2) -> DataFrame:

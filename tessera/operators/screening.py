@@ -4,33 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import pairwise
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Exclusion reasons of the sheet.
-REASONS = {
-    "E1": "Not about wargaming", "E2": "No language model", "E3": "Not empirical", "E4": "Not in English",
-    "E5": "Duplicate", "E6": "No full text", "E7": "Not scholarly", "E8": "Other",
-}
+from tessera.functions import scores as S
+from tessera.operators.ordering import numbered, quantiles
+from tessera.storage import written
+
+# The sheet's exclusion reasons, code, reason, stage.
+REASONS = (
+    ("E1", "Not a wargame/conflict simulation", "Title/Abstract"),
+    ("E2", "No LLM or LLM <100M params", "Title/Abstract"),
+    ("E3", "No natural language interaction", "Title/Abstract"),
+    ("E4", "Not empirical (opinion/editorial)", "Title/Abstract"),
+    ("E5", "Wrong publication type", "Title/Abstract"),
+    ("E6", "Full text not available", "Full Text"),
+    ("E7", "Not in English (no translation)", "Full Text"),
+    ("E8", "Duplicate publication", "Any"),
+)
+# The sheet's instructions, step, instruction, note.
+INSTRUCTIONS = (
+    ("Title/Abstract Screening", 'Review title and abstract. Mark include_ta as "yes", "no", or "maybe".', 'If "no", provide reason in reason_ta column'),
+    ("Inclusion Criteria", "Paper must: (1) Use LLM ≥100M params, (2) Involve wargaming/conflict simulation, (3) Have natural language interaction", "See review protocol for detailed criteria"),
+    ("Full-Text Screening", 'For papers marked "yes" or "maybe" in title/abstract, review full text', 'Mark include_ft as "yes" or "no" with reason'),
+    ("Quality Scoring", "Rate relevance (1-5) and quality (1-5) for included papers", "5 = highly relevant/excellent quality"),
+)
+# The words that raise a record in the screening order.
+PRIORITY = ("wargame", "war game", "crisis simulation", "llm", "large language model", "gpt", "claude")
 DECISIONS = ("include_ta", "reason_ta", "notes_ta", "include_ft", "reason_ft", "notes_ft", "screener_ta", "screened_ta_date", "screener_ft", "screened_ft_date", "relevance_score", "quality_score")
+#: Columns that a sheet begins with, as far as it has them.
+FIRST = ("screening_id", "title", "authors", "year", "venue", "abstract", "doi", "url", "source_db", "include_ta", "reason_ta", "notes_ta", "include_ft", "reason_ft", "notes_ft", "relevance_score", "quality_score", "pdf_path", "pdf_status")
 
 
 def bucketed(df: DataFrame, value: str, buckets: int = 5, name: str = "bucket") -> DataFrame:
-    """df with the quantile bucket, 1 to buckets, of each row's value; edges are the exact quantiles, linearly interpolated.
+    """df with a bucket, 1 to buckets, of each row's value; null counts as 0.
 
-    With fewer different values than buckets, the dense rank of the value. The edges are one small row.
+    Edges are exact quantiles, as many as there are buckets, or different values if these are fewer; an edge belongs to
+    the bucket below it. Where edges coincide, the dense rank is scaled to 1 .. buckets, halves to even. A single value
+    is in the middle bucket. The different values are a table, however many; only the edges come to the driver.
     """
-    probabilities = [i / buckets for i in range(1, buckets)]
-    edges = df.agg(F.percentile(value, F.array(*map(F.lit, probabilities))).alias("e"), F.approx_count_distinct(value).alias("d")).first()
-    if edges["e"] is None:
-        return df.withColumn(name, F.lit(None).cast("int"))
-    if edges["d"] < 2 * buckets:  # the estimate is near; the few values themselves decide
-        few = [r[0] for r in df.select(value).where(F.col(value).isNotNull()).distinct().orderBy(value).limit(buckets).collect()]
-        if len(few) < buckets:
-            return df.withColumn(name, F.array_position(F.array(*map(F.lit, few)), F.col(value)).cast("int"))
-    return df.withColumn(name, reduce(add, [F.when(F.col(value) > e, 1).otherwise(0) for e in edges["e"]], F.lit(1)))
+    filled = F.coalesce(F.col(value), F.lit(0))
+    values = written(df.groupBy(filled.alias("__value")).agg(F.count(F.lit(1)).alias("__count")), "bucket-values")
+    different = values.count()
+    if different <= 1:
+        return df.withColumn(name, F.lit((buckets + 1) // 2))
+    q = min(buckets, different)
+    edges = quantiles(values, "__value", "__count", [i / q for i in range(q + 1)])
+    if all(a < b for a, b in pairwise(edges)):
+        return df.withColumn(name, reduce(add, [F.when(filled > e, 1).otherwise(0) for e in edges[1:-1]], F.lit(1)))
+    ranks = numbered(values, [F.col("__value")], "__rank")
+    scaled = F.bround((F.col("__rank") - 1) / (different - 1) * (buckets - 1) + 1).cast("int")
+    keyed = df.withColumn("__value", filled)
+    return keyed.join(ranks.select("__value", scaled.alias(name)), "__value").drop("__value")
 
 
 def order_score(keywords: Sequence[str], as_of_year: int, citation_bucket: Column) -> Column:
@@ -40,30 +68,19 @@ def order_score(keywords: Sequence[str], as_of_year: int, citation_bucket: Colum
     return words + F.greatest(F.lit(0), F.lit(5) - (F.lit(as_of_year) - F.col("year"))) + citation_bucket
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
-    """df with each row's place in the total order, from 1, without putting all rows into one task.
-
-    Rows are sorted by range; each partition counts its rows, and the counts before it shift its numbers.
-    order must make rows unique, else ties are numbered as they come.
-    """
-    spark = df.sparkSession
-    ranged = df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
-    part, at = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
-    placed = ranged.withColumns({"__part": part, "__at": at})
-    counts = sorted((r["__part"], r["n"]) for r in placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect())  # a row per partition
-    starts, start = [], 0
-    for p, n in counts:
-        starts.append((p, start))
-        start += n
-    table = spark.createDataFrame(starts, "__part long, __start long")
-    return placed.join(F.broadcast(table), "__part").withColumn(name, F.col("__start") + F.col("__at") + 1).drop("__id", "__part", "__at", "__start")
-
-
 def sheet(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """Rows in screening order with SCREEN_ ids and empty decision columns where they are missing."""
+    """Rows in screening order with SCREEN_ ids; decision columns empty, and source, duplicate and language flags set, where they are missing."""
     out = numbered(df, order)
     out = out.withColumn("screening_id", F.format_string("SCREEN_%04d", F.col("position")))
-    return out.select("*", *[F.lit("").alias(c) for c in DECISIONS if c not in out.columns])
+    missing = dict.fromkeys(DECISIONS, "") | {"source_db": "unknown", "potential_duplicate": "", "language_detected": "en"}
+    out = out.select("*", *[F.lit(v).alias(c) for c, v in missing.items() if c not in out.columns])
+    first = [c for c in FIRST if c in out.columns]
+    return out.select(*first, *[c for c in out.columns if c not in first])
+
+
+def by_id(df: DataFrame, screening_id: str) -> DataFrame:
+    """The row of a screening id."""
+    return df.where(F.col("screening_id") == screening_id)
 
 
 def statistics(df: DataFrame, decision: str, reason: str) -> DataFrame:
@@ -74,11 +91,15 @@ def statistics(df: DataFrame, decision: str, reason: str) -> DataFrame:
     return by_decision.unionByName(by_reason.select(F.lit("reason").alias("kind"), "value", "n"))
 
 
-def reasons_table(spark) -> DataFrame:  # noqa: ANN001
-    return spark.createDataFrame(list(REASONS.items()), "code string, reason string")
+def reasons_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(REASONS), "code string, reason string, stage string")
+
+
+def instructions_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(INSTRUCTIONS), "step string, instructions string, notes string")
 
 
 def asreview(df: DataFrame) -> DataFrame:
     """The seven columns of a screening tool's import, included as 1, 0 or -1."""
-    code = F.when(F.lower("include_ta") == "yes", 1).when(F.lower("include_ta") == "no", 0).otherwise(-1)
-    return df.select("title", "abstract", "authors", "year", "doi", "url", code.alias("included"))
+    blank = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    return df.select("title", "abstract", "authors", "year", blank("doi"), blank("url"), S.included_code(F.col("include_ta")).alias("included"))

@@ -5,8 +5,6 @@ The texts are invented, so vocabularies here are words that occur in them; the o
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +14,7 @@ from tessera.functions import scores as S
 from tessera.functions import text as X
 from tessera.operators import dedup, metrics, rules, screening, search, tagging
 from tessera.sources import records
+from tessera.storage import new_path
 from tessera.streaming import incremental
 
 from .papers import LOG, PAPERS, SCREENED, log, papers, screened, table
@@ -178,12 +177,12 @@ WORDS = ("this", "with", "for")
 ORDER = " + ".join(f"2 * contains(lower(title), '{w}')::INT + contains(lower(abstract), '{w}')::INT" for w in WORDS) + " + greatest(0, 5 - (2025 - year))"
 
 
-@register(f"""WITH {PAPERS}, q AS (SELECT quantile_cont(citations, [0.2, 0.4, 0.6, 0.8]) AS e FROM papers), s AS (SELECT ord, {BUCKET} AS bucket, {ORDER} + {BUCKET} AS score FROM papers, q)
-SELECT ord, bucket::INT AS bucket, score::INT AS score, printf('SCREEN_%04d', row_number() OVER (ORDER BY score DESC, ord)) AS screening_id FROM s""")
+@register(f"""WITH {PAPERS}, q AS (SELECT quantile_cont(citations, [0.2, 0.4, 0.6, 0.8]) AS e FROM papers), s AS (SELECT ord, year, {BUCKET} AS bucket, {ORDER} + {BUCKET} AS score FROM papers, q)
+SELECT ord, bucket::INT AS bucket, score::INT AS score, printf('SCREEN_%04d', row_number() OVER (ORDER BY score DESC, year DESC, ord)) AS screening_id FROM s""")
 def screening_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = screening.bucketed(papers(spark, sf_dir), "citations")
     rows = rows.withColumn("score", screening.order_score(WORDS, 2025, F.col("bucket")))
-    return screening.sheet(rows, [F.desc("score"), F.col("ord")]).select("ord", F.col("bucket").cast("int").alias("bucket"), F.col("score").cast("int").alias("score"), "screening_id")
+    return screening.sheet(rows, [F.desc("score"), F.desc_nulls_last("year"), F.col("ord")]).select("ord", F.col("bucket").cast("int").alias("bucket"), F.col("score").cast("int").alias("score"), "screening_id")
 
 
 @register(f"""WITH {PAPERS}, {SCREENED} SELECT 'decision' AS kind, coalesce(include_ta, 'unscreened') AS value, count(*) AS n FROM screened GROUP BY ALL
@@ -192,10 +191,9 @@ def screening_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screening.statistics(screened(spark, sf_dir), "include_ta", "reason_ta")
 
 
-@register(f"WITH {PAPERS}, {SCREENED} SELECT title, authors, year, doi, CASE include_ta WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE -1 END AS included, ord FROM screened")
+@register(f"WITH {PAPERS}, {SCREENED} SELECT title, abstract, authors, year, doi, url, CASE include_ta WHEN 'yes' THEN 1 WHEN 'no' THEN 0 ELSE -1 END AS included FROM screened")
 def asreview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = screened(spark, sf_dir)
-    return rows.select("title", "authors", "year", "doi", S.included_code(F.col("include_ta")).alias("included"), "ord")
+    return screening.asreview(screened(spark, sf_dir))
 
 
 @register(f"""WITH {PAPERS}, y AS (SELECT year, count(*) AS n, row_number() OVER (ORDER BY year) - 1 AS p FROM papers WHERE year > 0 GROUP BY year)
@@ -259,7 +257,8 @@ def latest_per_module(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.latest(log(spark, sf_dir).select("module", "id", "duration").withColumn("at", F.col("id")), ["module"], "at").select("module", "id", "duration")
 
 
-@register(f"""WITH {LOG} SELECT id, CASE WHEN contains(lower(message), 'success') OR contains(lower(message), 'completed') THEN 'success' WHEN contains(lower(message), 'error') OR contains(lower(message), 'failed') THEN 'error' WHEN contains(lower(message), 'warning') THEN 'warning' ELSE lower(level) END AS status FROM log""")
+@register(f"""WITH {LOG} SELECT id, CASE WHEN contains(lower(message), 'success') THEN 'success' WHEN contains(lower(message), 'error') OR level = 'ERROR' THEN 'error'
+  WHEN contains(lower(message), 'warning') OR level = 'WARNING' THEN 'warning' ELSE 'info' END AS status FROM log""")
 def log_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log(spark, sf_dir).select("id", S.log_status(F.col("message"), F.col("level")).alias("status"))
 
@@ -293,10 +292,11 @@ def near_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("SELECT b.item_id, count(d.doc_id) AS n FROM benchmark b LEFT JOIN (SELECT DISTINCT doc_id, lower(unnest(string_split(text, chr(10)))) AS line FROM documents) d ON d.line = lower(split_part(b.text, chr(10), 1)) GROUP BY b.item_id")
 def seed_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """In how many documents each benchmark item's first line is a line."""
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.lower("text"), "\n")).alias("line")).distinct()
+    """In how many documents each benchmark item's first line is a line. Lines meet the seeds before anything is made distinct."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.lower("text"), "\n")).alias("line"))
     seeds = table(spark, sf_dir, "benchmark").select("item_id", F.lower(F.split("text", "\n", 2)[0]).alias("line"))
-    return seeds.join(lines, "line", "left").groupBy("item_id").agg(F.count("doc_id").alias("n"))
+    hits = lines.join(seeds.select("line").distinct(), "line").distinct().groupBy("line").agg(F.count("doc_id").alias("n"))
+    return seeds.join(hits, "line", "left").select("item_id", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 _part = lambda tag: f"nullif(regexp_extract(html, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), '')"
@@ -322,7 +322,7 @@ def seed_titles_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(f"WITH {PAPERS} SELECT DISTINCT {LIGHT_KEY} AS title_key FROM papers WHERE {LIGHT_KEY} <> ''")
 def stream_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-seen titles of a stream over documents: as many as the batch finds."""
-    folder = f"{(spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='tessera-')).rstrip('/')}/titles-{uuid.uuid4().hex}"
+    folder = new_path(spark, "titles")
     schema = table(spark, sf_dir, "documents").schema
     stream = incremental.chunks(spark, f"{sf_dir}/documents.parquet*", schema).select(F.split("text", "\n", 2)[0].alias("title"))
     incremental.run_to_end(incremental.new_titles(stream).select("title_key"), f"{folder}/out", f"{folder}/state")

@@ -89,8 +89,8 @@ def from_semantic_scholar(payload: DataFrame, column: str = "json") -> DataFrame
     ))
 
 
-def bibtex(df: DataFrame) -> DataFrame:
-    """One entry per row, column entry; fields without a value are left out."""
+def bibtex(df: DataFrame, *keep: str) -> DataFrame:
+    """One entry per row, column entry, after the columns to keep; fields without a value are left out."""
     present = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
     last = F.element_at(F.split(F.trim(F.element_at(F.split(F.coalesce("authors", F.lit("unknown")), ";"), 1)), " "), -1)
     words = F.array_join(F.slice(F.filter(F.split(F.coalesce("title", F.lit("")), r"\s+"), lambda w: w != ""), 1, 2), "")
@@ -98,7 +98,7 @@ def bibtex(df: DataFrame) -> DataFrame:
     fields = [F.when(present(c), F.concat(F.lit(f"  {name} = {{"), F.regexp_replace(F.col(c).cast("string"), r"([{}])", r"\\$1"), F.lit("}"))) for c, name in (("title", "title"), ("authors", "author"), ("year", "year"), ("venue", "journal"), ("doi", "doi"), ("url", "url"), ("abstract", "abstract"))]
     fields[1] = F.when(present("authors"), F.concat(F.lit("  author = {"), F.regexp_replace("authors", ";\\s*", " and "), F.lit("}")))
     kind = S.citation_type(F.col("venue_type")) if "venue_type" in df.columns else F.lit("misc")
-    return df.select(F.concat(F.lit("@"), kind, F.lit("{"), key, F.lit(",\n"), F.array_join(F.array_compact(F.array(*fields)), ",\n"), F.lit("\n}")).alias("entry"))
+    return df.select(*keep, F.concat(F.lit("@"), kind, F.lit("{"), key, F.lit(",\n"), F.array_join(F.array_compact(F.array(*fields)), ",\n"), F.lit("\n}")).alias("entry"))
 
 
 def coverage(seed: DataFrame, corpus: DataFrame) -> DataFrame:

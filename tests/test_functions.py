@@ -58,5 +58,5 @@ def test_scores(spark):
     assert one(spark, S.scale_estimate(F.lit("Seminar"), F.lit("no"), F.lit("yes"))) == 1
     assert one(spark, S.confidence([F.lit("a"), F.lit("unknown")], [F.lit(None).cast("string")])) == pytest.approx(0.58)
     assert one(spark, S.error_class(F.lit("Read timed out"))) == "timeout"
-    assert one(spark, S.log_status(F.lit("all completed"), F.lit("INFO"))) == "success"
+    assert one(spark, S.log_status(F.lit("all completed"), F.lit("INFO"))) == "info"
     assert one(spark, S.json_or_raw(F.lit('text {"k": 3} more'), "k int"))["k"] == 3

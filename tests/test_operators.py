@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import dedup, metrics, rules, screening, search, tagging
+from tessera.functions import scores
+from tessera.operators import dedup, metrics, ordering, rules, screening, search, tagging
 
 PAPERS = "ord long, title string, abstract string, authors string, year int, doi string, arxiv_id string, url string, citations long"
 
@@ -66,16 +67,53 @@ def test_tags(spark):
 
 def test_numbered_is_gapless_over_partitions(spark):
     df = spark.range(1000).select(F.col("id").alias("ord"), (F.col("id") * 7919 % 1000).alias("v")).repartition(7)
-    got = screening.numbered(df, [F.desc("v")]).select("v", "position").collect()
+    got = ordering.numbered(df, [F.desc("v")]).select("v", "position").collect()
     assert sorted((r["position"], r["v"]) for r in got) == [(i + 1, 999 - i) for i in range(1000)]
 
 
-@pytest.mark.parametrize(("values", "buckets"), [([1, 2, 3, 4, 5], [1, 2, 3, 4, 5]), ([1, 1, 2], [1, 1, 2]), ([7, 7], [1, 1]), ([None], [None])])
+@pytest.mark.parametrize(("values", "buckets"), [([1, 2, 3, 4, 5], [1, 2, 3, 4, 5]), ([1, 2, 3], [1, 2, 3]), ([1, 1, 2], [1, 1, 5]), ([7, 7], [3, 3]), ([None], [3]), ([None, 0, 4, 9, 9, 9, 9, 9, 1, 2], [1, 1, 4, 5, 5, 5, 5, 5, 2, 3])])
 def test_bucketed(spark, values, buckets):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v long")
     assert [r["bucket"] for r in screening.bucketed(df, "v").orderBy("i").collect()] == buckets
 
 
+def test_numbered_loses_no_row_of_many_partitions(spark):
+    df = spark.range(0, 1_000_000, 1, 20).select((F.col("id") * 7919 % 1_000_003).alias("v"), F.repeat(F.lit("wide "), 20).alias("w"))
+    got = ordering.numbered(df, [F.col("v")])
+    n, first, last, different = got.agg(F.count("*"), F.min("position"), F.max("position"), F.countDistinct("position")).first()
+    assert (n, first, last, different) == (1_000_000, 1, 1_000_000, 1_000_000)
+    assert got.select("v", "position").orderBy("v").limit(3).collect() == got.select("v", "position").orderBy("position").limit(3).collect()
+
+
+def test_running_sums_and_quantiles(spark):
+    import numpy as np
+
+    values = [(v, v % 3 + 1) for v in range(-20, 80, 3)]
+    df = spark.createDataFrame(values, "v long, n long").repartition(5)
+    before = {r["v"]: r["before"] for r in ordering.running(df, [F.col("v")], "n").collect()}
+    assert before == {v: sum(n for w, n in values if w < v) for v, _ in values}
+    at = [0, 0.2, 0.37, 0.5, 1]
+    assert ordering.quantiles(df, "v", "n", at) == pytest.approx(list(np.quantile([v for v, n in values for _ in range(n)], at)))
+    assert ordering.quantiles(df.limit(0), "v", "n", at) == []
+
+
+def test_sheet_and_reference_tables(spark):
+    df = spark.createDataFrame([(1, "b", "yes"), (2, "a", None)], "ord long, title string, include_ta string")
+    got = screening.sheet(df, [F.col("title")])
+    assert got.columns[:2] == ["screening_id", "title"]
+    assert {r["screening_id"]: (r["ord"], r["include_ta"], r["source_db"], r["language_detected"]) for r in got.collect()} == {"SCREEN_0001": (2, None, "unknown", "en"), "SCREEN_0002": (1, "yes", "unknown", "en")}
+    assert screening.by_id(got, "SCREEN_0002").first()["ord"] == 1
+    assert [r["code"] for r in screening.reasons_table(spark).where("stage = 'Full Text'").collect()] == ["E6", "E7"]
+    assert screening.instructions_table(spark).count() == 4
+
+
+def test_log_status_and_error_class(spark):
+    df = spark.createDataFrame([("a success", "ERROR"), ("run completed", "INFO"), ("x", "ERROR"), ("x", "WARNING"), ("warning", None), (None, "DEBUG")], "m string, l string")
+    assert [r[0] for r in df.select(scores.log_status(F.col("m"), F.col("l"))).collect()] == ["success", "info", "error", "warning", "warning", "info"]
+    df = spark.createDataFrame([("Too many requests",), ("timed out",), ("network down",), ("HTTP 503",), (None,)], "m string")
+    assert [r[0] for r in df.select(scores.error_class(F.col("m"))).collect()] == ["rate_limit", "timeout", "connection_error", "server_error", "unknown"]
+
+
 def test_trend_needs_three_years(spark):
     df = spark.createDataFrame([(2020,), (2021,)], "year int")
     assert {r["slope"] for r in metrics.trend(df).collect()} == {None}

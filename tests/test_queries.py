@@ -7,7 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from tessera.plans.queries import QUERIES, SQL
+from tessera.plans.reports import QUERIES, SQL
 
 DATA = "/root/testdata/sf0.001"
 
