@@ -2,64 +2,26 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
 import gc
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.storage import delete, written  # noqa: F401 - the operators take both from here
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: White space of the word definitions: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 
-_own_dirs: dict[str, str] = {}
-
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one temporary folder per
-    application where that is unset (local runs and tests)."""
-    set_by_cluster = spark.conf.get("spark.checkpoint.dir", None)
-    if set_by_cluster:
-        return set_by_cluster.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dirs:
-        _own_dirs[app] = tempfile.mkdtemp(prefix="tessera-")
-        atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
-    return _own_dirs[app]
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends there, and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_at = path
-    return out
-
-
-def delete(*done: DataFrame) -> None:
-    """Delete written tables that nothing reads any more.
-
-    What was derived from them must be written itself, so that a lost executor needs none of them.
-    """
-    for df in done:
-        spark = df.sparkSession
-        at = spark._jvm.org.apache.hadoop.fs.Path(df.written_at)  # noqa: SLF001
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)  # noqa: SLF001
-
-
 def sweep(spark: SparkSession, *done: DataFrame) -> None:
     """Delete written tables that nothing reads any more, and let Spark remove the shuffle files of finished jobs."""
     delete(*done)
@@ -67,7 +29,6 @@ def sweep(spark: SparkSession, *done: DataFrame) -> None:
     spark._jvm.System.gc()  # noqa: SLF001 - the cleaner acts on what the driver has let go
 
 
-
 #: Rows that a Python worker holds at a time, unless the session says otherwise. Texts may be long.
 BATCH_ROWS = 1000
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
