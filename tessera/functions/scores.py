@@ -81,6 +81,11 @@ def json_or_raw(x: Column, schema: str) -> Column:
     return F.from_json(F.when(F.try_parse_json(x).isNotNull(), x).otherwise(span), schema)
 
 
+def raw_response(x: Column) -> Column:
+    """A text that is neither JSON nor holds an object, else null: what an answer without structure says."""
+    return F.when(F.try_parse_json(x).isNull() & F.try_parse_json(F.regexp_extract(x, r"(?s)\{.*\}", 0)).isNull(), x)
+
+
 def query_potential(text: Column, core: Iterable[str], model: Iterable[str], action: Iterable[str], valued: Iterable[str]) -> Column:
     """0.5 and capped shares for terms that a query names, at most 1."""
     part = lambda terms, each, most: F.least(F.lit(most), hits(text, terms) * each)

@@ -68,8 +68,15 @@ def author_names(authors: Column, display: bool = False) -> Column:
 
 
 def url_key(url: Column) -> Column:
-    """Scheme, host and path, without query, fragment and closing slashes."""
-    return F.regexp_replace(F.regexp_replace(blank(url), r"[?#].*$", ""), "/+$", "")
+    """Scheme in lower case, ://, host and path, without the last segment's parameters, query, fragment and closing slashes.
+
+    A text without a scheme is a path: ``a/b`` becomes ``://a/b``. Empty texts stay empty.
+    """
+    bare = F.regexp_replace(blank(url), r"(?s)[?#].*$", "")
+    scheme = F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    rest = F.when(scheme != "", F.substr(bare, F.length(scheme) + 2)).otherwise(bare)
+    place = F.regexp_replace(F.regexp_replace(rest, r"^//", ""), r";[^/]*$", "")
+    return F.when(blank(url) == "", "").otherwise(F.regexp_replace(F.concat(F.lower(scheme), F.lit("://"), place), "/+$", ""))
 
 
 def clean_text(x: Column) -> Column:

@@ -7,7 +7,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +101,11 @@ def pdf_location() -> Column:
     )
 
 
+def extract_one(spark: SparkSession, text: str, provider: Provider = offline_provider) -> DataFrame:
+    """The extraction of a single text, one row."""
+    return extract(spark.createDataFrame([(text,)], "text string"), F.col("text"), provider)
+
+
 def scale_by_answer(answer: Column, otherwise: Column) -> Column:
     """The scale as an answer's first character gives it, 1 to 7, else the estimate."""
     digit = F.substring(F.trim(answer), 1, 1).try_cast("int")

@@ -177,6 +177,13 @@ def printed(tree: Term | Node, dialect: str = "boolean") -> str:
     return tree.text if dialect == "boolean" else bare
 
 
+def for_arxiv(tree: Term | Node, category: str | None = "cs.*") -> str:
+    """The query over abstracts and titles in arXiv's dialect, within a category."""
+    text = printed(tree, "arxiv")
+    both = f"abs:({text}) OR ti:({text})"
+    return f"({both}) AND (cat:{category})" if category else both
+
+
 def vocabulary_matches(vocabulary: DataFrame, column: str, pattern: str) -> DataFrame:
     """Words of a vocabulary that a wildcard term expands to."""
     return vocabulary.where(F.lower(column).rlike(f"^{wildcard_pattern(pattern)}$"))

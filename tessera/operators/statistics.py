@@ -122,6 +122,19 @@ def log_filter(df: DataFrame, module: str | None = None, level: str | None = Non
     return df
 
 
+def log_runs(df: DataFrame, gap_seconds: int = 1800) -> DataFrame:
+    """Per module how many runs of entries without a pause of gap_seconds there are, and how many entries.
+
+    Entries of one stretch of gap_seconds are of one run, so they fold before anything is ordered: a module's task sees a row per stretch.
+    """
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    gap = gap_seconds * 1_000_000
+    stretches = df.groupBy("module", F.floor(at / gap).alias("stretch")).agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n"))
+    before = F.lag("last").over(Window.partitionBy("module").orderBy("stretch"))
+    begins = stretches.withColumn("begins", F.coalesce((F.col("first") - before >= gap).cast("int"), F.lit(1)))
+    return begins.groupBy("module").agg(F.sum("begins").alias("sessions"), F.sum("n").alias("entries"))
+
+
 def session_progress(progress: DataFrame) -> DataFrame:
     """Papers by session and source, and when it was last active; only rows of a query count, as a source's checkpoint repeats them."""
     return progress.where(F.col("query_hash").isNotNull()).groupBy("session_id", "source").agg(F.sum("papers_found").alias("papers"), F.max("timestamp").alias("last_activity"))

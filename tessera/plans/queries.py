@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scores as S
 from tessera.functions import text as X
-from tessera.operators import dedup, metrics, rules, screening, search, tagging
+from tessera.operators import dedup, metrics, rules, screening, search, statistics, tagging
 from tessera.sources import records
 from tessera.storage import new_path
 from tessera.streaming import incremental
@@ -336,5 +336,4 @@ def bibtex_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"WITH {LOG} SELECT module, count(*) AS sessions, sum(n)::BIGINT AS entries FROM (SELECT module, s, count(*) AS n FROM (SELECT module, sum(new::INT) OVER (PARTITION BY module ORDER BY timestamp, id) AS s FROM (SELECT *, coalesce(timestamp - lag(timestamp) OVER (PARTITION BY module ORDER BY timestamp, id) >= INTERVAL 30 MINUTE, true) AS new FROM log)) GROUP BY module, s) GROUP BY module")
 def log_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = log(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("timestamp")).groupBy(F.session_window("timestamp", "30 minutes"), "module").agg(F.count(F.lit(1)).alias("n"))
-    return runs.groupBy("module").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("entries"))
+    return statistics.log_runs(log(spark, sf_dir))

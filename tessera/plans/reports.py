@@ -305,6 +305,17 @@ def advanced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harvest.advanced_search(papers(spark, sf_dir), "this", "the", "lee1", 2019, 2022, 25).select("ord", "year")
 
 
+@register(f"""WITH {_DATED}, r AS (SELECT *, strftime(published, '%Y%m') AS m, row_number() OVER (PARTITION BY strftime(published, '%Y%m') ORDER BY ord) AS r FROM dated WHERE year(published) BETWEEN 2019 AND 2021 AND contains({LOW}, 'this')),
+c AS (SELECT *, row_number() OVER (ORDER BY m, r) AS place FROM r WHERE r <= 5), f AS (SELECT *, {_BY_KEY} FROM c WHERE place <= 90) SELECT ord FROM f WHERE k = 1 AND year BETWEEN 2019 AND 2021""")
+def arxiv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harvest.arxiv_search(_dated(spark, sf_dir), "this", "published", 2019, 2021, [F.col("ord")], 90, 5).select("ord")
+
+
+@register(f"WITH {PAPERS}, f AS (SELECT * FROM papers WHERE contains({LOW}, 'this') ORDER BY citations DESC, ord LIMIT 100) SELECT ord, year FROM f WHERE year BETWEEN 2019 AND 2022")
+def capped_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return harvest.capped_search(papers(spark, sf_dir), "this", 2019, 2022, [F.desc("citations"), F.col("ord")], 100).select("ord", "year")
+
+
 @register(f"""WITH {PAPERS}, a AS (SELECT *, row_number() OVER (PARTITION BY source_db ORDER BY citations DESC, ord) AS r FROM papers WHERE source_db IN ('src0', 'src1')) SELECT source_db, count(*) AS n FROM a WHERE r <= 30 GROUP BY source_db""")
 def capped_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three sources with a cap, of which one fails."""

@@ -115,6 +115,17 @@ def advanced_search(df: DataFrame, query: str, title: str | None = None, author:
     return found.orderBy(F.desc_nulls_last("year"), F.desc_nulls_last("citations"), "title").limit(most)
 
 
+def arxiv_search(df: DataFrame, query: str, date: str, first: int, last: int, order: Sequence[Column], most: int = 100, per_month: int = 100) -> DataFrame:
+    """A query by months of the years first to last, at most per_month of a month and most of all; the first of each record."""
+    found = search.search(df, query, "title", "abstract")
+    return month_split(found, date, order, f"{first}-01-01", f"{last}-12-31", most, per_month).where(F.col("year").between(first, last))
+
+
+def capped_search(df: DataFrame, query: str, first: int, last: int, order: Sequence[Column], most: int = 100) -> DataFrame:
+    """The first rows of a query's result, of these the ones of the years first to last."""
+    return search.search(df, query, "title", "abstract").orderBy(*order).limit(most).where(F.col("year").between(first, last))
+
+
 def paged(fetch: Callable[[int, int], Sequence], most: int, rows: int = 100, total: int | None = None) -> Iterator:
     """Results of fetch(offset, rows) page by page, up to most; a short page is the last, and so is the one that reaches total."""
     at = 0

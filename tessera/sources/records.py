@@ -114,8 +114,14 @@ def plain_html(html: Column) -> Column:
 
 
 def clean_tex(tex: Column) -> Column:
-    """Sections of a TeX source as ## headings, with comments, markup, citations and floats taken out."""
+    """Bodies of a TeX source's sections under ## titles, without comments, markup, citations, labels and floats; what stands outside sections goes."""
     out = F.regexp_replace(tex, r"(?m)(?<!\\)%.*$", "")
-    for pattern, by in ((r"\\(?:textbf|textit|emph)\{([^{}]*)\}", "$1"), (r"\\(?:cite|ref)[a-z]*\*?(?:\[[^\]]*\])*\{[^{}]*\}", "[REF]"), (r"\\label\{[^{}]*\}", ""), (r"(?s)\\begin\{(equation|figure|table)\*?\}.*?\\end\{\1\*?\}", "[$1]")):
+    for pattern, by in (
+        (r"\\(?:textbf|textit|emph)\{([^{}]+)\}", "$1"), (r"\\cite[a-z]*\*?(?:\[[^\]]*\])*\{[^{}]+\}", "[citation]"), (r"\\ref\{[^{}]+\}", "[ref]"), (r"\\label\{[^{}]+\}", ""),
+        (r"(?s)\\begin\{(equation|figure|table)\*?\}.*?\\end\{\1\*?\}", "[$1]"),
+    ):
         out = F.regexp_replace(out, pattern, by)
-    return F.trim(F.regexp_replace(out, r"\\section\*?\{([^{}]*)\}", "\n## $1\n"))
+    section = F.lit(r"(?s)\\section\*?\{([^}]+)\}(.*?)(?=\\section|\\end\{document\}|\z)")
+    titles, bodies = (F.regexp_extract_all(out, section, F.lit(i)) for i in (1, 2))
+    blank = F.lit(" \t\n\x0b\x0c\r")
+    return F.array_join(F.zip_with(titles, bodies, lambda t, b: F.concat(F.lit("\n## "), t, F.lit("\n\n"), F.btrim(b, blank))), "\n")

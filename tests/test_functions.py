@@ -34,6 +34,20 @@ def test_arxiv_parts_split_id_and_version(spark):
     assert one(spark, F.struct(*[p.alias(n) for p, n in zip(X.arxiv_parts(F.lit("2301.00234v2")), "ab", strict=True)])).asDict() == {"a": "2301.00234", "b": 2}
 
 
+def test_url_key_equals_the_parsed_url(spark):
+    from urllib.parse import urlparse
+
+    for url in ("https://Example.org/p/1/?ref=2#top", "HTTP://a.b/x;p=1/y;q=2;r", "foo/bar/", "a.b/c?d", "ftp://u@h:21/x//", "http://a.b", "mailto:x@y", "//h/p", "http://a.b/x;p?q#f"):
+        parts = urlparse(url)
+        assert one(spark, X.url_key(F.lit(url))) == f"{parts.scheme}://{parts.netloc}{parts.path}".rstrip("/"), url
+    assert one(spark, X.url_key(F.lit(None).cast("string"))) == ""
+
+
+def test_raw_responses(spark):
+    df = spark.createDataFrame([('{"a": 1}',), ('say {"a": 1}!',), ("no",), (None,)], "t string")
+    assert [r[0] for r in df.select(S.raw_response(F.col("t"))).collect()] == [None, None, "no", None]
+
+
 def test_year_or_zero(spark):
     assert [one(spark, X.year_or_zero(F.lit(y).cast("string"))) for y in ("2024", "2024.9", "x", None)] == [2024, 2024, 0, 0]
 

@@ -128,6 +128,7 @@ def test_search_language(spark):
     assert hits('red NOT red NEAR/2 "model"') == [2]
     assert hits("m?del") == [2, 3]
     assert search.printed(search.parse('"red team" AND llm*'), "arxiv") == '("red team" AND llm)'
+    assert search.for_arxiv(search.parse("llm* AND x")) == "(abs:((llm AND x)) OR ti:((llm AND x))) AND (cat:cs.*)"
     assert search.printed(search.parse('a NEAR/3 ("b" OR "c")'), "scholar") == '("a b" OR "a c")'
     for bad in ("(a", "AND", 'a NEAR/2', "a )"):
         with pytest.raises(ValueError):

@@ -36,7 +36,9 @@ def test_html_and_tex(spark):
     df = spark.createDataFrame([("<body><nav>n</nav><article><h1>T</h1><p>x</p></article></body>", "a % c\n\\section{S} \\textbf{b} \\cite{k}")], "h string, t string")
     row = df.select(records.plain_html(F.col("h")).alias("h"), records.clean_tex(F.col("t")).alias("t")).first()
     assert row["h"] == "T\nx"
-    assert "## S" in row["t"] and "% c" not in row["t"] and "[REF]" in row["t"]
+    assert row["t"] == "\n## S\n\nb [citation]"
+    tex = "x\\section{A}\n one \\label{l}\\ref{r} 5\\% % no\n\\begin{table}a\nb\\end{table}\\section*{B}two\\end{document} gone"
+    assert spark.createDataFrame([(tex,), ("plain",), (None,)], "t string").select(records.clean_tex(F.col("t"))).collect()[0][0] == "\n## A\n\none [ref] 5\\% \n[table]\n\n## B\n\ntwo"
 
 
 def test_stream_of_titles_equals_batch_and_resumes(spark, tmp_path):
