@@ -29,15 +29,15 @@ def sweep(spark: SparkSession, *done: DataFrame) -> None:
     spark._jvm.System.gc()  # noqa: SLF001 - the cleaner acts on what the driver has let go
 
 
-#: Rows that a Python worker holds at a time, unless the session says otherwise. Texts may be long.
-BATCH_ROWS = 1000
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows and bytes that a Python worker holds at a time, unless the session says otherwise: setting, Spark's default, value. Texts may be long.
+BATCHES = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8388608b"))
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lower Arrow's rows per batch from its default; a value that the user chose stays."""
-    if spark.conf.get(_BATCH_CONF) == "10000":
-        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    """Lower Arrow's batches from their defaults; a value that the user chose stays."""
+    for name, default, value in BATCHES:
+        if spark.conf.get(name, None) == default:
+            spark.conf.set(name, value)
 
 
 def release() -> None:
