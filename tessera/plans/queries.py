@@ -329,7 +329,12 @@ def stream_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("title_key string").parquet(f"{folder}/out")
 
 
-@register()
+_field = lambda name, column: f"CASE WHEN {column}::VARCHAR <> '' THEN '  {name} = {{' || regexp_replace({column}::VARCHAR, '([{{}}])', '\\\\\\1', 'g') || '}}' END"
+CITE_KEY = "regexp_replace(list_last(string_split(trim(string_split(authors, ';')[1]), ' ')) || year || array_to_string(list_filter(regexp_split_to_array(title, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')[1:2], ''), '[^A-Za-z0-9]', '', 'g')"
+_ENTRY = ", ".join((_field("title", "title"), "'  author = {' || regexp_replace(authors, ';\\s*', ' and ', 'g') || '}'", _field("year", "year"), _field("journal", "source_db"), _field("doi", "doi"), _field("url", "url"), _field("abstract", "abstract")))
+
+
+@register(f"WITH {PAPERS} SELECT '@misc{{' || {CITE_KEY} || ',' || chr(10) || array_to_string(list_filter([{_ENTRY}], lambda x: x IS NOT NULL), ',' || chr(10)) || chr(10) || '}}' AS entry FROM papers")
 def bibtex_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.bibtex(papers(spark, sf_dir).withColumn("venue", F.col("source_db")))
 

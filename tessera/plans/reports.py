@@ -14,7 +14,7 @@ from tessera.operators import caching, dedup, metrics, planning, rules, screenin
 from tessera.sources import harvest
 
 from .papers import LOG, PAPERS, SCREENED, log, papers, screened, table
-from .queries import DOI_KEY, LOW, QUERIES, RULES, SQL, register
+from .queries import CITE_KEY, DOI_KEY, LOW, QUERIES, RULES, SQL, register
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -452,10 +452,7 @@ def citation_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ord", "quintile", F.col("ranked").cast("int").alias("ranked"), "single")
 
 
-_CODE_KEY = "regexp_replace(list_last(string_split(trim(string_split(authors, ';')[1]), ' ')) || year || array_to_string(list_filter(regexp_split_to_array(title, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')[1:2], ''), '[^A-Za-z0-9]', '', 'g')"
-
-
-@register(f"""WITH {PAPERS} SELECT ord, CASE ord % 4 WHEN 0 THEN 'inproceedings' WHEN 1 THEN 'article' WHEN 2 THEN 'techreport' ELSE 'misc' END AS kind, {_CODE_KEY} AS key FROM papers""")
+@register(f"""WITH {PAPERS} SELECT ord, CASE ord % 4 WHEN 0 THEN 'inproceedings' WHEN 1 THEN 'article' WHEN 2 THEN 'techreport' ELSE 'misc' END AS kind, {CITE_KEY} AS key FROM papers""")
 def bibtex_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.sources import records
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -59,3 +60,30 @@ def batches(stream: DataFrame, process: Callable[[DataFrame], DataFrame], out: s
     query = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+def isolated(df: DataFrame, process: Callable[[pd.DataFrame], pd.DataFrame], schema: str, parts: int = 4) -> DataFrame:
+    """process over batches, with a column error added to schema.
+
+    A batch that fails is split into parts and tried again, down to single rows; a row that fails by itself gives one row of nulls with its error,
+    and costs no other row.
+    """
+    names = StructType.fromDDL(schema).names
+
+    def tried(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        try:
+            yield process(batch)[names].assign(error=None)
+        except Exception as e:  # noqa: BLE001
+            if len(batch) == 1:
+                yield pd.DataFrame([[None] * len(names) + [f"{type(e).__name__}: {e}"]], columns=[*names, "error"])
+                return
+            step = -(-len(batch) // parts)
+            for at in range(0, len(batch), step):
+                yield from tried(batch.iloc[at : at + step])
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield from tried(batch)
+
+    return df.mapInPandas(run, f"{schema}, error string")

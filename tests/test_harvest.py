@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import caching, dedup, extraction, planning, search, statistics
-from tessera.sources import exports, harvest, records
+from tessera.sources import exports, harvest, pdf, records, workbook
 from tessera.streaming import incremental
 
 FEED = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://arxiv.org/abs/2301.00234v2</id><published>2023-01-05T10:00:00Z</published><title>A  war
@@ -261,4 +261,48 @@ def test_seeds_and_months(spark, tmp_path):
     assert [(r["title"], r["authors"]) for r in records.seeds(spark, str(tmp_path / "s.json")).collect()] == [("T", "A; B")]
     assert [tuple(r) for r in records.months(spark, "2024-01-10", "2024-03-01").collect()][0][1] == "20240131"
     assert records.months(spark, "2024-01-01", "2024-02-15").collect()[1]["to"] == "20240229"
-    assert incremental is not None
+
+
+def test_workbooks(spark, tmp_path):
+    df = spark.createDataFrame([("SCREEN_0001", "a <b> & \x01c", 2020, 1.5, True), ("SCREEN_0002", None, None, None, False)], "screening_id string, title string, year int, v double, ok boolean")
+    path = workbook.screening_workbook(str(tmp_path / "s.xlsx"), df)
+    back = workbook.read_workbook(spark, path)
+    assert back.columns == df.columns
+    assert sorted(map(tuple, back.collect())) == [("SCREEN_0001", "a <b> & c", "2020", "1.5", "true"), ("SCREEN_0002", None, None, None, "false")]
+    assert workbook.read_workbook(spark, path, "Exclusion_Reasons").where("Code = 'E8'").first()["Reason"] == "Duplicate publication"
+    assert workbook.read_workbook(spark, path, "Instructions").count() == 4
+    with zipfile.ZipFile(path) as z:
+        assert 'width="50"' in z.read("xl/worksheets/sheet2.xml").decode()
+    wide = workbook.write_workbook(str(tmp_path / "w.xlsx"), {"W": ([f"c{i}" for i in range(60)], [list(range(60))])})
+    assert list(workbook.read_rows(wide))[1] == [str(i) for i in range(60)]
+    results = df.withColumns({c: F.lit(v) for c, v in (("pdf_status", "cached"), ("extraction_status", "success"), ("failure_modes", ""), ("llm_family", "x"))})
+    summary = workbook.read_workbook(spark, workbook.results_workbook(str(tmp_path / "r.xlsx"), results), "Summary")
+    assert {r["Metric"]: r["Value"] for r in summary.collect()} == {"Total Papers": "2", "Papers with PDFs": "2", "Papers Extracted": "2", "Papers with Failure Modes": "0", "Unique LLM Families": "1"}
+
+
+def test_pdf_text(spark, tmp_path):
+    import zlib
+
+    page = b"BT /F1 12 Tf 72 700 Td (Hello \\(big\\) w\\366rld) Tj 0 -14 Td [(sec) -20 (ond) -300 (line)] TJ ET"
+    packed = zlib.compress(b"BT (next page) Tj ET")
+    content = b"%PDF-1.4\n1 0 obj <</Title (A title) /Author (Ann)>> endobj\n2 0 obj <</Length 9>>\nstream\n" + page + b"\nendstream endobj\n3 0 obj <</Filter /FlateDecode /Length 9>>\nstream\n" + packed + b"\nendstream endobj"
+    (tmp_path / "a.pdf").write_bytes(content)
+    (tmp_path / "b.pdf").write_bytes(b"no pdf")
+    got = {r["path"].rsplit("/", 1)[1]: r for r in pdf.read_pdfs(spark, str(tmp_path)).collect()}
+    assert got["a.pdf"]["text"] == "Hello (big) wörld\nsecond line\n\nnext page"
+    assert (got["a.pdf"]["title"], got["a.pdf"]["author"], got["b.pdf"]["text"]) == ("A title", "Ann", None)
+    assert pdf.pdf_text(content, 1) == "Hello (big) wörld\nsecond line"
+    files = extraction.binary_files(spark, str(tmp_path))
+    stats = statistics.file_statistics(files).first()
+    assert stats["files"] == 2 and {r["is_pdf"] for r in files.collect()} == {True, False} and {len(r["md5"]) for r in files.collect()} == {32}
+
+
+def test_a_failing_row_costs_no_other_row(spark):
+    def process(batch):
+        if (batch["i"] % 37 == 5).any():
+            raise ValueError("bad row")
+        return batch.assign(twice=batch["i"] * 2)
+
+    got = incremental.isolated(spark.range(100).withColumnRenamed("id", "i"), process, "i long, twice long").collect()
+    assert sorted(r["twice"] for r in got if r["error"] is None) == [2 * i for i in range(100) if i % 37 != 5]
+    assert [r["error"] for r in got if r["error"]] == ["ValueError: bad row"] * 3
