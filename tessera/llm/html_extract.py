@@ -1,12 +1,13 @@
 """Main text of web pages by nearest-URL page differencing.
 
 A page is read as text lines: one per block element, with the markup that holds it. Pages are ordered by
-host, URL path and id; each is paired with its neighbour on the same host (positions 0 and 1, 2 and 3,
-...; a last odd page is compared with the one before it). The lines of a pair are aligned by longest common
+host, URL path and id and cut into blocks; each is paired with the page of its block whose path is nearest (the
+most segments, then characters, that both begin with). The lines of a pair are aligned by longest common
 subsequence, and shared lines go: they belong to the site and not to the page. Three things limit that.
-A neighbour that shares nearly all lines is a copy of the page, and the next page of the block that is none
+A neighbour that shares nearly all lines is a copy of the page, and the next nearest that is none
 is taken instead; without one nothing is shared. A line inside an article or main element is likelier the
-page's own, so it goes only if a second page, no copy of the page or its neighbour, shares it as well.
+page's own, as texts quote and repeat, so it goes only if a second page, no copy of the page or its neighbour, shares
+it as well and if it stands on three quarters of the block's pages.
 And lines of menus, headers, footers, sidebars, cookie notices, adverts, forms and comments go by their
 markup, shared or not, as a host with a single page has no neighbour to tell. Class tokens, ids and roles
 tell by the whole name; inside article and main only nav, aside, form, adverts and comments go.
@@ -39,6 +40,8 @@ CHUNK_PAGES = 4096
 BLOCK = 16
 #: Pages that share this part of their lines, without what goes by markup, are copies, which tell nothing of the site.
 COPY = 0.9
+#: Part of a block's pages on which a line inside an article must stand to be the site's.
+SPREAD = 0.75
 #: Bits of the alignment's table; longer pairs are halved until their parts fit (Hirschberg).
 TABLE_BITS = 1 << 28
 
@@ -219,10 +222,22 @@ def main_text(lines: list[Line], shared: set[int], again: set[int] = frozenset()
     return "\n\n".join(text for i, (text, own, dropped) in enumerate(lines) if not dropped and (i not in shared or own and i not in again))
 
 
-def block_texts(pages: list[list[Line]]) -> list[str]:
-    """Texts of one block's pages, in order."""
+def nearest(paths: list[str]) -> list[list[int]]:
+    """For each path the others, nearest first: by the segments that both begin with, then the characters, then their distance in the order, those before first."""
+
+    def likeness(a: str, b: str) -> tuple[int, int]:
+        chars = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        return a[:chars].count("/"), chars
+
+    n = range(len(paths))
+    return [sorted((y for y in n if y != x), key=lambda y: (*(-k for k in likeness(paths[x], paths[y])), abs(x - y), y > x)) for x in n]
+
+
+def block_texts(pages: list[list[Line]], paths: list[str] | None = None) -> list[str]:
+    """Texts of one block's pages, in order. paths: of their URLs, in that order."""
     plain = [[x[0] for x in lines] for lines in pages]
     counts = [Counter(text for text, _, dropped in lines if not dropped) for lines in pages]
+    spread = Counter(text for count in counts for text in count)
     aligned: dict[tuple[int, int], tuple[set[int], set[int]]] = {}
 
     @cache
@@ -236,10 +251,7 @@ def block_texts(pages: list[list[Line]]) -> list[str]:
         return aligned[pair][x > y]
 
     def texts() -> Iterator[str]:
-        n = len(pages)
-        for x, lines in enumerate(pages):
-            mate = x ^ 1 if x ^ 1 < n else x - 1
-            others = [mate, *(y % n for y in range(x + 1, x + n) if y % n != mate)] if n > 1 else []
+        for lines, x, others in zip(pages, range(len(pages)), nearest(paths or [""] * len(pages)), strict=True):
             first = next((y for y in others if not copies(min(x, y), max(x, y))), None)
             if first is None:
                 yield main_text(lines, set())
@@ -247,7 +259,7 @@ def block_texts(pages: list[list[Line]]) -> list[str]:
             met, again = shared(x, first), set()
             if any(lines[i][1] and not lines[i][2] for i in met):
                 second = next((y for y in others if y != first and not copies(min(x, y), max(x, y)) and not copies(min(first, y), max(first, y))), None)
-                again = met & shared(x, second) if second is not None else again
+                again = {i for i in met & shared(x, second) if spread[plain[x][i]] >= SPREAD * len(pages)} if second is not None else again
             yield main_text(lines, met, again)
 
     return list(texts())
@@ -289,8 +301,8 @@ def _cuts(pages: DataFrame) -> list[tuple]:
         starts.append((part, start))
         start += sizes[part]
     placed = placed.join(F.broadcast(spark.createDataFrame(starts, "part int, start long")), "part").withColumn("pos", F.col("start") + F.col("at"))
-    hosts = placed.groupBy("host").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
-    step = max(2, min(CHUNK_PAGES, -(-total // (4 * n))))  # several chunks a task, as they are dealt out by hash
+    hosts = written(placed.groupBy("host").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")), "pages-hosts")  # a table of its own, so that the join may split a hot host
+    step = max(2, min(CHUNK_PAGES, -(-total // (16 * n))))  # many chunks a task, as they are dealt out by hash
     # Of each stretch of step positions the first that begins a block; a last page alone never begins one.
     inside = F.col("pos") - F.col("first")
     begins = placed.join(hosts, "host").where((F.pmod(inside, F.lit(BLOCK)) == 0) & ~((inside == F.col("n") - 1) & (F.col("n") > 1)))
@@ -303,7 +315,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     A null html has no text; a null url belongs to the host without a name. Pages that repeat url and id
     are neighbours in some order, which matters only if their html differs. Pages of any length are
-    read whole, and pairs of any length are aligned exactly. Other columns are not read.
+    read whole, and pairs of any length are aligned exactly. No rows give no rows. Other columns are not read.
     """
     spark = pages.sparkSession
     bounded_batches(spark)
@@ -327,7 +339,7 @@ def extract(pages: DataFrame) -> DataFrame:
             if end - at > BLOCK and end - at != BLOCK + 1:  # a last page alone joins the block before it
                 end = at + BLOCK
             group = order[at:end]
-            for i, text in zip(group, block_texts([page_lines(sources[i]) for i in group]), strict=True):
+            for i, text in zip(group, block_texts([page_lines(sources[i]) for i in group], [keys[i][1] for i in group]), strict=True):
                 texts[i] = text
             at = end
         release()
