@@ -14,19 +14,24 @@ refinement of the one range that the cut falls in; no task orders a whole source
 from __future__ import annotations
 
 import heapq
+from collections import deque
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read, word_count, written
+from tessera.operators.ordering import running
+
+from .common import delete, read, word_count, written
 
 #: Weights of the sources in code point order, null last, repeating.
 CYCLE = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2
-#: The flow is solved on the driver; more patterns than this raise an error instead of being cut off.
+#: Up to so many patterns the flow is solved on the driver, beyond it on the executors; both are exact.
 MAX_PATTERNS = 65_536
 #: Ranges of the hash in which a pattern's words are first summed.
 RANGES = 4096
@@ -122,16 +127,79 @@ def route(patterns: dict[tuple, int], quotas: dict[str | None, float], copies: i
     return {p: {s: room - e.room for s, (e, room) in w.items()} for p, w in ways.items()}
 
 
+def route_at_scale(patterns: DataFrame, quotas: list[int], copies: int = MAX_COPIES) -> DataFrame:
+    """patterns with __flow, the words that each gives, at the least total repetition; patterns stay on the executors.
+
+    patterns: __p, __words, __of (array of numbers of sources). As moving words of a pattern from one of its sources to
+    another costs nothing, successive shortest paths take the first copies before the second: for each level the
+    flow grows along shortest paths over a network of the sources only, whose edges hold what patterns could move.
+    The driver has a row for each pair of sources that share a pattern.
+    """
+    zeros = F.transform("__of", lambda _: F.lit(0).cast("long"))
+    state = written(patterns.select("__p", "__words", "__of", zeros.alias("__f")), "mix-flow")
+    open_quota = list(quotas)
+
+    def moved(state: DataFrame, at: Column, room: Column, amount: int, change: Callable[[Column, Column, Column], Column]) -> DataFrame:
+        """state after amount words, taken from its rows in order as they have room, changed each row's flows by change(flow, source, words)."""
+        placed = running(state.withColumn("__room", F.when(at, room).otherwise(0)), [F.col("__p")], "__room", "__before")
+        take = F.greatest(F.lit(0), F.least(F.col("__room"), F.lit(amount) - F.col("__before")))
+        flows = F.transform("__f", lambda f, i: change(f, F.get("__of", i), F.col("__take")))
+        out = written(placed.withColumn("__take", take).withColumn("__f", flows).select("__p", "__words", "__of", "__f"), "mix-flow")
+        delete(state)
+        return out
+
+    has = lambda source: F.array_contains("__of", source)
+    flow_to = lambda source: F.get("__f", (F.array_position("__of", F.lit(source)) - 1).cast("int"))
+    for level in range(1, copies + 1):
+        spare = F.lit(level) * F.col("__words") - F.aggregate("__f", F.lit(0).cast("long"), lambda a, x: a + x)
+        while any(q > 0 for q in open_quota):
+            pairs = state.withColumn("__spare", spare).select("__of", "__f", "__spare", F.posexplode("__of").alias("__i", "a")).select("a", "__spare", F.get("__f", F.col("__i")).alias("__held"), F.explode("__of").alias("b"))
+            rooms = pairs.groupBy("a", "b").agg(F.sum("__spare").alias("spare"), F.sum("__held").alias("held")).collect()
+            entry = {r["a"]: r["spare"] for r in rooms if r["a"] == r["b"] and r["spare"] > 0}
+            edges = {(r["a"], r["b"]): r["held"] for r in rooms if r["a"] != r["b"] and r["held"] > 0}
+            path = _shortest(sorted(entry), edges, {s for s, q in enumerate(open_quota) if q > 0})
+            if not path:
+                break
+            amount = min(entry[path[0]], open_quota[path[-1]], *(edges[e] for e in pairwise(path)))
+            first = path[0]
+            state = moved(state, has(first), spare, amount, lambda f, source, n, s=first: f + F.when(source == s, n).otherwise(0))
+            for a, b in pairwise(path):
+                state = moved(state, has(a) & has(b), flow_to(a), amount, lambda f, source, n, a=a, b=b: f + F.when(source == b, n).when(source == a, -n).otherwise(0))
+            open_quota[path[-1]] -= amount
+    return state.select("__p", "__words", F.aggregate("__f", F.lit(0).cast("long"), lambda a, x: a + x).alias("__flow"))
+
+
+def _shortest(starts: list[int], edges: dict[tuple[int, int], int], ends: set[int]) -> list[int]:
+    """A path of fewest edges from a start to an end; empty if there is none."""
+    after: dict[int, list[int]] = {}
+    for a, b in sorted(edges):
+        after.setdefault(a, []).append(b)
+    by: dict[int, int | None] = dict.fromkeys(starts)
+    queue = deque(starts)
+    while queue:
+        at = queue.popleft()
+        if at in ends:
+            path = [at]
+            while by[path[-1]] is not None:
+                path.append(by[path[-1]])
+            return path[::-1]
+        for b in after.get(at, ()):
+            if b not in by:
+                by[b] = at
+                queue.append(b)
+    return []
+
+
 def seeded_key(doc_id: Column, seed: str = SEED) -> Column:
     """60 bits of md5 of the seed and the id; null ids share one key."""
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("long")
 
 
 
-def _cuts(sized: DataFrame, quota: DataFrame) -> DataFrame:
+def _cuts(sized: DataFrame, quota: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Per pattern: base copies, the cut (key, id, size up to which documents get one more) and the closing document.
 
-    sized: __p, __key, __id, __size. quota: __p, __words, __flow (small: a row per pattern).
+    sized: __p, __key, __id, __size. quota: __p, __words, __flow, a row per pattern; small marks such tables for joins.
     """
     base = F.when((F.col("__flow") >= F.col("__words")) & (F.col("__words") > 0), F.floor(F.col("__flow") / F.col("__words"))).otherwise(F.lit(0)).cast("long")
     need = quota.withColumn("__base", base).withColumn("__rest", F.col("__flow") - F.col("__base") * F.col("__words"))
@@ -140,9 +208,9 @@ def _cuts(sized: DataFrame, quota: DataFrame) -> DataFrame:
     bars = ranged.groupBy("__p", "__range").agg(F.sum("__size").alias("__bar"))  # at most patterns x RANGES rows
     upto = Window.partitionBy("__p").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     bars = bars.withColumn("__before", F.coalesce(F.sum("__bar").over(upto), F.lit(0)))
-    hit = bars.join(F.broadcast(need), "__p").where((F.col("__before") <= F.col("__rest")) & (F.col("__before") + F.col("__bar") > F.col("__rest")))
+    hit = bars.join(small(need), "__p").where((F.col("__before") <= F.col("__rest")) & (F.col("__before") + F.col("__bar") > F.col("__rest")))
     hit = hit.select("__p", "__range", "__before", "__rest", "__base")
-    inside = ranged.join(F.broadcast(hit), ["__p", "__range"])
+    inside = ranged.join(small(hit), ["__p", "__range"])
     run = F.col("__before") + F.sum("__size").over(Window.partitionBy("__p", "__range").orderBy("__key", "__id", "__size").rowsBetween(Window.unboundedPreceding, 0))
     last = inside.withColumn("__run", run).where(F.col("__run") <= F.col("__rest")).groupBy("__p").agg(F.max(F.struct("__run", "__key", "__id", "__size")).alias("l"))
     first = F.col("__range") * width
@@ -154,7 +222,7 @@ def _cuts(sized: DataFrame, quota: DataFrame) -> DataFrame:
         (F.col("__rest") - F.when(F.col("__range").isNull(), F.when(F.col("__rest") > 0, F.col("__words")).otherwise(F.lit(0))).otherwise(F.coalesce(F.col("l.__run"), F.col("__before")))).alias("__gap"),
     )
     cut = written(cut, "mix-cuts")
-    outside = sized.join(F.broadcast(cut), "__p").where(~_inside() & (F.col("__size") > 0) & (F.abs(F.col("__size") - F.col("__gap")) < F.col("__gap")))
+    outside = sized.join(small(cut), "__p").where(~_inside() & (F.col("__size") > 0) & (F.abs(F.col("__size") - F.col("__gap")) < F.col("__gap")))
     closing = outside.groupBy("__p").agg(F.min(F.struct(F.abs(F.col("__size") - F.col("__gap")).alias("miss"), "__key", "__id", "__size")).alias("c"))
     return written(cut.join(closing, "__p", "left").select(*cut.columns, F.col("c.__key").alias("__end_key"), F.col("c.__id").alias("__end_id"), F.col("c.__size").alias("__end_size")), "mix-cuts")
 
@@ -171,7 +239,7 @@ def _copies() -> Column:
     return F.when(F.col("__size") == 0, F.lit(0)).otherwise(F.col("__base") + F.when(_inside(), 1).otherwise(0) + F.when(F.coalesce(end, F.lit(False)), 1).otherwise(0)).cast("long")
 
 
-def plan(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str = "text", cycle: tuple[int, ...] = CYCLE, share: float = SHARE, most: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
+def plan(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str = "text", cycle: tuple[int, ...] = CYCLE, share: float = SHARE, most: int = MAX_COPIES, seed: str = SEED, max_patterns: int = MAX_PATTERNS) -> DataFrame:
     """docs, every row and column, with __size, __copies, __source_size and __target (of the first source of the row).
 
     members: array of the sources that a row belongs to; a null or empty array or a null element is the source null.
@@ -184,21 +252,28 @@ def plan(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str
     tagged = docs.withColumn("__size", word_count(F.col(text_col))).withColumn("__members", sets).withColumn("__id", F.col(id_col)).withColumn("__key", seeded_key(F.col(id_col), seed))
     tagged = tagged.withColumn("__p", F.to_json("__members", {"ignoreNullFields": "false"}))
     sized = written(tagged.select("__p", "__members", "__key", "__id", "__size"), "mix-sizes")
-    found = sized.groupBy("__p").agg(F.first("__members").alias("m"), F.sum("__size").alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; the flow is solved on the driver")
-    patterns = {r["__p"]: (tuple(r["m"]), int(r["n"])) for r in found}
-    size: dict[str | None, int] = {}
-    for m, n in patterns.values():
-        for s in m:
-            size[s] = size.get(s, 0) + n
-    goal = targets(size, cycle, share * (sum(n for _, n in patterns.values()) / max(1, sum(size.values()))), most)
-    flow = route({m: n for m, n in patterns.values()}, goal, most)
-    schema = T.StructType([T.StructField("__p", T.StringType()), T.StructField("__words", T.LongType()), T.StructField("__flow", T.LongType()), T.StructField("__source_size", T.LongType()), T.StructField("__target", T.DoubleType())])
-    quota = spark.createDataFrame([(p, n, sum(flow[m].values()), size[m[0]], goal[m[0]]) for p, (m, n) in patterns.items()], schema)
-    cuts = _cuts(sized.select("__p", "__key", "__id", "__size"), quota.select("__p", "__words", "__flow"))
+    patterns = written(sized.groupBy("__p").agg(F.first("__members").alias("m"), F.sum("__size").alias("__words")), "mix-patterns")
+    few = patterns.count() <= max_patterns
+    per_source = patterns.select(F.explode("m").alias("s"), "__words").groupBy("s").agg(F.sum("__words").alias("n")).collect()  # a row per source
+    size: dict[str | None, int] = {r["s"]: int(r["n"]) for r in per_source}
+    whole = int(patterns.agg(F.sum("__words")).first()[0] or 0)
+    goal = targets(size, cycle, share * (whole / max(1, sum(size.values()))), most)
+    known = [(s, i, size[s], goal[s]) for i, s in enumerate(size)]
+    named = F.broadcast(spark.createDataFrame(known, T.StructType([T.StructField("__s", T.StringType()), T.StructField("__i", T.IntegerType()), T.StructField("__source_size", T.LongType()), T.StructField("__target", T.DoubleType())])))
+    if few:
+        found = {r["__p"]: (tuple(r["m"]), int(r["__words"])) for r in patterns.collect()}
+        flow = route(dict(found.values()), goal, most)
+        routed = spark.createDataFrame([(p, n, sum(flow[m].values())) for p, (m, n) in found.items()], "__p string, __words long, __flow long")
+    else:
+        members = patterns.select("__p", "__words", F.explode("m").alias("__m"))
+        numbered = members.join(named, F.col("__m").eqNullSafe(F.col("__s"))).groupBy("__p", "__words").agg(F.array_sort(F.collect_list("__i")).alias("__of"))
+        routed = route_at_scale(numbered, [round(goal[s]) for s in size], most)
+    quota = patterns.select("__p", F.col("m")[0].alias("__m")).join(named, F.col("__m").eqNullSafe(F.col("__s"))).join(routed, "__p").select("__p", "__words", "__flow", "__source_size", "__target")
+    quota = written(quota, "mix-quota")
+    small = F.broadcast if few else lambda df: df
+    cuts = _cuts(sized.select("__p", "__key", "__id", "__size"), quota.select("__p", "__words", "__flow"), small)
     cuts = cuts.join(quota.select("__p", "__source_size", "__target"), "__p")
-    return tagged.join(F.broadcast(cuts), "__p").withColumn("__copies", _copies())
+    return tagged.join(small(cuts), "__p").withColumn("__copies", _copies())
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
