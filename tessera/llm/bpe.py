@@ -149,7 +149,11 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids"
 
 
 def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256; the ids and bytes themselves don't leave the task."""
+    """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256; the ids and bytes themselves don't leave the task.
+
+    Null and empty texts have no ids and the digests of no bytes. Texts of any length are encoded whole; null and
+    repeated ids give a row each, and no rows none. Other columns are not read.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)

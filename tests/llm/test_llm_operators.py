@@ -170,6 +170,21 @@ def test_html_differencing_acts_inside_main_and_spares_copies(spark):
     assert [got[100 + i] for i in range(33)] == [f"own {i}" for i in range(33)]
 
 
+def test_articles_keep_what_a_few_pages_quote():
+    own = lambda *texts: [(t, True, False) for t in texts]
+    pages = [own("site", f"a{i}", *(["quoted"] if i < 4 else [])) for i in range(10)]
+    assert html_extract.block_texts(pages, [f"p/{i}" for i in range(10)]) == [f"a{i}" + ("\n\nquoted" if i < 4 else "") for i in range(10)]
+
+
+def test_pages_are_paired_by_the_nearest_path():
+    paths = ["a/b/1", "a/b/2", "a/c", "d/x", "d/y/1"]
+    assert [n[0] for n in html_extract.nearest(paths)] == [1, 0, 1, 4, 3]
+    assert html_extract.nearest([""]) == [[]] and html_extract.nearest([]) == []
+    own = lambda *texts: [(t, False, False) for t in texts]
+    pages = [own("menu a", "x"), own("menu d", "y"), own("menu d", "z"), own("menu a", "w")]
+    assert html_extract.block_texts(pages, ["a/1", "d/1", "d/2", "a/2"]) == ["x", "y", "z", "w"]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(5)
     for _ in range(300):
@@ -314,6 +329,32 @@ def test_route_repeats_only_what_it_must():
     assert sum(max(0, sum(f.values()) - n) for f, n in zip((flow["a",], flow["a", "b"], flow["b",]), (10, 10, 4), strict=True)) == 2
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_flows_on_the_executors_cost_as_little(spark, seed):
+    rng = random.Random(seed)
+    n_sources = 4
+    patterns = {}
+    while len(patterns) < 9:
+        patterns[tuple(sorted(rng.sample(range(n_sources), rng.randint(1, 3))))] = rng.randint(1, 40)
+    quotas = [rng.randint(0, 90) for _ in range(n_sources)]
+    df = spark.createDataFrame([(str(p), n, list(p)) for p, n in patterns.items()], "__p string, __words long, __of array<int>")
+    got = {r["__p"]: r["__flow"] for r in mixing.route_at_scale(df, quotas).collect()}
+    want = mixing.route(patterns, dict(enumerate(quotas)))
+    repeated = lambda flow: sum(max(0, flow[p] - n) for p, n in patterns.items())
+    flows = {p: got[str(p)] for p in patterns}
+    assert all(0 <= flows[p] <= 2 * n for p, n in patterns.items())
+    assert sum(flows.values()) == sum(sum(f.values()) for f in want.values())
+    assert repeated(flows) == repeated({p: sum(f.values()) for p, f in want.items()})
+
+
+def test_many_patterns_mix_as_few_do(spark):
+    member = lambda i: [["a"], ["b"], [None], ["c"]][i * 7 % 4]
+    df = spark.createDataFrame([(i, " ".join(["w"] * (i % 9)), member(i)) for i in range(300)], "doc_id long, text string, m array<string>").repartition(3)
+    columns = ["doc_id", "__size", "__copies", "__source_size", "__target"]
+    few, many = (sorted(map(tuple, mixing.plan(df, F.col("m"), max_patterns=n).select(*columns).collect())) for n in (100, 2))
+    assert few == many
+
+
 def test_mix_of_overlapping_sources(spark):
     member = lambda i: [["a"], ["a", "b"], ["b", None], [], None][i % 5]
     rows = [(i, " ".join(["w"] * (i % 7 + 1)), member(i)) for i in range(200)]
