@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, arrow_map, delete, read, sweep, written
+from .common import BLANKS, LOWER, UPPER, arrow_map, delete, read, sweep, written
 
 WORDS = 5
 #: Sizes of a band lie within this factor.
@@ -53,50 +52,81 @@ _WORD_BITS = 20
 FILTER_WORDS = 1 << _WORD_BITS
 #: A member is far from its centre if it differs in more than so many times the most that a link may differ in.
 FAR = 3
-#: Words whose hashes a worker remembers.
-REMEMBERED = 200_000
 
 _MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """A random number for each byte, A-Z as a-z, and which bytes are blanks."""
+    of = np.frombuffer(b"".join(xxhash.xxh3_64_digest(bytes([b]), seed=10) for b in bytes(range(256)).lower()), np.uint64)
+    return of, np.isin(np.arange(256), list(BLANKS.encode()))
+
+
+_BYTE, _BLANK = _tables()
+_BASE = 0x9FB21C651E98DF25
+#: Powers of _BASE and of its inverse modulo 2**64, as many as the longest block has needed.
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-_words = _Hashes()
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, 1 << 18), base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers[0][:n], _powers[1][:n]
 
 
 def _forget() -> None:
-    _words.clear()
+    """Let go of tables that a very long text has made."""
+    if len(_powers[0]) > 1 << 20:
+        _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
+def _word_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of each text, one text after the other, and how many words each has.
+
+    A word's hash is the sum of its bytes' numbers times powers of a base by their places, a difference of running sums.
+    """
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)  # each text ends with a blank
+    blank = np.concatenate(([True], _BLANK[data]))
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    power, inverse = _power_tables(len(data) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * power[: len(data)])))
+        codes = _mixed((sums[ends] - sums[starts]) * inverse[starts])
+    begins = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
+    return codes, np.diff(np.searchsorted(starts, begins))
 
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of each text, sorted, one text after the other, and where each begins
     (one more entry: the end). A text of fewer words is one shingle, an empty one none."""
-    cut = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    n = np.array([len(c) for c in cut], np.int64)
-    codes = np.fromiter(map(_words.__getitem__, chain.from_iterable(cut)), np.uint64, int(n.sum()))
+    codes, n = _word_codes(texts)
     first = np.concatenate(([0], np.cumsum(n)))
     held = np.where(n >= words, n - words + 1, np.minimum(n, 1))
     begins = np.concatenate(([0], np.cumsum(held)))
-    at = np.arange(begins[-1]) + np.repeat(first[:-1] - begins[:-1], held)
     with np.errstate(over="ignore"):
-        padded = np.concatenate((codes, np.zeros(words, np.uint64)))
-        out = np.zeros(len(at), np.uint64)
-        for i in range(words):
-            out = out * _ODD[0] + _mixed(padded[at + i] + _ODD[i % len(_ODD)])
-        out = _mixed(out)
+        mixed = np.concatenate((_mixed(codes + _ODD[1]), np.zeros(words, np.uint64)))
+        rolled = np.zeros(len(codes) + 1, np.uint64)
+        for i in range(words):  # over the words of all texts, one after the other
+            rolled *= _ODD[0]
+            rolled += mixed[i : i + len(rolled)]
+        whole = np.ones(len(rolled), bool)  # where a shingle begins that stays within its text
+        ends = np.minimum(words - 1, n)
+        ends[(n > 0) & (n < words)] -= 1
+        whole[np.arange(ends.sum()) + np.repeat(first[1:] - np.cumsum(ends), ends)] = False
+        whole[-1] = False
+        out = _mixed(rolled[whole])
         for i in np.flatnonzero((n > 0) & (n < words)):
             out[begins[i]] = xxhash.xxh3_64_intdigest(codes[first[i] : first[i + 1]].tobytes(), seed=int(n[i]))
     for i in np.flatnonzero(held > 1):
