@@ -19,6 +19,36 @@ GAME_WORDS = ("game", "simulation", "exercise", "scenario", "strategy")
 NEW_TERMS = ("prompt engineering", "in-context learning", "few-shot learning", "chain of thought", "constitutional AI")
 GAME_VARIANTS = ("strategic exercise", "policy simulation", "crisis game")
 RECENT_MODELS = ("GPT-4", "Claude-3", "Gemini", "GPT-4o")
+COMBINATIONS = (
+    ("wargame", "GPT", "analysis"), ("war game", "language model", "simulation"), ("crisis simulation", "AI", "decision"), ("tabletop exercise", "artificial intelligence", "scenario"),
+    ("policy game", "ChatGPT", "strategy"), ("diplomatic simulation", "LLM", "negotiation"), ("red team", "large language model", "exercise"), ("defense simulation", "GPT-4", "planning"),
+)
+AUTHORS = ("Philip Tetlock", "Phillip Tetlock", "Reid Hoffman", "Dario Amodei", "Anthropic", "OpenAI", "DeepMind")
+CONCEPTS = ("wargame", "simulation", "AI safety", "language model")
+AI_TERMS = ("artificial intelligence", "machine learning", "NLP", "AI")
+THEORY_TERMS = ("game theory", "simulation", "multi-agent")
+# Terms that widen the configured ones.
+MORE_GAMES = (
+    "war game", "wargaming", "tabletop exercise", "TTX", "crisis simulation", "crisis game", "policy simulation", "strategic planning exercise", "scenario planning", "red team", "blue team", "red teaming",
+    "military exercise", "defense simulation", "combat simulation", "operational planning", "strategic assessment", "threat assessment", "vulnerability assessment",
+    "serious game", "serious gaming", "simulation game", "role-playing exercise", "role playing game", "RPG", "decision game", "strategy game",
+    "diplomatic simulation", "negotiation simulation", "Model UN", "Model United Nations", "MUN", "international relations simulation",
+    "Diplomacy game", "Risk analysis", "scenario analysis", "contingency planning", "strategic communication exercise",
+)
+MORE_MODELS = (
+    "transformer", "attention mechanism", "neural language model", "autoregressive model", "seq2seq", "encoder-decoder",
+    "GPT-3", "GPT-3.5", "GPT-4", "ChatGPT", "InstructGPT", "Claude-2", "Claude-3", "PaLM-2", "Gemini", "Bard", "LLaMA-2", "Llama-2", "Alpaca", "Vicuna", "WizardLM", "T5", "UL2", "PaLM", "LaMDA", "Chinchilla",
+    "foundation model", "pre-trained model", "fine-tuned model", "prompt engineering", "in-context learning", "few-shot learning", "zero-shot learning", "chain of thought", "reasoning",
+    "natural language generation", "NLG", "text generation", "conversational AI", "dialogue system", "chatbot",
+    "language understanding", "text comprehension", "natural language inference", "NLI", "question answering", "summarization", "text summarization",
+)
+MORE_ACTIONS = (
+    "AI player", "AI agent", "artificial player", "automated player", "AI participant", "virtual participant", "digital participant", "AI facilitator", "AI moderator", "AI adjudicator",
+    "AI analyst", "AI advisor", "AI assistant", "AI consultant", "decision support", "analytical support", "strategic analysis",
+    "scenario generation", "content generation", "text generation", "narrative generation", "story generation", "plot generation", "event generation", "outcome generation",
+    "human-AI interaction", "human-machine interaction", "collaborative AI", "AI collaboration", "AI partnership",
+    "performance evaluation", "strategy evaluation", "decision evaluation", "outcome assessment", "effectiveness assessment", "impact assessment",
+)
 PRODUCTION_CATEGORIES = ("cs.AI", "cs.CL", "cs.LG", "cs.GT", "cs.MA")
 PRODUCTION_FIELDS = ("Computer Science", "Political Science", "Economics")
 
@@ -31,6 +61,11 @@ def vocabulary(*lists: Iterable[str]) -> list[str]:
     return list(first.values())
 
 
+def expanded(games: Iterable[str] = (), models: Iterable[str] = (), actions: Iterable[str] = ()) -> tuple[list[str], list[str], list[str]]:
+    """The configured terms, widened, each once."""
+    return vocabulary(games, MORE_GAMES), vocabulary(models, MORE_MODELS), vocabulary(actions, MORE_ACTIONS)
+
+
 def group(terms: Iterable[str]) -> str:
     """Terms joined by OR; those of several words are quoted."""
     return " OR ".join(f'"{t}"' if re.search(r"[\s-]", t) else t for t in terms)
@@ -60,14 +95,15 @@ def core_query(games: Sequence[str], models: Sequence[str], actions: Sequence[st
     return f"({both}) OR (({group(games)}) AND ({group(actions)}))" if actions else both
 
 
-def source_queries(source: str, games: Sequence[str], models: Sequence[str], actions: Sequence[str] = (), places: Sequence[str] | None = None, combinations: Iterable[Sequence[str]] = (), authors: Sequence[str] = (), concepts: Sequence[str] = ()) -> list[str]:
+def source_queries(source: str, games: Sequence[str], models: Sequence[str], actions: Sequence[str] = (), places: Sequence[str] | None = None, combinations: Iterable[Sequence[str]] = COMBINATIONS, authors: Sequence[str] = AUTHORS, concepts: Sequence[str] = CONCEPTS) -> list[str]:
     """Variants for one source by category (arxiv), field (semantic_scholar), journal (crossref), combination and author (google_scholar)."""
     quoted = lambda terms: " OR ".join(f'"{t}"' for t in terms)
     if source == "arxiv":
         near = lambda c: (f"({group(games[:10])}) AND ({group(models[:15])}) AND cat:{c}", f"({group(models[:15])}) AND ({quoted(GAME_WORDS)}) AND cat:{c}")
         return [*chain.from_iterable(near(c) for c in places or CATEGORIES)]
     if source == "semantic_scholar":
-        return [f"({core_query(games, models, actions)}) AND fieldsOfStudy:{f}" for f in places or FIELDS]
+        narrow = lambda f: [f'"{a}" AND "{b}" AND fieldsOfStudy:{f}' for a, b in product(AI_TERMS, THEORY_TERMS)] if f == FIELDS[0] else []
+        return [*chain.from_iterable([f"({core_query(games, models, actions)}) AND fieldsOfStudy:{f}", *narrow(f)] for f in places or FIELDS)]
     if source == "crossref":
         return [f'"{t}" AND "{j}"' for j, t in product(places or JOURNALS, [*games[:8], *models[:12]])]
     if source == "google_scholar":

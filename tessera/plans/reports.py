@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import scores as S
 from tessera.functions import text as X
 from tessera.operators import caching, dedup, metrics, planning, rules, screening, search, statistics, tagging
-from tessera.sources import harvest
+from tessera.sources import harvest, records
 
 from .papers import LOG, PAPERS, SCREENED, log, papers, screened, table
 from .queries import CITE_KEY, DOI_KEY, LOW, QUERIES, RULES, SQL, register
@@ -364,9 +364,6 @@ def free_text_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return papers(spark, sf_dir).select("ord", S.scale_estimate_free(a, g, p).cast("int").alias("awscale"), F.round(S.confidence_by_fields([a, g, p]), 6).alias("confidence"))
 
 
-_PRICE = {"gpt-4o": (0.005, 0.015), "gpt-4": (0.03, 0.06)}
-
-
 @register(f"WITH {PAPERS}, m AS (SELECT ord, {choose_sql('ord', 'gpt-4o', 'gpt-4', 'unheard-of')} AS m, n_chars FROM papers) SELECT ord, round(n_chars / 1000 * CASE m WHEN 'gpt-4o' THEN 0.005 WHEN 'gpt-4' THEN 0.03 ELSE 0.0005 END + ord / 1000 * CASE m WHEN 'gpt-4o' THEN 0.015 WHEN 'gpt-4' THEN 0.06 ELSE 0.0015 END, 9)::DOUBLE AS cost, substr(md5(m), 1, 12) AS query_hash FROM m")
 def token_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = choose(F.col("ord"), "gpt-4o", "gpt-4", "unheard-of")
@@ -454,8 +451,6 @@ def citation_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"""WITH {PAPERS} SELECT ord, CASE ord % 4 WHEN 0 THEN 'inproceedings' WHEN 1 THEN 'article' WHEN 2 THEN 'techreport' ELSE 'misc' END AS kind, {CITE_KEY} AS key FROM papers""")
 def bibtex_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.sources import records
-
     rows = papers(spark, sf_dir).withColumn("venue", F.lit("v")).withColumn("venue_type", choose(F.col("ord"), "Conference paper", "journal", "tech report", None))
     head = F.regexp_extract("entry", r"^@(\w+)\{([^,]*),", 1), F.regexp_extract("entry", r"^@(\w+)\{([^,]*),", 2)
     return records.bibtex(rows, "ord").select("ord", head[0].alias("kind"), head[1].alias("key"))

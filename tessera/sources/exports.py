@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import os
 import zipfile
@@ -85,9 +87,6 @@ def package(df: DataFrame, out: str, config: Mapping | None = None, excluded: Da
 
 
 def _csv(archive: zipfile.ZipFile, name: str, df: DataFrame) -> None:
-    import csv
-    import io
-
     with archive.open(name, "w") as raw, io.TextIOWrapper(raw, encoding="utf-8", newline="") as f:
         rows = csv.writer(f)
         rows.writerow(df.columns)

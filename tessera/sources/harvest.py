@@ -5,6 +5,7 @@ Nothing here talks to a remote service; a caller that does passes a function tha
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -219,8 +220,6 @@ def session_harvest(spark: SparkSession, source: str, run: Source, queries: Sequ
 
 
 def _hash(query: str) -> str:
-    import hashlib
-
     return hashlib.md5(query.encode(), usedforsecurity=False).hexdigest()[:12]
 
 
@@ -354,24 +353,25 @@ def read_config(path: str, environment: Mapping[str, str] = os.environ) -> dict:
 
 
 def config_hash(config: Mapping, chars: int = 8) -> str:
-    import hashlib
-
     return hashlib.md5(json.dumps(config, sort_keys=True, default=str).encode(), usedforsecurity=False).hexdigest()[:chars]
 
 
 # ---- models
 
 
+# Anthropic's model where another provider's is named.
+ANTHROPIC_DEFAULT = "claude-3-sonnet-20240229"
+
+
 def model_string(provider: str, model: str) -> str:
     """A model's name with the prefix by which a router knows its provider."""
     prefix = {"google": "vertex_ai/", "together": "together_ai/"}.get(provider, "")
     if provider == "anthropic":
-        return model if "claude" in model else FALLBACK_SONNET
+        return model if "claude" in model else ANTHROPIC_DEFAULT
     return model if not prefix or prefix in model else prefix + model
 
 
 # What a provider falls back to.
-FALLBACK_SONNET = "claude-3-sonnet-20240229"
 FALLBACKS = {"openai": "gpt-3.5-turbo", "anthropic": "claude-3-haiku-20240307", "google": "gemini-pro", "together": "Qwen/Qwen2.5-72B-Instruct-Turbo"}
 
 

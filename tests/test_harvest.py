@@ -157,7 +157,9 @@ def test_planning(spark):
     assert planning.distinct_queries(["A  b", "a b", "c"]) == ["A  b", "c"] and planning.distinct_queries(["A", "a"], folded=False) == ["A", "a"]
     assert planning.best(["core", "a", "b", "c"], {"c": 2.0, "b": 2.0, "core": 9.0}, 3) == ["core", "b", "c"]
     assert len(planning.experimental_queries()) == 19
-    for source, n in (("arxiv", 12), ("semantic_scholar", 5), ("crossref", 14), ("google_scholar", 3), ("else", 0)):
+    assert [len(x) for x in planning.expanded(["WARGAMING", "x"], [], ["y"])] == [39, 47, 37]
+    assert len(planning.source_queries("google_scholar", [], [])) == 8 + 28
+    for source, n in (("arxiv", 12), ("semantic_scholar", 17), ("crossref", 14), ("google_scholar", 3), ("else", 0)):
         assert len(planning.source_queries(source, ["g"], ["m"], combinations=[("x", "y")], authors=["A"], concepts=["c", "d"])) == n
     assert planning.generated("arxiv", ["g"], ["m"], ["a"], most=3)[0] == "((g) AND (m)) OR ((g) AND (a))"
     assert planning.production_queries("arxiv", "q")[:2] == ["q", "(q) AND cat:cs.AI"] and planning.production_queries("crossref", "q") == ["q"]
