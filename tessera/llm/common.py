@@ -30,7 +30,7 @@ def sweep(spark: SparkSession, *done: DataFrame) -> None:
 
 
 #: Rows and bytes that a Python worker holds at a time, unless the session says otherwise: setting, Spark's default, value. Texts may be long.
-BATCHES = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8388608b"))
+BATCHES = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4194304b"))
 
 
 def bounded_batches(spark: SparkSession) -> None:

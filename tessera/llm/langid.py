@@ -17,7 +17,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,9 +270,11 @@ def identify(docs: DataFrame, models: Models, text_col: str = "text") -> DataFra
     bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(models)
 
-    @F.pandas_udf("lang string, score double, entropy double, rejected boolean")
-    def judge(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([decide(held.value, t) for t in texts], columns=["lang", "score", "entropy", "rejected"])
+    @F.arrow_udf("lang string, score double, entropy double, rejected boolean")
+    def judge(texts: pa.Array) -> pa.Array:
+        found = [decide(held.value, t.as_py()) for t in texts]
+        kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
+        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], kind) for i, kind in enumerate(kinds)], names=["lang", "score", "entropy", "rejected"])
 
     out = docs.withColumn("__li", judge(F.col(text_col)))
     return out.withColumns({"__li_lang": F.col("__li.lang"), "__li_score": F.col("__li.score"), "__li_entropy": F.col("__li.entropy"), "__li_rejected": F.col("__li.rejected")}).drop("__li")

@@ -31,7 +31,6 @@ import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,9 +84,8 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _forget() -> None:
-    """Let go of tables that a very long text has made."""
-    if len(_powers[0]) > 1 << 20:
-        _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    """Let go of the tables, which a very long text makes long; they are made anew in milliseconds."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _word_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -366,9 +364,9 @@ class Filter:
         return (self.words.value[s >> np.uint64(64 - _WORD_BITS)] >> (s & np.uint64(63))) & np.uint64(1) == 1
 
     def passes(self, column: Column) -> Column:
-        @F.pandas_udf("boolean")
-        def test(values: pd.Series) -> pd.Series:
-            return pd.Series(self.test(values.to_numpy()))
+        @F.arrow_udf("boolean")
+        def test(values: pa.Array) -> pa.Array:
+            return pa.array(self.test(values.to_numpy(zero_copy_only=False)))
 
         return test(column)
 
