@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, filter_audit, fingerprints, html_extract, langid, licenses, mixing, ngram_join, secrets, sharding
+from . import bpe, exact_dedup, filter_audit, fingerprints, html_extract, langid, lexical_search, licenses, mixing, ngram_join, secrets, sharding
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_shard": sharding.query,
     "op9_scan_licenses": licenses.query,
     "op10_ngram_join": ngram_join.query,
+    "op11_lexical_search": lexical_search.query,
     "op13_filter_audit": filter_audit.query,
 }
 
@@ -22,5 +23,6 @@ SQL = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op5_mix_sources": mixing.SQL,
     "op10_ngram_join": ngram_join.SQL,
+    "op11_lexical_search": lexical_search.SQL,
     "op13_filter_audit": filter_audit.SQL,
 }
