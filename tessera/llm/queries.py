@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, filter_audit, fingerprints, html_extract, langid, lexical_search, licenses, mixing, ngram_join, secrets, sharding
+from . import bpe, exact_dedup, filter_audit, fingerprints, html_extract, langid, lexical_search, licenses, mixing, ngram_join, secrets, sharding, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_scan_licenses": licenses.query,
     "op10_ngram_join": ngram_join.query,
     "op11_lexical_search": lexical_search.query,
+    "op12_toxicity": toxicity.query,
     "op13_filter_audit": filter_audit.query,
 }
 
