@@ -252,7 +252,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     sizes = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect() if r["label"] in (0, 1)}
     share = F.when(F.col("label") == 1, F.lit(TRAIN_ROWS / max(sizes.get(1, 1), 1))).otherwise(TRAIN_ROWS / max(sizes.get(0, 1), 1))
     chosen = marked.where("label IN (0, 1)").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
-    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("doc_id", "text", "label")
+    # About 2 TRAIN_ROWS ids and labels at most, so that documents don't move.
+    rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,7 +263,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
     signed = written(arrow_map(rows, sign, f"doc_id {kind}, text string, label int, sigs array<long>"), "toxicity-sample")
     first = signed.select("doc_id", "label", F.posexplode("sigs").alias("k", "sig")).groupBy("label", "k", "sig").agg(F.min("doc_id").alias("doc_id"))
     new = first.groupBy("doc_id", "label").count().where(f"count = {SIGNATURES}").select("doc_id")
-    return written(signed.drop("sigs").dropDuplicates(["doc_id"]).join(new, "doc_id", "left_semi"), "toxicity-training")
+    return written(signed.drop("sigs").dropDuplicates(["doc_id"]).join(F.broadcast(new), "doc_id", "left_semi"), "toxicity-training")
 
 
 def learned_terms(sample: DataFrame) -> tuple[dict[str, float], DataFrame]:
