@@ -62,48 +62,35 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """A random number for each byte, A-Z as a-z, and which bytes are blanks."""
-    of = np.frombuffer(b"".join(xxhash.xxh3_64_digest(bytes([b]), seed=10) for b in bytes(range(256)).lower()), np.uint64)
-    return of, np.isin(np.arange(256), list(BLANKS.encode()))
-
-
-_BYTE, _BLANK = _tables()
-_BASE = 0x9FB21C651E98DF25
-#: Powers of _BASE and of its inverse modulo 2**64, as many as the longest block has needed.
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(max(n, 1 << 18), base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps)
-    return _powers[0][:n], _powers[1][:n]
-
-
-def _forget() -> None:
-    """Let go of the tables, which a very long text makes long; they are made anew in milliseconds."""
-    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_BLANK = np.isin(np.arange(256), list(BLANKS.encode()))
+#: For blocks of eight bytes with so many of a word: which bits are the word's.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def _word_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word of each text, one text after the other, and how many words each has.
+    """A 64-bit hash of each word of each text, one text after the other, A-Z as a-z, and how many words each has.
 
-    A word's hash is the sum of its bytes' numbers times powers of a base by their places, a difference of running sums.
+    A word is cut into blocks of eight bytes. Each block is mixed with its place, which no sum of powers of a number can undo, and the
+    mixed blocks are added up and mixed with the length: words of one block never share a hash with others of their length.
     """
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)  # each text ends with a blank
+    raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
+    data = np.frombuffer(b" ".join([*raw, b" " * 8]), np.uint8)  # each text ends with a blank, and eight bytes can be read anywhere
     blank = np.concatenate(([True], _BLANK[data]))
     edges = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edges[::2], edges[1::2]
-    power, inverse = _power_tables(len(data) + 1)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * power[: len(data)])))
-        codes = _mixed((sums[ends] - sums[starts]) * inverse[starts])
     begins = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raw])))
-    return codes, np.diff(np.searchsorted(starts, begins))
+    n = np.diff(np.searchsorted(starts, begins))
+    if not len(starts):
+        return np.zeros(0, np.uint64), n
+    length = ends - starts
+    blocks = (length + 7) // 8
+    first = np.cumsum(blocks) - blocks
+    of = np.repeat(np.arange(len(starts)), blocks)
+    place = np.arange(len(of)) - first[of]
+    held = np.lib.stride_tricks.sliding_window_view(data, 8)[starts[of] + 8 * place].view(np.uint64).ravel() & _KEEP[np.minimum(length[of] - 8 * place, 8)]
+    with np.errstate(over="ignore"):
+        mixed = _mixed(held ^ _mixed((place + 1).astype(np.uint64) * _ODD[3]))
+        return _mixed(np.add.reduceat(mixed, first) + length.astype(np.uint64) * _ODD[4]), n
 
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -298,7 +285,7 @@ def _sets(docs: DataFrame, names: Names) -> DataFrame:
             yield frequent(id_type)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("row_key", "row_key2", "doc_id", "text"), run, f"kind int, row_key long, row_key2 long, doc_id {kind}, n_shingles long, set_id long, other long", _forget)
+    return arrow_map(docs.select("row_key", "row_key2", "doc_id", "text"), run, f"kind int, row_key long, row_key2 long, doc_id {kind}, n_shingles long, set_id long, other long")
 
 
 def _named(sets: DataFrame, bits: int) -> tuple[DataFrame, Names]:
@@ -346,7 +333,7 @@ def _enumerated(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], names:
             values = np.concatenate(signs) if signs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], names=["set_id", "sigs"])
 
-    return arrow_map(docs.select("text"), run, "set_id long, sigs array<long>", _forget)
+    return arrow_map(docs.select("text"), run, "set_id long, sigs array<long>")
 
 
 class Filter:
@@ -407,7 +394,7 @@ def _members(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets += [flat[begins[i] : begins[i + 1]].tobytes() for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["set_id", "shingles"])
 
-    out = arrow_map(found.select("wanted_id", "text"), run, "set_id long, shingles binary", _forget)
+    out = arrow_map(found.select("wanted_id", "text"), run, "set_id long, shingles binary")
     return written(out, "jaccard-sets")
 
 
