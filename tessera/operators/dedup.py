@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions import text as X
 from tessera.operators.ordering import numbered
-from tessera.storage import delete, written
+from tessera.operators.titles import greedily_dropped, indel_at_least, indel_ratio, matcher_above
+from tessera.storage import written
 
 
 def keep_first(df: DataFrame, key: Column, *order: Column, blanks: bool = True) -> DataFrame:
@@ -60,96 +59,21 @@ def by_light_title(df: DataFrame) -> DataFrame:
     return keep_first(df.where(has_doi), F.col("doi"), F.col("ord")).unionByName(titled)
 
 
-def indel_ratio(a: str, b: str) -> float:
-    """2 LCS / (len a + len b), by bit-parallel rows."""
-    if not a and not b:
-        return 1.0
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for c in b:
-        met = row & where.get(c, 0)
-        row = (row + met | row - met) & full
-    return 2 * (len(a) - row.bit_count()) / (len(a) + len(b))
-
-
 def by_similar_title(df: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """In groups of one title slug, a title goes if an earlier kept one is at least so similar. Rows without a slug stay.
-
-    Equal titles fold first, so that a group holds different titles with one beginning only.
-    """
+    """Among titles of one slug, a title goes if an earlier kept one is at least so similar. Rows without a slug stay; equal titles fold first."""
     titled = df.withColumn("__title", X.title_key(F.col("title"))).withColumn("__slug", X.title_slug(F.col("title")))
     with_slug = keep_first(titled.where("__slug <> ''"), F.col("__title"), F.col("ord"))
-
-    def greedy(group: pd.DataFrame) -> pd.DataFrame:
-        kept: list[str] = []
-        flags = []
-        group = group.sort_values("ord")
-        for title in group["__title"]:
-            flags.append(all(indel_ratio(k, title) < threshold for k in kept))
-            if flags[-1]:
-                kept.append(title)
-        return group.loc[flags, ["ord"]]
-
-    keyed = with_slug.select("ord", "__title", "__slug").withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__slug")))
-    kept = keyed.where("__n > 1").drop("__n").groupBy("__slug").applyInPandas(greedy, df.select("ord").schema)
-    kept = kept.unionByName(keyed.where("__n = 1").select("ord"))
-    return with_slug.drop("__title", "__slug").join(kept, "ord", "left_semi").select(*df.columns).unionByName(titled.where("__slug = ''").select(*df.columns))
-
-
-def title_links(df: DataFrame, threshold: float = 0.9, gram: int = 4) -> DataFrame:
-    """Pairs (a before b by order) of titles whose ratio exceeds the threshold, found without comparing all.
-
-    Two titles above it differ by fewer than (1 - threshold) (len a + len b) insertions and deletions. So many can
-    touch at most as many of the earlier title's disjoint pieces of gram characters; where it has more pieces, one of
-    them is in the other title, shifted or not.
-    df has its order as column place, from 1.
-    """
-    low = F.lower(F.coalesce("title", F.lit("")))
-    rows = df.select("ord", "place", low.alias("t"), F.length(low).alias("n")).where("t <> ''")
-    most = 1.0 - threshold
-    # Pieces n / gram must be more than the most edits, most (n + n (1 + most) / (1 - most)).
-    grams = min(gram, max(1, int(1 / (2 * most / (1 - most)) - 1e-9))) if most > 0 else gram
-    pieces = rows.select("*", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.col("n") / grams) - 1).cast("int")), lambda i: F.substr("t", i * grams + 1, F.lit(grams))))).alias("g"))
-    windows = rows.select("*", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - grams + 1)), lambda i: F.substr("t", i, F.lit(grams))))).alias("g"))
-    near = (F.abs(F.col("x.n") - F.col("y.n")) < most * (F.col("x.n") + F.col("y.n"))) & (F.col("x.ord") != F.col("y.ord"))
-    met = pieces.alias("x").join(windows.alias("y"), (F.col("x.g") == F.col("y.g")) & near)
-    first = F.col("x.place") < F.col("y.place")
-    pairs = met.select(*[F.when(first, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")).alias(f"{c}_a") for c in ("place", "t")], *[F.when(first, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")).alias(f"{c}_b") for c in ("place", "t")]).distinct()
-
-    @F.pandas_udf(T.DoubleType())
-    def matched(a: pd.Series, b: pd.Series) -> pd.Series:
-        ratio = lambda new, kept: SequenceMatcher(None, new, kept).ratio() if indel_ratio(new, kept) > threshold else 0.0
-        return pd.Series([ratio(y, x) for x, y in zip(a, b, strict=True)])
-
-    return pairs.where(matched("t_a", "t_b") > threshold).select(F.col("place_a").alias("a"), F.col("place_b").alias("b"))
+    gone = greedily_dropped(with_slug.select(F.col("ord").alias("place"), F.col("__title").alias("t"), "__slug"), threshold, indel_at_least(threshold), [F.col("__slug")])
+    kept = with_slug.join(gone.withColumnRenamed("place", "ord"), "ord", "left_anti")
+    return kept.select(*df.columns).unionByName(titled.where("__slug = ''").select(*df.columns))
 
 
 def by_similar_titles_anywhere(df: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """Greedy over all records, newest first: a title goes if it is similar to any kept one. Equal titles keep the first; empty titles go.
-
-    The greedy result is the first maximal independent set of the links. It is found in rounds: what has no undecided
-    earlier neighbour stays, and its later neighbours go. Each round's state is a written table, and the one before it goes.
-    """
-    spark = df.sparkSession
-    titled = keep_first(df, F.lower(F.trim("title")), F.col("year").desc(), F.col("ord"), blanks=False)
+    """Greedy over all records, newest first: a title goes if it is similar to any kept one. Equal titles keep the first; empty titles go."""
+    low = F.lower(F.trim("title"))
+    titled = keep_first(df, low, F.col("year").desc(), F.col("ord"), blanks=False)
     placed = written(numbered(titled, [F.col("year").desc(), F.col("ord")], "place"), "titles-placed")
-    links = written(title_links(placed, threshold), "titles-links")
-    gone = spark.createDataFrame([], "place long")
-    while True:
-        waiting = links.select(F.col("b").alias("place")).distinct()
-        stay = written(links.select(F.col("a").alias("place")).distinct().join(waiting, "place", "left_anti"), "titles-stay")
-        drop = written(links.join(stay.withColumnRenamed("place", "a"), "a", "left_semi").select(F.col("b").alias("place")).distinct(), "titles-drop")
-        if drop.isEmpty():
-            break
-        gone = gone.unionByName(drop)
-        rest = links
-        for side in ("a", "b"):
-            rest = rest.join(drop.withColumnRenamed("place", side), side, "left_anti").select("a", "b")
-        before, links = links, written(rest.join(stay.withColumnRenamed("place", "a"), "a", "left_anti").select("a", "b"), "titles-links")
-        delete(before, stay)
+    gone = greedily_dropped(placed.select("place", low.alias("t")), threshold, matcher_above(threshold))
     return placed.join(gone, "place", "left_anti").select(*df.columns)
 
 

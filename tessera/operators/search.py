@@ -7,9 +7,10 @@ alternatives) and plain words; AND, OR, NOT and parentheses combine them. NEAR s
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,28 +124,63 @@ def wildcard_pattern(text: str) -> str:
     return "".join(r"[\p{L}\p{N}_-]*" if c == "*" else r"[\p{L}\p{N}_-]" if c == "?" else re.escape(c) for c in text.lower())
 
 
+#: White space as words are divided by it, and its opposite.
+_GAP, _INK = r"[\p{IsWhite_Space}\x1C-\x1F]", r"[^\p{IsWhite_Space}\x1C-\x1F]"
+
+
+def near_pattern(first: str, options: tuple[str, ...], distance: int) -> str:
+    """A pattern that finds first and an option, in either order, if the text from the start of one to the start of the other has at most distance words.
+
+    What a slice cuts off a word counts as a word. Each end of the slice has one division into words and gaps, so nothing is tried twice.
+    """
+    a, b = re.escape(first.lower()), "(?:" + "|".join(re.escape(o.lower()) for o in options) + ")"
+    slice_ = f"{_GAP}*(?:{_INK}+(?:{_GAP}+{_INK}+){{0,{distance - 1}}}{_GAP}*)?" if distance else f"{_GAP}*"
+    return f"(?={a}){slice_}(?={b})|(?={b}){slice_}(?={a})"
+
+
+def term_condition(term: Term, low: Column) -> Column:
+    """Whether a text in lower case, not null, holds the term."""
+    if term.kind == "near":
+        return F.contains(low, F.lit(term.text.lower())) & low.rlike(near_pattern(term.text, term.options, term.distance))
+    if term.kind == "wildcard":
+        return low.rlike(wildcard_pattern(term.text))
+    return F.contains(low, F.lit(term.text.lower()))
+
+
+def combined(tree: Term | Node, of: Callable[[Term], Column]) -> Column:
+    """The tree's condition from those of its terms."""
+    if isinstance(tree, Term):
+        return of(tree)
+    parts = [combined(p, of) for p in tree.parts]
+    if tree.op == "not":
+        return ~parts[0]
+    return reduce(lambda x, y: x & y if tree.op == "and" else x | y, parts)
+
+
+def terms_of(tree: Term | Node) -> list[Term]:
+    return [tree] if isinstance(tree, Term) else [t for p in tree.parts for t in terms_of(p)]
+
+
 def condition(tree: Term | Node, text: Column) -> Column:
     """Whether a text matches; text is compared in lower case."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    if isinstance(tree, Node):
-        parts = [condition(p, text) for p in tree.parts]
-        if tree.op == "not":
-            return ~parts[0]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out & p if tree.op == "and" else out | p
-        return out
-    if tree.kind == "near":
-        hit = F.contains(low, F.lit(tree.text.lower()))
-
-        @F.pandas_udf("boolean")
-        def close(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: near(t, tree.text, tree.options, tree.distance)).astype(bool)
-
-        return F.when(hit, close(low)).otherwise(False)
-    if tree.kind == "wildcard":
-        return low.rlike(wildcard_pattern(tree.text))
-    return F.contains(low, F.lit(tree.text.lower()))
+    return combined(tree, lambda t: term_condition(t, low))
+
+
+def hits(df: DataFrame, queries: Sequence[str], *columns: str) -> DataFrame:
+    """place (from 0), query, hits: how many rows match each query. One scan serves all of them, and a term that several share is looked for once.
+
+    Rows leave the scan as the places of the queries they match, counted before they move. Queries without hits have 0.
+    """
+    spark = df.sparkSession
+    trees = [parse(q) for q in queries]
+    terms = {t: i for i, t in enumerate(dict.fromkeys(t for tree in trees for t in terms_of(tree)))}
+    low = df.select(F.lower(F.concat_ws(" ", *columns)).alias("low"))
+    found = low.select(F.array(*[term_condition(t, F.col("low")) for t in terms]).alias("found"))
+    met = F.array_compact(F.array(*[F.when(combined(tree, lambda t: F.col("found")[terms[t]]), F.lit(i)) for i, tree in enumerate(trees)]))
+    counts = found.select(F.explode(met).alias("place")).groupBy("place").agg(F.count(F.lit(1)).alias("hits"))
+    asked = spark.createDataFrame(list(enumerate(queries)), "place int, query string")
+    return asked.join(counts, "place", "left").select("place", "query", F.coalesce("hits", F.lit(0)).alias("hits"))
 
 
 def search(df: DataFrame, query: str, *columns: str) -> DataFrame:

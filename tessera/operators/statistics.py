@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ordering import numbered
+
 from tessera.functions import scores as S
 from tessera.storage import written
 
@@ -153,17 +155,31 @@ def job_status(batches: DataFrame, jobs: DataFrame, batch_size: int) -> DataFram
     return jobs.join(per, "job_id", "left").select("job_id", zero("completed"), zero("failed"), "mean_time", "total_time", F.round(100.0 * F.coalesce("completed", F.lit(0)) / planned, 6).alias("percentage"))
 
 
-def trailing_mean(batches: DataFrame, rows: int = 10) -> DataFrame:
-    """Per batch the mean time of the job's last batches, itself included. Jobs are dealt out; a job's batches are one task's."""
-    last = Window.partitionBy("job_id").orderBy("batch_id").rowsBetween(1 - rows, 0)
-    return batches.withColumn("recent_mean", F.round(F.avg("processing_time").over(last), 6))
+#: Rows of one task when windows of few rows run over a long history.
+STRETCH = 100_000
+
+
+def trailing_mean(batches: DataFrame, rows: int = 10, stretch: int = STRETCH) -> DataFrame:
+    """Per batch the mean time of the job's last batches, itself included.
+
+    All batches are numbered by job and batch and cut into stretches; each stretch also gets the rows before it that its windows
+    reach back to. So one job's long history is many tasks' work.
+    """
+    placed = numbered(batches, [F.col("job_id"), F.col("batch_id")], "__place")
+    own = F.floor(F.col("__place") / stretch)
+    reach = F.floor((F.col("__place") + rows - 1) / stretch)
+    dealt = placed.withColumn("__own", own).withColumn("__stretch", F.explode(F.sequence(own, reach)))
+    last = Window.partitionBy("__stretch", "job_id").orderBy("__place").rowsBetween(1 - rows, 0)
+    means = dealt.withColumn("recent_mean", F.round(F.avg("processing_time").over(last), 6))
+    return means.where("__own = __stretch").drop("__place", "__own", "__stretch")
 
 
 def time_left(batches: DataFrame, planned: int, rows: int = 10) -> DataFrame:
-    """Per job: mean of the last batches times the batches still to come."""
-    latest = batches.withColumn("__r", F.row_number().over(Window.partitionBy("job_id").orderBy(F.desc("batch_id"))))
-    per = latest.groupBy("job_id").agg(F.avg(F.when(F.col("__r") <= rows, F.col("processing_time"))).alias("mean"), F.count(F.lit(1)).alias("done"))
-    return per.select("job_id", F.round(F.col("mean") * F.greatest(F.lit(0), F.lit(planned) - F.col("done")), 6).alias("seconds_left"))
+    """Per job: mean of the last batches times the batches still to come. The rank is limited on the map side, and counts are added up there."""
+    latest = batches.withColumn("__r", F.row_number().over(Window.partitionBy("job_id").orderBy(F.desc("batch_id")))).where(F.col("__r") <= rows)
+    mean = latest.groupBy("job_id").agg(F.avg("processing_time").alias("mean"))
+    done = batches.groupBy("job_id").agg(F.count(F.lit(1)).alias("done"))
+    return done.join(mean, "job_id").select("job_id", F.round(F.col("mean") * F.greatest(F.lit(0), F.lit(planned) - F.col("done")), 6).alias("seconds_left"))
 
 
 def query_statistics(runs: DataFrame) -> DataFrame:

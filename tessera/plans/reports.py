@@ -5,7 +5,7 @@ Like papers.py, this takes the tables as records of a review; fields that they l
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import scores as S
@@ -328,12 +328,23 @@ def capped_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.counts(out, "source_db")
 
 
-_QUERIES = planning.generated("arxiv", ("wargame", "crisis game"), ("llm", "GPT-4"), ("AI player",), most=12)
+_GAMES, _MODELS, _PLACES = ("this", "from"), ("that", "with", "license"), ("the", "of", "clown", "password", "und", "les")
+#: The same queries as lists of alternatives of which one each must be there.
+_PLANNED = [(f'"{t}" AND "{j}"', [[t], [j]]) for j in _PLACES for t in (*_GAMES, *_MODELS)]
+_CORE = f"({' OR '.join(_GAMES)}) AND ({' OR '.join(_MODELS)})"
 
 
-@register("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{q}')" for i, q in enumerate(_QUERIES)) + ") v(place, query)")
+@register(
+    f"WITH {PAPERS}, t AS (SELECT {LOW} AS t FROM papers), q AS (SELECT * FROM (VALUES "
+    + ", ".join(f"('{q}', {groups})" for q, groups in [(_CORE, [[*_GAMES], [*_MODELS]]), *_PLANNED])
+    + ") v(query, groups)), h AS (SELECT query, count(t) AS hits FROM q LEFT JOIN t ON len(list_filter(groups, lambda g: len(list_filter(g, lambda x: contains(t, x))) = 0)) = 0 GROUP BY query) "
+    "SELECT query, hits, row_number() OVER (ORDER BY hits DESC, query)::INT AS rank FROM h"
+)
 def planned_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(planning.generated("arxiv", ("wargame", "crisis game"), ("llm", "GPT-4"), ("AI player",), most=12))), "place int, query string")
+    """The planned queries of one source by their hits in documents. The rank orders a row per query."""
+    planned = planning.generated("crossref", _GAMES, _MODELS, most=100, experimental=False, places=_PLACES)
+    counted = search.hits(papers(spark, sf_dir), planned, "title", "abstract")
+    return counted.select("query", "hits", F.row_number().over(Window.orderBy(F.desc("hits"), "query")).alias("rank"))
 
 
 _GROUPS = "(contains(t, 'this') OR contains(t, 'from')) AND (contains(t, 'that') OR contains(t, 'with')) AND NOT contains(t, 'clown')"

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import scores
-from tessera.operators import dedup, metrics, ordering, rules, screening, search, tagging
+from tessera.operators import dedup, metrics, ordering, rules, screening, search, statistics, tagging, titles
 
 PAPERS = "ord long, title string, abstract string, authors string, year int, doi string, arxiv_id string, url string, citations long"
 
@@ -135,6 +137,55 @@ def test_search_language(spark):
             search.parse(bad)
 
 
+def test_reaches_is_the_ratio_with_its_bound():
+    rng = random.Random(3)
+    for _ in range(300):
+        a = "".join(rng.choice("abc") for _ in range(rng.randint(0, 30)))
+        b = "".join(c for c in a if rng.random() < 0.95) + rng.choice(["", "a", "bc"])
+        for t in (0.8, 0.9, 1.0):
+            assert titles.reaches(a, b, t, False) == (titles.indel_ratio(a, b) >= t)
+            assert titles.reaches(a, b, t, True) == (titles.indel_ratio(a, b) > t)
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.9, 0.95])
+def test_candidate_pairs_lose_no_link(spark, threshold):
+    """Short, long and shifted titles, characters beyond the basic plane, one very common beginning."""
+    rng = random.Random(int(threshold * 100))
+    made = ["a", "ab", "ba", "abc", "𝒜𝒷𝒸 title", "𝒜𝒷𝒸 titles"]
+    while len(made) < 90:
+        t = list(rng.choice(made)) if rng.random() < 0.6 else list("the study of " + "".join(rng.choice("abcdef ") for _ in range(rng.randint(1, 120))))
+        for _ in range(rng.randint(0, 4)):
+            t.insert(rng.randrange(len(t) + 1), rng.choice("xyz")) if rng.random() < 0.5 else t.pop(rng.randrange(len(t)))
+            t = t or ["q"]
+        made.append("".join(t))
+    made = list(dict.fromkeys(made))
+    rows = titles.spelled(spark.createDataFrame(list(enumerate(made)), "place long, t string"))
+    similar = titles.indel_at_least(threshold)
+    pairs = titles.candidate_pairs(rows, 1 - threshold)
+    got = {(r["a"], r["b"]) for r in titles._verified(pairs, rows, similar, 1 - threshold).collect()}
+    assert got == {(i, j) for i in range(len(made)) for j in range(i + 1, len(made)) if titles.indel_ratio(made[i], made[j]) >= threshold}
+    assert got and pairs.count() < len(made) * (len(made) - 1) / 2
+
+
+def test_groups_of_near_titles_hang_on_their_first(spark):
+    """A large group of near copies: its pairs aren't listed, and the greedy result is the same."""
+    base = "a rather long title about the very common subject of reviews in medicine"
+    made = [base] + [base[:k] + "x" + base[k + 1 :] for k in range(0, 60)] + [base.replace("review", "survey"), "something else entirely"]
+    rows = spark.createDataFrame(list(enumerate(made)), "place long, t string")
+    gone = {r["place"] for r in titles.greedily_dropped(rows, 0.9, titles.indel_at_least(0.9)).collect()}
+    kept, want = [], set()
+    for i, t in enumerate(made):
+        if any(titles.indel_ratio(made[k], t) >= 0.9 for k in kept):
+            want.add(i)
+        else:
+            kept.append(i)
+    assert gone == want
+
+
+def test_no_titles(spark):
+    assert titles.greedily_dropped(spark.createDataFrame([], "place long, t string"), 0.9, titles.indel_at_least(0.9)).count() == 0
+
+
 def test_similar_titles_anywhere_equal_the_greedy_scan(spark):
     import random
     from difflib import SequenceMatcher
@@ -153,7 +204,7 @@ def test_similar_titles_anywhere_equal_the_greedy_scan(spark):
     kept: list[str] = []
     want = []
     for r in sorted(rows, key=lambda r: (-r[4], r[0])):
-        t = r[1].lower()
+        t = r[1].lower().strip()  # as the reference compares titles
         if t and not any(t == k or SequenceMatcher(None, t, k).ratio() > 0.9 for k in kept):
             kept.append(t)
             want.append(r[0])
@@ -176,3 +227,34 @@ def test_extraction(spark):
     assert extraction.extract(df, F.col("t"), lambda t: None).where("ord = 1").first()["extraction_status"] == "llm_extraction_failed"
     where = spark.createDataFrame([("", "2301.1", "10.1/a", "u.pdf"), ("", "", "", "http://x/y.PDF"), ("", "", "", "z")], "pdf_url string, arxiv_id string, doi string, url string").select(extraction.pdf_location().alias("p")).collect()
     assert [r["p"] and r["p"]["kind"] for r in where] == ["arxiv", "direct", None]
+
+
+def test_near_is_the_slice_rule(spark):
+    """Against offsets of all occurrences; words cut by a slice, gaps of several kinds, terms that overlap, either order."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(["red ", "model", "mod", " ", "\n", "\x1d", "\u00a0", "x", "red model", "É", "."]) for _ in range(rng.randint(0, 30))) for _ in range(400)] + ["", "redmodel", "model red", "red", "x " * 3000 + "red model"]
+    df = spark.createDataFrame(list(enumerate(texts)), "ord long, title string")
+    for first, options, distance in (("red", ("model", "mod"), 0), ("red", ("model",), 1), ("red", ("model", "x"), 2), ("red m", ("model",), 3), ("model", ("É",), 5)):
+        term = search.Term("near", first, options, distance)
+        got = ords(df.where(search.condition(term, F.col("title"))))
+        assert got == [i for i, t in enumerate(texts) if search.near(t, first, options, distance)]
+        assert 0 < len(got) < len(texts)
+
+
+def test_hits_count_what_each_query_finds(spark):
+    df = papers(spark, *[(i, t, a, "", 2020, "", "", "", 0) for i, (t, a) in enumerate([("red model", "b"), ("Red", None), (None, "big model"), ("", ""), (None, None)])])
+    queries = ["red", "model", "red AND model", "red OR model", "NOT red", 'red NEAR/2 "model"', "mod*", "nothing"]
+    got = {r["query"]: r["hits"] for r in search.hits(df, queries, "title", "abstract").collect()}
+    assert got == {q: search.search(df, q, "title", "abstract").count() for q in queries}
+    assert sum(r["hits"] for r in search.hits(df.limit(0), queries, "title", "abstract").collect()) == 0
+
+
+def test_trailing_means_cross_stretches(spark):
+    rows = [("a", i, float(i * i % 17)) for i in range(57)] + [("b", i, float(i)) for i in range(3)] + [("c", 5, 1.0)]
+    df = spark.createDataFrame(rows, "job_id string, batch_id long, processing_time double")
+    for stretch in (1, 7, 1000):
+        got = {(r["job_id"], r["batch_id"]): r["recent_mean"] for r in statistics.trailing_mean(df, 10, stretch).collect()}
+        for job, i, _ in rows:
+            last = [x for j, k, x in rows if j == job and i - 10 < k <= i]
+            assert got[job, i] == round(sum(last) / len(last), 6)
+        assert len(got) == len(rows)
