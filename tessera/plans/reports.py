@@ -5,13 +5,16 @@ Like papers.py, this takes the tables as records of a review; fields that they l
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import scores as S
 from tessera.functions import text as X
 from tessera.operators import caching, dedup, metrics, planning, rules, screening, search, statistics, tagging
-from tessera.sources import harvest, records
+from tessera.sources import harvest, pages, records, store
+from tessera.storage import new_path
+from tessera.streaming.progress import Job
 
 from .papers import LOG, PAPERS, SCREENED, log, papers, screened, table
 from .queries import CITE_KEY, DOI_KEY, LOW, QUERIES, RULES, SQL, register
@@ -347,6 +350,62 @@ def planned_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("query", "hits", F.row_number().over(Window.orderBy(F.desc("hits"), "query")).alias("rank"))
 
 
+@register(
+    f"WITH {PAPERS}, p AS (SELECT *, (row_number() OVER (ORDER BY source_db, year, ord) - 1) // 100 AS page FROM papers) "
+    "SELECT source_db AS source, year, count(*) AS records, count(DISTINCT page) AS pages, sum(length(title))::BIGINT AS title_chars FROM p WHERE year >= 2021 AND year < 2023 GROUP BY source_db, year"
+)
+def paged_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All papers saved as pages of a hundred, and of these the pages of two years read back by the paged source."""
+    path = new_path(spark, "pages")
+    payload = F.to_json(F.struct("ord", "title", "doi"))
+    pages.save(papers(spark, sf_dir).select(F.col("source_db").alias("source"), "year", "ord", payload.alias("payload")), path, [F.col("ord")])
+    found = pages.load(spark, path).where((F.col("year") >= 2021) & (F.col("year") < 2023))
+    return found.groupBy("source", "year").agg(F.count(F.lit(1)).alias("records"), F.countDistinct("page").alias("pages"), F.sum(F.coalesce(F.length(F.get_json_object("payload", "$.title")), F.lit(0))).alias("title_chars"))
+
+
+@register(f"WITH {PAPERS}, r AS (SELECT *, row_number() OVER (PARTITION BY source_db, year ORDER BY citations DESC, ord) AS r FROM papers) SELECT source_db, year, ord, citations FROM r WHERE r = 1")
+def stored_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most cited paper of each source and year, from a versioned store into which two halves were put."""
+    table = store.Store(spark, new_path(spark, "store"), "source_db string, year int, ord long, citations long", ["source_db", "year"], [F.col("citations").desc(), F.col("ord")])
+    for half in (0, 1):
+        table.upsert(papers(spark, sf_dir).where(F.col("ord") % 2 == half))
+    return table.read()
+
+
+@register(f"WITH {PAPERS}, d AS (SELECT ord % 500 AS k, ord FROM papers), old AS (SELECT DISTINCT k FROM d WHERE k % 3 <> 0), want AS (SELECT DISTINCT k FROM d WHERE ord % 2 = 0) "
+          "SELECT CASE WHEN k % 3 = 0 THEN 'new' WHEN k % 7 = 0 THEN 'fetched again' ELSE 'hit' END AS kind, count(*) AS entries, sum(CASE WHEN k % 3 <> 0 AND k % 7 <> 0 THEN 1 ELSE 0 END)::BIGINT AS accesses FROM want GROUP BY 1")
+def cache_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers wanted from a stored cache, some of whose files are missing: hits are counted, the others fetched and stored."""
+    k = (F.col("ord") % 500).cast("string")
+    day = lambda n: F.lit(f"2024-01-{n:02d}").cast("timestamp")
+    entry = lambda keys, at: keys.select("paper_id", F.lit("pdf").alias("content_type"), F.concat(F.lit("/c/"), "paper_id").alias("file_path"), F.sha2("paper_id", 256).alias("file_hash"), F.lit(1).cast("long").alias("file_size"), at.alias("created_at"))
+    known = papers(spark, sf_dir).select(k.alias("paper_id")).distinct()
+    cache = store.entries(spark, new_path(spark, "cache"))
+    old = entry(known.where(F.col("paper_id").cast("int") % 3 != 0), day(1))
+    cache.upsert(old.withColumn("access_count", F.lit(0).cast("long")))
+    files = old.where(F.col("paper_id").cast("int") % 7 != 0).select(F.col("file_path").alias("path"), F.col("file_hash").alias("sha256"))
+    wanted = papers(spark, sf_dir).where(F.col("ord") % 2 == 0).select(k.alias("paper_id"), F.lit("pdf").alias("content_type"))
+    got, _ = store.get_or_fetch(cache, wanted, files, lambda keys: entry(keys, day(2)), day(3))
+    number = F.col("paper_id").cast("int")
+    kind = F.when(F.col("created_at") == day(1), "hit").when(number % 3 == 0, "new").otherwise("fetched again")
+    return got.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("entries"), F.sum("access_count").alias("accesses"))
+
+
+@register(f"WITH {PAPERS} SELECT 'titles' AS job_id, 4::BIGINT AS batches, count(*) FILTER (ord % 97 <> 13) AS n_rows, count(*) FILTER (ord % 97 = 13) AS n_errors, (sum(length(title)) FILTER (ord % 97 <> 13))::BIGINT AS title_chars FROM papers")
+def job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job over all papers in four batches, some of whose rows fail: what its progress table and its output say."""
+
+    def process(df: pd.DataFrame) -> pd.DataFrame:
+        if (df["ord"] % 97 == 13).any():
+            raise ValueError("unlucky")
+        return pd.DataFrame({"ord": df["ord"], "chars": df["title"].str.len()})
+
+    job = Job(spark, new_path(spark, "jobs"), "titles")
+    job.run(papers(spark, sf_dir).select("ord", F.coalesce("title", F.lit("")).alias("title")), "ord", process, "ord long, chars long", 4)
+    done = job.progress().groupBy("job_id").agg(F.count(F.lit(1)).alias("batches"), F.sum("n_rows").alias("n_rows"), F.sum("n_errors").alias("n_errors"))
+    return done.crossJoin(job.output("ord long, chars long").agg(F.sum("chars").alias("title_chars")))  # one row each
+
+
 _GROUPS = "(contains(t, 'this') OR contains(t, 'from')) AND (contains(t, 'that') OR contains(t, 'with')) AND NOT contains(t, 'clown')"
 
 
