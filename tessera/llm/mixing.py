@@ -31,7 +31,7 @@ from .common import delete, read, word_count, written
 CYCLE = (3, 1, 2)
 SHARE = 1.5
 MAX_COPIES = 2
-#: Up to so many patterns the flow is solved on the driver, beyond it on the executors; both are exact.
+#: Up to so many patterns the flow is solved on the driver, beyond it on the executors; both find the same flow.
 MAX_PATTERNS = 65_536
 #: Ranges of the hash in which a pattern's words are first summed.
 RANGES = 4096
@@ -111,7 +111,7 @@ class Network:
 
 
 def route(patterns: dict[tuple, int], quotas: dict[str | None, float], copies: int = MAX_COPIES) -> dict[tuple, dict[str | None, int]]:
-    """Words that each membership pattern gives to each of its sources, at the least total repetition."""
+    """Words that each membership pattern gives to each of its sources, at the least total repetition: what the ways in order are held against."""
     net = Network()
     start, end = net.node(), net.node()
     source = {s: net.node() for s in quotas}
@@ -127,6 +127,44 @@ def route(patterns: dict[tuple, int], quotas: dict[str | None, float], copies: i
     return {p: {s: room - e.room for s, (e, room) in w.items()} for p, w in ways.items()}
 
 
+def route_in_order(patterns: list[tuple[str, int, list[int]]], quotas: list[int], copies: int = MAX_COPIES) -> dict[str, int]:
+    """The flow of route_at_scale, augmentation by augmentation, for patterns (__p, words, numbers of sources) that the driver can hold.
+
+    Both take the same paths, by the same amounts, from patterns in the byte order of __p, so where the flow is solved doesn't show in the mix.
+    """
+    state = [(p, words, of, [0] * len(of)) for p, words, of in sorted(patterns, key=lambda x: x[0].encode())]
+    open_quota = list(quotas)
+
+    def moved(amount: int, room: Callable[[tuple, int], int], changes: list[tuple[int, int]]) -> None:
+        for row in state:
+            take = min(amount, room(row, row[1]))
+            if take > 0:
+                for source, sign in changes:
+                    row[3][row[2].index(source)] += sign * take
+                amount -= take
+
+    for level in range(1, copies + 1):
+        while any(q > 0 for q in open_quota):
+            entry: dict[int, int] = {}
+            edges: dict[tuple[int, int], int] = {}
+            for _, words, of, flows in state:
+                spare = level * words - sum(flows)
+                for a, held in zip(of, flows, strict=True):
+                    entry[a] = entry.get(a, 0) + spare
+                    for b in of if held else ():
+                        if a != b:
+                            edges[a, b] = edges.get((a, b), 0) + held
+            path = _shortest(sorted(a for a, n in entry.items() if n > 0), edges, {s for s, q in enumerate(open_quota) if q > 0})
+            if not path:
+                break
+            amount = min(entry[path[0]], open_quota[path[-1]], *(edges[e] for e in pairwise(path)))
+            moved(amount, lambda row, words: level * words - sum(row[3]) if path[0] in row[2] else 0, [(path[0], 1)])  # noqa: B023
+            for a, b in pairwise(path):
+                moved(amount, lambda row, _, a=a, b=b: row[3][row[2].index(a)] if a in row[2] and b in row[2] else 0, [(b, 1), (a, -1)])
+            open_quota[path[-1]] -= amount
+    return {p: sum(flows) for p, _, _, flows in state}
+
+
 def route_at_scale(patterns: DataFrame, quotas: list[int], copies: int = MAX_COPIES) -> DataFrame:
     """patterns with __flow, the words that each gives, at the least total repetition; patterns stay on the executors.
 
@@ -255,15 +293,16 @@ def plan(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str
     patterns = written(sized.groupBy("__p").agg(F.first("__members").alias("m"), F.sum("__size").alias("__words")), "mix-patterns")
     few = patterns.count() <= max_patterns
     per_source = patterns.select(F.explode("m").alias("s"), "__words").groupBy("s").agg(F.sum("__words").alias("n")).collect()  # a row per source
-    size: dict[str | None, int] = {r["s"]: int(r["n"]) for r in per_source}
+    size: dict[str | None, int] = {r["s"]: int(r["n"]) for r in sorted(per_source, key=lambda r: (r["s"] is None, r["s"] or ""))}
     whole = int(patterns.agg(F.sum("__words")).first()[0] or 0)
     goal = targets(size, cycle, share * (whole / max(1, sum(size.values()))), most)
     known = [(s, i, size[s], goal[s]) for i, s in enumerate(size)]
     named = F.broadcast(spark.createDataFrame(known, T.StructType([T.StructField("__s", T.StringType()), T.StructField("__i", T.IntegerType()), T.StructField("__source_size", T.LongType()), T.StructField("__target", T.DoubleType())])))
     if few:
-        found = {r["__p"]: (tuple(r["m"]), int(r["__words"])) for r in patterns.collect()}
-        flow = route(dict(found.values()), goal, most)
-        routed = spark.createDataFrame([(p, n, sum(flow[m].values())) for p, (m, n) in found.items()], "__p string, __words long, __flow long")
+        number = {s: i for i, s in enumerate(size)}
+        found = [(r["__p"], int(r["__words"]), sorted(number[s] for s in r["m"])) for r in patterns.collect()]
+        flow = route_in_order(found, [round(goal[s]) for s in size], most)
+        routed = spark.createDataFrame([(p, n, flow[p]) for p, n, _ in found], "__p string, __words long, __flow long")
     else:
         members = patterns.select("__p", "__words", F.explode("m").alias("__m"))
         numbered = members.join(named, F.col("__m").eqNullSafe(F.col("__s"))).groupBy("__p", "__words").agg(F.array_sort(F.collect_list("__i")).alias("__of"))

@@ -355,6 +355,18 @@ def test_many_patterns_mix_as_few_do(spark):
     assert few == many
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_many_overlapping_patterns_mix_as_few_do(spark, seed):
+    """Row by row: where the flow is solved must not show in what is taken."""
+    rng = random.Random(seed)
+    some = [[s for s in ("a", "b", "c", None) if rng.random() < 0.5] for _ in range(8)] + [["b", "a"], []]
+    rows = [(i, " ".join(["w"] * rng.randint(0, 30)), rng.choice(some)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m array<string>").repartition(3)
+    columns = ["doc_id", "__size", "__copies", "__source_size", "__target"]
+    few, many = (sorted(map(tuple, mixing.plan(df, F.col("m"), max_patterns=n).select(*columns).collect())) for n in (100, 2))
+    assert few == many
+
+
 def test_mix_of_overlapping_sources(spark):
     member = lambda i: [["a"], ["a", "b"], ["b", None], [], None][i % 5]
     rows = [(i, " ".join(["w"] * (i % 7 + 1)), member(i)) for i in range(200)]
