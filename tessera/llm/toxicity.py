@@ -169,7 +169,7 @@ class Model:
     known: frozenset[str] = frozenset()
     spelled: frozenset[str] = frozenset()
     bias: float = -3.0
-    slopes: list[float] = field(default_factory=lambda: [1.5, 0.8, 0.5])
+    slopes: list[float] = field(default_factory=lambda: [1.5, 0.5])
 
     def automaton(self) -> Automaton:
         return Automaton(self.terms, self.spelled)
@@ -222,10 +222,9 @@ def find_hits(text: str | None, automaton: Automaton, model: Model) -> tuple[lis
 
 
 def features(hits: list[Hit], n_words: int) -> list[float]:
-    """Logarithms of the summed weights of exact hits, of misspelled ones, and of all a hundred words."""
-    exact = sum(h.weight for h in hits if not h.edits)
-    loose = sum(h.weight for h in hits if h.edits)
-    return [math.log1p(exact), math.log1p(loose), math.log1p(100 * (exact + loose) / (n_words + 20))]
+    """Logarithms of the summed weights of all hits, and of the same a hundred words. A misspelled hit weighs less, and else counts as any other."""
+    total = sum(h.weight for h in hits)
+    return [math.log1p(total), math.log1p(100 * total / (n_words + 20))]
 
 
 def signatures(words: list[str]) -> list[int]:

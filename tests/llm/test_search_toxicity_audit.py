@@ -200,6 +200,17 @@ def test_toxic_words_are_learned_and_held_out_rows_scored(spark):
     assert len({r["score"] for r in got if r["doc_id"] == 0}) == 1
 
 
+def test_misspelled_terms_raise_the_score(spark):
+    """Of a held-out text, although no training text misspells anything; quoted they raise it less."""
+    rows, labels, _ = labelled(7, 400)
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    plain = " ".join(["balo mira keba"] * 10)
+    texts = [plain, plain + " idoit grunzeltto idi0t scum", plain + ' "idoit" "scum"', plain + " idiot scum scum idiot"]
+    clean, misspelled, quoted, spelled = (r["score"] for r in toxicity.score(frame(spark, [(i, t, "en") for i, t in enumerate(texts)]), model).orderBy("doc_id").collect())
+    assert clean < quoted < misspelled < spelled
+    assert clean < 0.5 < misspelled
+
+
 def test_toxicity_without_labels(spark):
     rows, labels, _ = labelled(6, 20)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
