@@ -31,8 +31,8 @@ def by_doi(df: DataFrame) -> DataFrame:
 
 
 def by_doi_first(df: DataFrame) -> DataFrame:
-    """Of records with one DOI, the first."""
-    return keep_first(df, X.doi_key(F.col("doi")), F.col("ord"))
+    """Of records with one DOI, as it is written, the first."""
+    return keep_first(df, F.col("doi"), F.col("ord"))
 
 
 def by_arxiv(df: DataFrame) -> DataFrame:
@@ -112,12 +112,23 @@ def chain(df: DataFrame, methods: list[str]) -> DataFrame:
 
 
 def similar_titles(df: DataFrame, title: str, threshold: float = 0.8, limit: int = 10) -> DataFrame:
-    """The limit most similar titles, of these those that reach the threshold."""
+    """The limit most similar titles, of these those that reach the threshold.
+
+    A title shares at most as many characters with the wanted one as both have of each; that bounds its similarity in built-in expressions.
+    The titles of the highest bounds are compared first, and then only those whose bound reaches the threshold and the last of the best.
+    """
 
     @F.pandas_udf("double")
     def ratio(titles: pd.Series) -> pd.Series:
         return titles.map(lambda t: indel_ratio(wanted, t))
 
     wanted = df.sparkSession.range(1).select(X.title_key(F.lit(title)).alias("t")).first()["t"]
-    scored = df.withColumn("similarity", ratio(X.title_key(F.col("title"))))
-    return scored.orderBy(F.desc("similarity"), "ord").limit(limit).where(F.col("similarity") >= threshold)
+    keyed = df.withColumn("__t", X.title_key(F.col("title")))
+    n = F.length("__t")
+    shared = sum((F.least(F.lit(wanted.count(c)), n - F.length(F.replace("__t", F.lit(c), F.lit("")))) for c in sorted(set(wanted))), F.lit(0))
+    bound = F.when(n + len(wanted) == 0, 1.0).otherwise(2 * shared / (n + len(wanted)))
+    near = keyed.withColumn("__bound", bound).where(F.col("__bound") >= threshold - 1e-9)
+    best = near.orderBy(F.desc("__bound"), "ord").limit(limit).withColumn("similarity", ratio("__t")).select("similarity").collect()
+    least = min((r["similarity"] for r in best), default=0.0) if len(best) == limit else 0.0
+    scored = near.where(F.col("__bound") >= least - 1e-9).withColumn("similarity", ratio("__t"))
+    return scored.where(F.col("similarity") >= threshold).orderBy(F.desc("similarity"), "ord").limit(limit).drop("__t", "__bound")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,14 +24,23 @@ LEAST_CHARS = 100
 Provider = Callable[[str], str | None]
 
 
+#: What the offline provider looks for: the first word of a field that the text has is its value.
+WORDS = {"venue_type": ("conference", "journal", "workshop"), "game_type": ("seminar", "matrix", "digital"), "llm_family": ("gpt-4", "gpt", "claude", "llama", "palm", "bert"), "llm_role": ("player", "adjudicator", "analyst")}
+
+
+def word_provider(words: Mapping[str, Sequence[str]] = WORDS) -> Provider:
+    """Answers by plain word rules, always the same for a text."""
+
+    def answer(text: str) -> str:
+        low = text.lower()
+        first = {field: next((w for w in those if w in low), "unknown") for field, those in words.items()}
+        return json.dumps(first | {"open_ended": "yes" if "open-ended" in low else "no", "quantitative": "yes" if re.search(r"\d+(\.\d+)?\s*%", low) else "no"})
+
+    return answer
+
+
 def offline_provider(text: str) -> str:
-    """An answer by plain word rules, always the same for a text."""
-    low = text.lower()
-    first = lambda words, default: next((w for w in words if w in low), default)
-    return json.dumps({
-        "venue_type": first(("conference", "journal", "workshop"), "unknown"), "game_type": first(("seminar", "matrix", "digital"), "unknown"), "open_ended": "yes" if "open-ended" in low else "no",
-        "quantitative": "yes" if re.search(r"\d+(\.\d+)?\s*%", low) else "no", "llm_family": first(("gpt-4", "gpt", "claude", "llama", "palm", "bert"), "unknown"), "llm_role": first(("player", "adjudicator", "analyst"), "unknown"),
-    })
+    return word_provider()(text)
 
 
 def first_answer(providers: Iterable[Provider]) -> Provider:
@@ -55,9 +64,11 @@ def best_text(tex: str = "tex", html: str = "html", pdf: str = "pdf") -> Column:
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in (tex, html, pdf)])
 
 
-def extract(df: DataFrame, text: Column, provider: Provider = offline_provider) -> DataFrame:
+def extract(df: DataFrame, text: Column, provider: Provider = offline_provider, scale: Provider | None = None) -> DataFrame:
     """df with the fields, awscale, extraction_status and extraction_confidence.
 
+    scale: asked for the scale of texts whose fields were found; where its answer doesn't begin with 1 to 7, and without it, the scale is estimated.
+
     Status: pdf_not_found without a text, insufficient_text for a short one, llm_extraction_failed without an answer,
     error where the provider raises, success. Missing required fields become unknown.
     """
@@ -70,14 +81,22 @@ def extract(df: DataFrame, text: Column, provider: Provider = offline_provider)
         except Exception:  # noqa: BLE001 - one text's error is its status, not the task's end
             return None, True
 
+    def rating(text: str) -> str | None:
+        try:
+            return scale(text) if scale else None
+        except Exception:  # noqa: BLE001 - then the scale is estimated
+            return None
+
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             answers = [answer(t) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([a for a, _ in answers], pa.string()), pa.array([e for _, e in answers], pa.bool_())], names=[*batch.schema.names, "__answer", "__failed"])
+            rated = [rating(t) if a is not None else None for t, (a, _) in zip(texts, answers, strict=True)]
+            columns = [pa.array([a for a, _ in answers], pa.string()), pa.array([e for _, e in answers], pa.bool_()), pa.array(rated, pa.string())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "__answer", "__failed", "__rating"])
 
     rows = df.withColumn("__text", X.context(text))
-    asked = rows.mapInArrow(ask, T.StructType([*rows.schema.fields, T.StructField("__answer", T.StringType()), T.StructField("__failed", T.BooleanType())]))
+    asked = rows.mapInArrow(ask, T.StructType([*rows.schema.fields, T.StructField("__answer", T.StringType()), T.StructField("__failed", T.BooleanType()), T.StructField("__rating", T.StringType())]))
     fields = S.json_or_raw(F.col("__answer"), ", ".join(f"{c} string" for c in (*REQUIRED, *OPTIONAL)))
     out = asked.withColumn("__f", fields)
     out = out.withColumns({c: F.coalesce(F.nullif(F.col(f"__f.{c}"), F.lit("")), F.lit("unknown")) for c in REQUIRED} | {c: F.col(f"__f.{c}") for c in OPTIONAL})
@@ -85,9 +104,9 @@ def extract(df: DataFrame, text: Column, provider: Provider = offline_provider)
     status = F.when(F.col("__text").isNull(), "pdf_not_found").when(F.length("__text") < LEAST_CHARS, "insufficient_text").when(F.col("__failed"), "error").when(F.col("__answer").isNull(), "llm_extraction_failed").otherwise("success")
     good = F.col("extraction_status") == "success"
     out = out.withColumn("extraction_status", status)
-    out = out.withColumn("awscale", F.when(good, S.scale_estimate(F.col("game_type"), F.col("quantitative"), F.col("open_ended"))))
+    out = out.withColumn("awscale", F.when(good, scale_by_answer(F.col("__rating"), S.scale_estimate(F.col("game_type"), F.col("quantitative"), F.col("open_ended")))))
     out = out.withColumn("extraction_confidence", F.when(good, S.confidence([F.col(c) for c in REQUIRED], [F.col(c) for c in OPTIONAL])).otherwise(0.0))
-    return out.drop("__text", "__answer", "__failed", "__f")
+    return out.drop("__text", "__answer", "__failed", "__rating", "__f")
 
 
 def pdf_location() -> Column:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.storage import written
+from tessera.storage import new_path, written
 
 
 def _dealt(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -41,6 +42,28 @@ def numbered(df: DataFrame, order: Sequence[Column], name: str = "position") ->
     return placed.withColumn(name, F.col("__start") + F.col("__at") + 1).drop("__part", "__at", "__start")
 
 
+class Pages:
+    """A sorted, written table whose pages are found by the row counts of its parts: a page, however deep, reads the parts that it lies in."""
+
+    def __init__(self, df: DataFrame, order: Sequence[Column]) -> None:
+        self.columns = df.columns
+        self.path = new_path(df.sparkSession, "pages")
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+        placed.write.partitionBy("__part").parquet(self.path)
+        self.table = df.sparkSession.read.parquet(self.path)
+        self.starts, at = [], 0  # a row per part
+        for r in sorted(self.table.groupBy("__part").count().collect(), key=lambda r: r["__part"]):
+            self.starts.append((r["__part"], at, r["count"]))
+            at += r["count"]
+
+    def page(self, start: int, rows: int) -> DataFrame:
+        """Rows start to start + rows, in order."""
+        held = [(p, max(0, start - at), min(n, start + rows - at)) for p, at, n in self.starts if at < start + rows and start < at + n]
+        chosen = reduce(lambda x, y: x | y, [(F.col("__part") == p) & (F.col("__at") >= a) & (F.col("__at") < b) for p, a, b in held], F.lit(False))
+        return self.table.where(F.col("__part").isin([p for p, _, _ in held])).where(chosen).orderBy("__part", "__at").select(*self.columns)
+
+
 def running(df: DataFrame, order: Sequence[Column], amount: str, name: str = "before") -> DataFrame:
     """df with the sum of a whole-number column over all earlier rows."""
     dealt = _dealt(df, order)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scores as S
 from tessera.functions import text as X
-from tessera.operators import caching, dedup, metrics, planning, rules, screening, search, statistics, tagging
+from tessera.operators import caching, dedup, extraction, metrics, ordering, planning, rules, screening, search, statistics, tagging
 from tessera.sources import harvest, pages, records, store
 from tessera.storage import new_path
 from tessera.streaming.progress import Job
@@ -295,7 +295,8 @@ def category_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"WITH {PAPERS} SELECT ord, year FROM papers ORDER BY year DESC, ord LIMIT 40 OFFSET 25")
 def offset_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return harvest.page(papers(spark, sf_dir), [F.desc("year"), F.col("ord")], 25, 40).select("ord", "year")
+    """A page of the sorted, written papers; only the parts that it lies in are read."""
+    return ordering.Pages(papers(spark, sf_dir).select("ord", "year"), [F.desc("year"), F.col("ord")]).page(25, 40)
 
 
 @register(f"WITH {PAPERS} SELECT ord, doi FROM papers WHERE doi = 'https://doi.org/10.1234/AB.7'")
@@ -406,6 +407,47 @@ def job_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.crossJoin(job.output("ord long, chars long").agg(F.sum("chars").alias("title_chars")))  # one row each
 
 
+_RULES = {"venue_type": ("journal", "license"), "game_type": ("matrix", "password", "idiot"), "llm_family": ("gpt", "clown"), "llm_role": ("player", "apache")}
+_first = lambda field: "CASE WHEN NOT ok THEN 'unknown' " + " ".join(f"WHEN contains(low, '{w}') THEN '{w}'" for w in _RULES[field]) + " ELSE 'unknown' END"
+
+
+@register(
+    f"""WITH t AS (SELECT doc_id AS ord, nullif(trim(text, ' '), '') AS t FROM documents),
+c AS (SELECT ord, CASE WHEN length(t) > 30000 THEN substr(t, 1, 15000) || chr(10) || chr(10) || '[... omitted ...]' || chr(10) || chr(10) || right(t, 15000) ELSE t END AS t FROM t),
+l AS (SELECT ord, t, lower(t) AS low, coalesce(length(t) >= 100, false) AS ok FROM c),
+f AS (SELECT ord, CASE WHEN t IS NULL THEN 'pdf_not_found' WHEN NOT ok THEN 'insufficient_text' ELSE 'success' END AS extraction_status, ok, {', '.join(f'{_first(f)} AS {f}' for f in _RULES)},
+             CASE WHEN ok AND contains(low, 'open-ended') THEN 'yes' ELSE 'no' END AS open_ended, CASE WHEN ok AND regexp_matches(low, '[0-9]+([.][0-9]+)?[ \t\n\r\f\v]*%') THEN 'yes' ELSE 'no' END AS quantitative, CASE WHEN ok THEN length(t) % 9 END AS rating FROM l),
+b AS (SELECT *, greatest(1, least(7, (CASE WHEN contains(game_type, 'matrix') THEN 3 ELSE 4 END) + CASE WHEN quantitative = 'yes' THEN 1 ELSE -1 END)) AS one FROM f)
+SELECT ord, extraction_status, venue_type, game_type, llm_family, llm_role, open_ended, quantitative,
+       CASE WHEN ok THEN CASE WHEN rating BETWEEN 1 AND 7 THEN rating ELSE greatest(1, least(7, one + CASE WHEN open_ended = 'yes' THEN -1 ELSE 1 END)) END END::INT AS awscale,
+       round(CASE WHEN ok THEN 0.5 + 0.08 * (2 + (venue_type <> 'unknown')::INT + (game_type <> 'unknown')::INT + (llm_family <> 'unknown')::INT + (llm_role <> 'unknown')::INT) ELSE 0 END, 6)::DOUBLE AS confidence FROM b"""
+)
+def extraction_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction over whole documents as PDF texts: the first provider never answers, the second one does, a third rates."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.lit(None).cast("string").alias("tex"), F.lit(" ").alias("html"), F.col("text").alias("pdf"))
+    provider = extraction.first_answer([lambda text: None, extraction.word_provider(_RULES)])
+    out = extraction.extract(docs, extraction.best_text(), provider, lambda text: f"{len(text) % 9} of 7")
+    fields = ("venue_type", "game_type", "llm_family", "llm_role", "open_ended", "quantitative", "awscale")
+    return out.select("ord", "extraction_status", *fields, F.round("extraction_confidence", 6).alias("confidence"))
+
+
+_TEXTS = "t AS (SELECT 'documents' AS kind, text AS t FROM documents UNION ALL SELECT 'conversations', text FROM conversations), k AS (SELECT DISTINCT kind FROM t)"
+
+
+@register(
+    f"WITH {_TEXTS}, p AS (SELECT * FROM (VALUES {', '.join(f'($${c}$$, $${chr(124).join(ps)}$$)' for c, ps in {**tagging.FAILURES, **tagging.MODELS, **tagging.METRICS, 'insult': (chr(92) + 'b(?:idiot|clown|moron)' + chr(92) + 'b',)}.items())}) v(tag, pattern)) "
+    "SELECT k.kind, tag, count(t.t) AS n FROM k CROSS JOIN p LEFT JOIN t ON t.kind = k.kind AND regexp_matches(t.t, '(?i)' || pattern) GROUP BY ALL"
+)
+def tags_in_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of documents and conversations by shipped tag and one of the tables' own words, zeros included."""
+    patterns = {**tagging.FAILURES, **tagging.MODELS, **tagging.METRICS, "insult": (r"\b(?:idiot|clown|moron)\b",)}
+    texts = [table(spark, sf_dir, kind).select(F.lit(kind).alias("kind"), "text") for kind in ("documents", "conversations")]
+    both = texts[0].unionByName(texts[1])
+    found = both.select("kind", F.explode(tagging.tags(F.col("text"), patterns)).alias("tag")).groupBy("kind", "tag").agg(F.count(F.lit(1)).alias("n"))
+    names = both.select("kind").distinct().select("kind", F.explode(F.array(*map(F.lit, patterns))).alias("tag"))
+    return names.join(found, ["kind", "tag"], "left").select("kind", "tag", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 _GROUPS = "(contains(t, 'this') OR contains(t, 'from')) AND (contains(t, 'that') OR contains(t, 'with')) AND NOT contains(t, 'clown')"
 
 
@@ -551,7 +593,7 @@ def included_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.selected(extracted(spark, sf_dir)).select("ord")
 
 
-@register(f"WITH {PAPERS}, d AS (SELECT *, row_number() OVER (PARTITION BY {DOI_KEY} ORDER BY ord) AS r FROM papers) SELECT ord FROM d WHERE {DOI_KEY} <> '' AND r = 1 OR {DOI_KEY} = ''")
+@register(f"WITH {PAPERS}, d AS (SELECT *, row_number() OVER (PARTITION BY doi ORDER BY ord) AS r FROM papers) SELECT ord FROM d WHERE doi <> '' AND r = 1 OR doi = ''")
 def doi_only_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.by_doi_first(papers(spark, sf_dir)).select("ord")
 

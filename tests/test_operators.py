@@ -258,3 +258,57 @@ def test_trailing_means_cross_stretches(spark):
             last = [x for j, k, x in rows if j == job and i - 10 < k <= i]
             assert got[job, i] == round(sum(last) / len(last), 6)
         assert len(got) == len(rows)
+
+
+def test_near_over_documents_is_the_slice_rule(spark):
+    from tessera.plans.papers import papers as table_of
+    from tessera.plans.queries import QUERIES
+
+    data = "/root/testdata/sf0.001"
+    texts = {r["ord"]: " ".join(x for x in (r["title"], r["abstract"]) if x is not None).lower() for r in table_of(spark, data).select("ord", "title", "abstract").collect()}
+    df = QUERIES["near_search"](spark, data)
+    assert ords(df) == sorted(i for i, t in texts.items() if search.near(t, "this", ("with", "from"), 5))
+    assert not any(w in df._jdf.queryExecution().executedPlan().toString() for w in ("Python", "Pandas", "InArrow"))
+
+
+def test_similar_titles_equal_the_full_scan(spark):
+    rng = random.Random(12)
+    base = "a study of wargames with language models"
+    made = [base[: rng.randint(0, 40)] + "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(0, 30))) for _ in range(300)] + [base, base.upper(), "", base + "s"]
+    df = papers(spark, *[(i, t, "", "", 2020, "", "", "", 0) for i, t in enumerate(made)], (9999, None, "", "", 2020, "", "", "", 0))
+    keys = {r["ord"]: r["k"] for r in df.select("ord", dedup.X.title_key(F.col("title")).alias("k")).collect()}
+    wanted = spark.range(1).select(dedup.X.title_key(F.lit(base)).alias("k")).first()["k"]
+    for threshold, limit in ((0.8, 10), (0.5, 3), (0.99, 10), (0.0, 400)):
+        every = sorted((-dedup.indel_ratio(wanted, k or ""), i) for i, k in keys.items() if k is not None)
+        want = [(i, -s) for s, i in every[:limit] if -s >= threshold]
+        got = [(r["ord"], r["similarity"]) for r in dedup.similar_titles(df, base, threshold, limit).collect()]
+        assert [i for i, _ in got if i in keys and keys[i] is not None] == [i for i, _ in want]
+
+
+def test_deep_pages_read_their_parts_only(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.col("id")).repartition(8)
+    pages = ordering.Pages(df, [F.col("k")])
+    assert len(pages.starts) > 1
+    for start, rows in ((0, 10), (245, 20), (990, 30), (1000, 5), (0, 1000)):
+        assert [r["k"] for r in pages.page(start, rows).collect()] == list(range(start, min(1000, start + rows)))
+    plan = pages.page(990, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "__part" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert ordering.Pages(df.limit(0), [F.col("k")]).page(0, 5).count() == 0
+
+
+def test_raw_dois_are_compared_as_written(spark):
+    df = papers(spark, (1, "t", "", "", 1, "10.1/x", "", "", 0), (2, "t", "", "", 1, "10.1/X", "", "", 0), (3, "t", "", "", 1, "10.1/x", "", "", 0), (4, "t", "", "", 1, "", "", "", 0), (5, "t", "", "", 1, None, "", "", 0))
+    assert ords(dedup.by_doi_first(df)) == [1, 2, 4, 5]
+
+
+def test_an_answer_rates_before_the_estimate(spark):
+    from tessera.operators import extraction
+
+    def scale(text):
+        if "raise" in text:
+            raise ValueError
+        return "6 of 7" if "six" in text else "none"
+
+    df = spark.createDataFrame([(1, "six " + "x" * 120), (2, "y" * 120), (3, "raise " + "z" * 120), (4, "six"), (5, None)], "ord long, t string")
+    got = {r["ord"]: (r["extraction_status"], r["awscale"]) for r in extraction.extract(df, F.col("t"), scale=scale).collect()}
+    assert got == {1: ("success", 6), 2: ("success", 4), 3: ("success", 4), 4: ("insufficient_text", None), 5: ("pdf_not_found", None)}
