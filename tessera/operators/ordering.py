@@ -51,7 +51,7 @@ class Pages:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
         placed.write.partitionBy("__part").parquet(self.path)
-        self.table = df.sparkSession.read.parquet(self.path)
+        self.table = df.sparkSession.read.schema(placed.schema).parquet(self.path)
         self.starts, at = [], 0  # a row per part
         for r in sorted(self.table.groupBy("__part").count().collect(), key=lambda r: r["__part"]):
             self.starts.append((r["__part"], at, r["count"]))
