@@ -31,14 +31,49 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Further names and their labels, which stand word by word wherever they occur.
+# Further names in their usual spellings and their labels, which stand word by word wherever they occur.
 NAMES = {
-    "gnu lesser general public license": "lgpl",
-    "mozilla public license": "mpl",
+    "academic free license": "afl",
+    "apache 2 0": "apache",
+    "artistic license": "artistic",
+    "boost software license": "bsl-1.0",
+    "bsd 2 clause": "bsd-2-clause",
+    "bsd 3 clause": "bsd-3-clause",
+    "bsd license": "bsd",
     "cc by nc": "cc-by-nc",
-    "cc by sa": "cc-by-sa",
     "cc by nd": "cc-by-nd",
+    "cc by sa": "cc-by-sa",
+    "cc0 1 0 universal": "cc0",
+    "common development and distribution license": "cddl",
+    "creative commons attribution 2 5 generic": "cc-by",
+    "creative commons attribution 3 0 unported": "cc-by",
+    "creative commons attribution 4 0 international": "cc-by",
+    "creative commons attribution license": "cc-by",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons attribution noderivs": "cc-by-nd",
+    "creative commons attribution sharealike": "cc-by-sa",
+    "eclipse public license": "epl",
+    "european union public licence": "eupl",
+    "gnu affero general public license": "agpl",
+    "gnu gpl": "gpl",
+    "gnu lesser general public license": "lgpl",
+    "gnu lgpl": "lgpl",
+    "gnu library general public license": "lgpl",
+    "isc license": "isc",
+    "mozilla public license": "mpl",
+    "open database license": "odbl",
+    "python software foundation license": "psf",
+    "sil open font license": "ofl",
+    "zlib license": "zlib",
 }
+# Identifiers in SPDX tags as words, and their labels.
+TAGS = {
+    "agpl 3 0": "agpl", "apache 2 0": "apache", "artistic 2 0": "artistic", "bsd 2 clause": "bsd-2-clause", "bsd 3 clause": "bsd-3-clause", "bsl 1 0": "bsl-1.0", "cc by 4 0": "cc-by", "cc by nc 4 0": "cc-by-nc", "cc by nd 4 0": "cc-by-nd",
+    "cc by sa 4 0": "cc-by-sa", "cc0 1 0": "cc0", "cddl 1 0": "cddl", "epl 2 0": "epl", "eupl 1 2": "eupl", "gpl 2 0": "gpl", "gpl 3 0": "gpl", "isc": "isc", "lgpl 2 1": "lgpl", "lgpl 3 0": "lgpl", "mit": "mit", "mpl 2 0": "mpl",
+    "odbl 1 0": "odbl", "ofl 1 1": "ofl", "unlicense": "unlicense", "wtfpl": "wtfpl", "zlib": "zlib",
+}
+NAMES |= {f"spdx license identifier {tag}": label for tag, label in TAGS.items()}
 #: Notices by label: the text, then phrases of it that must occur word by word.
 NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),

@@ -12,7 +12,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import filter_audit, lexical_search, ngram_join, toxicity
+from tessera.llm import filter_audit, lexical_search, licenses, ngram_join, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = ("item", "rank", "score", "n", "key", "id", "term", "label", "part", "good", "hits")
@@ -285,3 +285,15 @@ def test_complements_of_one_word_are_no_copies(spark, doublings):
         a, b = a + b, b + a
     docs = frame(spark, [(1, a, "en"), (2, b, "en"), (3, a.upper(), "en"), (4, a + b, "en"), (5, b + a, "en")])
     assert sorted(r["doc_id"] for r in ngram_join.keep_one(docs).collect()) == [1, 2, 4, 5]
+
+
+# Licences in their usual spellings.
+
+
+@pytest.mark.parametrize(("text", "label"), [
+    ("released under the BSD license", "bsd"), ("licensed under Apache-2.0", "apache"), ("SPDX-License-Identifier: MIT", "mit"), ("GNU Affero General Public License", "agpl"),
+    ("Creative Commons Attribution 4.0 International License", "cc-by"), ("Eclipse Public License - v 2.0", "epl"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl"), ("an apache rode past two mit students", None),
+])
+def test_names_and_tags_are_found(text, label):
+    index = licenses.Index(licenses.templates(), {}, 10)
+    assert ({t.label for _, _, t in index.find(licenses.words_of("see " + text + " for all"))} or {None}) == {label}
