@@ -17,7 +17,7 @@ from tessera.storage import new_path
 from tessera.streaming.progress import Job
 
 from .papers import LOG, PAPERS, SCREENED, log, papers, screened, table
-from .queries import CITE_KEY, DOI_KEY, LOW, QUERIES, RULES, SQL, register
+from .queries import CITE_KEY, LOW, QUERIES, RULES, SQL, register
 
 __all__ = ["QUERIES", "SQL"]
 
