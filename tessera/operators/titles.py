@@ -1,31 +1,33 @@
-"""Similar titles found without comparing all: a join on pieces that know their place, and the greedy choice among what it links.
+"""Similar titles found in tiles of neighbouring lengths, and the greedy choice among what is linked.
 
-A ratio of 2 LCS / (a + b) above a threshold leaves at most (1 - threshold) (a + b) insertions and deletions. The
-longer title of a pair is cut into one piece more than that, so one piece is whole in the shorter title, and near its place: how far it can
-shift follows from the edits and the two lengths. Join keys are a piece with a class of the shorter length
-(classes a tenth apart) and a band of places, so that even a common piece is spread over many keys.
+A ratio of 2 LCS / (a + b) above a threshold leaves at most (1 - threshold) (a + b) insertions and deletions, so the
+lengths of a pair are near each other. Titles are sorted by scope and length and cut into blocks; each two blocks whose
+lengths can meet are a tile, which a task compares whole (`tiling.py`): first by counts of characters, then by the longest common
+subsequence, 63 characters of one title at a time, until too many are left over. Only titles move, as often as a block has tiles; pairs never do.
 
-Near copies come in groups, of which no pairs are listed: before the join each title is compared with the first title of a few
-buckets (least hashes of its pieces). Titles similar to such a first one wait outside while the rest is joined and
-decided; where their first one stays, they go. Where it goes, they join the rest, and the rest is decided anew. As the greedy
+Near copies come in groups, of which no pairs are listed: before that each title is compared with the first title of a few
+buckets (least hashes of its pieces). Titles similar to such a first one wait outside while the rest is compared and
+decided; where their first one stays, they go. Where it goes, they join the rest and are compared with it. As the greedy
 choice is the only set in which a title stays exactly if no earlier similar one does, the result is the greedy one.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators.ordering import running
+from tessera.operators.tiling import close_pairs, common
 from tessera.storage import new_path, written
 
-#: Lengths of one class lie within this factor.
-STEP = 1.1
+#: What a title weighs in its block: one for each so many characters, as long ones take longer. A block holds no more than BLOCK, and less in small tables.
+WEIGHED, BLOCK = 128, 16384
 #: Least hashes by which a title meets the first title of a bucket.
 BUCKETS = 2
 #: Groups of characters that are counted in each title: an insertion or deletion changes one count by one.
@@ -34,20 +36,7 @@ COUNTED = (*"etaoinshrdlu ", "cmf", "pgwy", "bvkxjqz", "éèêàâçñóíáúä
 
 def indel_ratio(a: str, b: str) -> float:
     """2 LCS / (len a + len b)."""
-    return 2 * _common(a, b) / (len(a) + len(b)) if a or b else 1.0
-
-
-def _common(a: str, b: str) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    full = row = (1 << len(a)) - 1
-    get = where.get
-    for c in b:
-        met = row & get(c, 0)
-        row = (row + met | row - met) & full
-    return len(a) - row.bit_count()
+    return 2 * common(a, b) / (len(a) + len(b)) if a or b else 1.0
 
 
 def reaches(a: str, b: str, threshold: float, strictly: bool) -> bool:
@@ -58,21 +47,6 @@ def reaches(a: str, b: str, threshold: float, strictly: bool) -> bool:
     return ratio > threshold if strictly else ratio >= threshold
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def pairs_of_characters(titles: pd.Series) -> pd.Series:
-    """The title's pairs of neighbouring characters as numbers, the second occurrence of one apart from the first and so on."""
-
-    def numbered_pairs(t: str) -> list[int]:
-        seen: dict[tuple[str, str], int] = {}
-        out = []
-        for pair in zip(t, t[1:], strict=False):
-            seen[pair] = k = seen.get(pair, -1) + 1
-            out.append((k * 0x110000 + ord(pair[0])) * 0x110000 + ord(pair[1]))
-        return out
-
-    return titles.map(numbered_pairs)
-
-
 def indel_at_least(threshold: float) -> Callable[[str, str], bool]:
     return lambda new, kept: reaches(kept, new, threshold, strictly=False)
 
@@ -92,11 +66,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, similar: Callable[[str, str], b
     side = lambda s, *columns: rows.select(F.col("place").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
     edits = most * (F.col("n_a") + F.col("n_b")) + 1e-9
     apart = sum((F.abs(F.col("counts_a")[i] - F.col("counts_b")[i]) for i in range(len(COUNTED))), F.lit(0))
-    # A character put in breaks two neighbour pairs of the shorter title, one left out breaks one; of the two kinds at least as many are left out.
-    shorter, gap = F.least("n_a", "n_b"), F.abs(F.col("n_a") - F.col("n_b"))
-    common = F.size(F.array_intersect("pairs_a", "pairs_b")) >= shorter - 1 - edits - (edits - gap) / 2
     possible = pairs.join(side("a", "n", "counts"), "a").join(side("b", "n", "counts"), "b").where(apart <= edits).select("a", "b")
-    possible = possible.join(side("a", "n", "pairs"), "a").join(side("b", "n", "pairs"), "b").where(common).select("a", "b")
     dealt = possible.repartition(_width(pairs), "a", "b")  # few bytes, much work
     return dealt.join(side("a", "t"), "a").join(side("b", "t"), "b").where(alike("t_b", "t_a")).select("a", "b")
 
@@ -106,14 +76,14 @@ def _width(df: DataFrame) -> int:
 
 
 def spelled(titles: DataFrame, scope: Sequence[Column] = ()) -> DataFrame:
-    """place, t, scope, n, chars, counts and pairs of the titles, as a written table.
+    """place, t, scope, n, chars and counts of the titles, as a written table.
 
     Slices of an array cost what they hold, substrings all that stands before them; and the array must not be made anew for each slice.
     """
     counts = F.array(*[F.length("t") - F.length(F.translate("t", group, "")) for group in COUNTED])
     chars = F.regexp_extract_all("t", F.lit("(?s)."), F.lit(0))
     dealt = titles.select("place", "t", F.xxhash64(*scope, F.lit(0)).alias("scope")).repartition(_width(titles), "place")
-    return written(dealt.select("*", F.length("t").alias("n"), chars.alias("chars"), counts.alias("counts"), pairs_of_characters("t").alias("pairs")), "titles")
+    return written(dealt.select("*", F.length("t").alias("n"), chars.alias("chars"), counts.alias("counts")), "titles")
 
 
 def first_links(rows: DataFrame, similar: Callable[[str, str], bool], most: float) -> DataFrame:
@@ -126,44 +96,34 @@ def first_links(rows: DataFrame, similar: Callable[[str, str], bool], most: floa
     return _verified(pairs, rows, similar, most).groupBy(F.col("b").alias("place")).agg(F.min("a").alias("first"))
 
 
-def candidate_pairs(rows: DataFrame, most: float) -> DataFrame:
-    """Distinct pairs (a before b) of one scope that may differ by at most most (len a + len b) insertions and deletions. rows: as spelled() gives them."""
-    n = F.col("n")
-    size_class = lambda length: F.floor(F.log(length.cast("double")) / math.log(STEP) + 1e-9).cast("int")
-    low_of = lambda c: F.pow(F.lit(STEP), c)
-    width = lambda c: F.greatest(F.lit(2), F.floor(low_of(c) * most)).cast("int")
-    # Places are counted from 0. Of the longer title: pieces, one more than the edits can touch.
-    pieces = (F.floor(2 * most * n + 1e-9) + 1).cast("int")
-    longer = rows.withColumn("k", F.least(pieces, n))
-    start = lambda i: F.floor(i * F.col("n") / F.col("k")).cast("int")
-    cut = longer.select("place", "scope", "n", F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda i: F.struct(start(i).alias("p"), F.xxhash64(F.slice("chars", start(i) + 1, start(i + 1) - start(i))).alias("g")))).alias("x")).select("place", "scope", "n", "x.*")
-    shortest = F.ceil(F.col("n") * (1 - most) / (1 + most) - 1e-9).cast("int")
-    classed = cut.withColumn("c", F.explode(F.sequence(size_class(F.greatest(F.lit(1), shortest)), size_class(F.col("n")))))
-    least, longest = F.greatest(shortest.cast("double"), low_of(F.col("c"))), F.least(low_of(F.col("c") + 1), F.col("n").cast("double"))
-    left = (most * (F.col("n") + least) + F.col("n") - least) / 2
-    right = (most * (F.col("n") + longest) - F.col("n") + longest) / 2
-    band = lambda at: F.floor(at / width(F.col("c"))).cast("int")
-    lowest = F.greatest(F.lit(0), band(F.col("p") - left - 1e-9))
-    probes = classed.select("place", "scope", "n", "p", "g", "c", F.explode(F.sequence(lowest, F.greatest(lowest, band(F.col("p") + right + 1e-9)))).alias("band"))
-    # Of the shorter one: every window of a length that pieces have.
-    top = math.ceil(1 / (2 * most)) if most > 0 else None
-    rest = 1 - (top - 1) * 2 * most if top else 0
-    if top is None:  # equal titles only: the whole title is the piece
-        lengths = F.array(n)
-    else:
-        every = F.sequence(F.lit(1), F.lit(top))
-        lengths = F.when(n >= (top - 1) / rest, F.array(F.lit(max(1, top - 1)), F.lit(top))).otherwise(every) if rest > 1e-9 else every
-    windows = rows.select("place", "scope", "n", "chars", size_class(n).alias("c"), F.explode(F.array_distinct(lengths)).alias("q")).where("q <= n")
-    windows = windows.select("place", "scope", "n", "c", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("n") - F.col("q") + 1), lambda i: F.xxhash64(F.slice("chars", i, F.col("q"))))).alias("p", "g"))
-    windows = windows.withColumn("band", band(F.col("p")))
-    keyed = lambda df: df.select("place", "n", "p", F.xxhash64("scope", "g", "c", "band").alias("key"))
-    x, y = keyed(probes).alias("x"), keyed(windows).alias("y")
-    longer_first = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.place") < F.col("y.place")))
-    edits, shorter = most * (F.col("x.n") + F.col("y.n")) + 1e-9, F.col("x.n") - F.col("y.n")
-    shift = F.col("y.p") - F.col("x.p")
-    near = (shorter <= edits) & (shift >= -(edits + shorter) / 2) & (shift <= (edits - shorter) / 2)
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & longer_first & near)
-    return met.select(F.least("x.place", "y.place").alias("a"), F.greatest("x.place", "y.place").alias("b")).distinct()
+def candidate_pairs(rows: DataFrame, most: float, similar: Callable[[str, str], bool] | None = None, fresh: DataFrame | None = None) -> DataFrame:
+    """Pairs (a before b) of one scope that differ by at most most (len a + len b) insertions and deletions. rows: as spelled() gives them.
+
+    Of these only what similar(b, a) accepts, if it is given, and only pairs with one of the places of fresh, if that is given.
+    A few pairs more may come where rare characters count as one (see tiling.py).
+    """
+    marked = rows.withColumn("fresh", F.lit(True)) if fresh is None else rows.join(fresh.select("place", F.lit(True).alias("fresh")), "place", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
+    weight = F.greatest(F.lit(1), F.floor(F.col("n") / WEIGHED)).cast("long")
+    columns = ["place", "t", "scope", "n", "counts", "fresh"]
+    sorted_ = written(running(marked.select(*columns, weight.alias("w")), [F.col("scope"), F.col("n"), F.col("place")], "w"), "titles-sorted")
+    total = sorted_.agg(F.sum("w")).first()[0] or 0
+    block = min(BLOCK, max(256, total // (4 * _width(rows)) + 1))
+    placed = sorted_.withColumn("block", F.floor(F.col("before") / block))
+    ends = placed.groupBy("block").agg(F.min(F.struct("scope", "n")).alias("low"), F.max(F.struct("scope", "n")).alias("high"), F.max("fresh").alias("fresh"))
+    x, y = ends.alias("x"), ends.alias("y")
+    met = (F.col("x.high.scope") == F.col("y.low.scope")) & (F.col("y.low.n") - F.col("x.high.n") <= most * (F.col("y.low.n") + F.col("x.high.n")) + 1e-9)
+    tiles = x.join(y, (F.col("x.block") == F.col("y.block")) | ((F.col("x.block") < F.col("y.block")) & met)).where("x.fresh or y.fresh").select(F.col("x.block").alias("i"), F.col("y.block").alias("j"))
+    # A row per two blocks; each title goes to the tiles of its block.
+    tiles = written(tiles.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")), "titles-tiles")
+    dealt = placed.drop("before", "w").join(F.broadcast(tiles), "block")
+
+    def compared(table: pa.Table) -> pa.Table:
+        pairs = close_pairs(table, most, similar)
+        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+    kind = rows.schema["place"].dataType
+    out = dealt.groupBy("i", "j").applyInArrow(compared, "a long, b long")
+    return out.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b"))
 
 
 def greedy_losers(links: DataFrame, name: str) -> DataFrame:
@@ -193,15 +153,26 @@ def greedily_dropped(titles: DataFrame, threshold: float, similar: Callable[[str
     titles: place (unique), t (neither null nor empty). similar(new, kept) implies an indel_ratio of threshold or more.
     """
     most = 1.0 - threshold
-    rows = spelled(titles, scope)
+    rows = spelled(_accompanied(titles, scope), scope)
     linked = written(first_links(rows, similar, most), "titles-first")
     # One that hangs on a title which hangs itself is decided with the rest.
     waiting = written(linked.join(linked.select(F.col("place").alias("first")), "first", "left_anti").select("place", "first"), "titles-waiting")
+    rest = rows.join(waiting.select("place"), "place", "left_anti")
+    links = written(candidate_pairs(rest, most, similar), "titles-links")
     while True:
-        rest = rows.join(waiting.select("place"), "place", "left_anti")
-        links = written(_verified(candidate_pairs(rest, most), rest, similar, most), "titles-links")
         gone = greedy_losers(links, "titles")
         loose = written(waiting.join(gone.withColumnRenamed("place", "first"), "first", "left_semi").select("place"), "titles-loose")
         if loose.isEmpty():
             return gone.unionByName(waiting.select("place"))
         waiting = written(waiting.join(loose, "place", "left_anti"), "titles-waiting")
+        rest = rows.join(waiting.select("place"), "place", "left_anti")
+        links = written(links.unionByName(candidate_pairs(rest, most, similar, loose)), "titles-links")
+
+
+def _accompanied(titles: DataFrame, scope: Sequence[Column]) -> DataFrame:
+    """The titles whose scope holds another one; the others have nothing to be similar to. Numbers of scopes move, not titles, before that is known."""
+    if not scope:
+        return titles
+    of = F.xxhash64(*scope)
+    shared = titles.groupBy(of.alias("__of")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__of")
+    return titles.withColumn("__of", of).join(shared, "__of", "left_semi").drop("__of")

@@ -600,9 +600,9 @@ def doi_only_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def global_title_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.by_similar_titles_anywhere(papers(spark, sf_dir)).select("ord")
+    return dedup.by_similar_titles_anywhere(papers(spark, sf_dir).select("ord", "title", "year")).select("ord")  # what isn't asked for would be written too
 
 
 @register()
 def production_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.production_chain(papers(spark, sf_dir)).select("ord")
+    return dedup.production_chain(papers(spark, sf_dir).select("ord", "title", "year", "doi", "arxiv_id", "url")).select("ord")

@@ -167,6 +167,41 @@ def test_candidate_pairs_lose_no_link(spark, threshold):
     assert got and pairs.count() < len(made) * (len(made) - 1) / 2
 
 
+def test_long_titles_of_one_language_are_no_candidates(spark):
+    """Long titles share all their short pieces; only pairs within the edits come, and a later title is compared with all others."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 7))) for _ in range(60)]
+    made = [" ".join(rng.choice(words) for _ in range(60))[: rng.randint(230, 300)] for _ in range(60)]
+    made += [t[:100] + "zz" + t[110:] for t in made[:5]]
+    rows = titles.spelled(spark.createDataFrame(list(enumerate(made)), "place long, t string"))
+    want = {(i, j) for i in range(len(made)) for j in range(i + 1, len(made)) if titles.indel_ratio(made[i], made[j]) >= 0.9}
+    assert {(r["a"], r["b"]) for r in titles.candidate_pairs(rows, 0.1).collect()} == want and len(want) >= 5
+    fresh = spark.createDataFrame([(2,), (61,)], "place long")
+    got = {(r["a"], r["b"]) for r in titles.candidate_pairs(rows, 0.1, titles.indel_at_least(0.9), fresh).collect()}
+    assert got == {p for p in want if {2, 61} & set(p)}
+
+
+@pytest.mark.parametrize("few", [0, 96])
+def test_pairs_within_the_edits(few, monkeypatch):
+    """Rows of words of 63 characters, and few pairs one by one; ends of words, characters that share a number, empty rests."""
+    import numpy as np
+
+    from tessera.operators import tiling
+
+    monkeypatch.setattr(tiling, "FEW", few)
+    rng = random.Random(9)
+    made = ["a", "ab", "x" * 63, "x" * 64, "é" * 126]
+    while len(made) < 120:
+        t = list(rng.choice(made)) if rng.random() < 0.7 else [rng.choice("abcdefg ") for _ in range(rng.choice([1, 5, 62, 63, 64, 126, 127, 300]))]
+        for _ in range(rng.randint(0, 1 + len(t) // 6)):
+            t.insert(rng.randrange(len(t) + 1), rng.choice("abyz é𝒜")) if rng.random() < 0.5 or len(t) < 2 else t.pop(rng.randrange(len(t)))
+        made.append("".join(t))
+    spelled, (a, b) = tiling.Spelled(made), np.triu_indices(len(made), 1)
+    for most in (0.02, 0.1, 0.5):
+        want = [len(made[i]) + len(made[j]) - 2 * tiling.common(made[i], made[j]) <= most * (len(made[i]) + len(made[j])) + 1e-9 for i, j in zip(a, b, strict=True)]
+        assert tiling.within(spelled, a, b, most).tolist() == want and any(want)
+
+
 def test_groups_of_near_titles_hang_on_their_first(spark):
     """A large group of near copies: its pairs aren't listed, and the greedy result is the same."""
     base = "a rather long title about the very common subject of reviews in medicine"
