@@ -347,3 +347,14 @@ def test_an_answer_rates_before_the_estimate(spark):
     df = spark.createDataFrame([(1, "six " + "x" * 120), (2, "y" * 120), (3, "raise " + "z" * 120), (4, "six"), (5, None)], "ord long, t string")
     got = {r["ord"]: (r["extraction_status"], r["awscale"]) for r in extraction.extract(df, F.col("t"), scale=scale).collect()}
     assert got == {1: ("success", 6), 2: ("success", 4), 3: ("success", 4), 4: ("insufficient_text", None), 5: ("pdf_not_found", None)}
+
+
+def test_dedup_queries_write_no_texts(spark, monkeypatch):
+    """What is numbered is written; of papers only the columns that the steps need."""
+    from tessera.plans.reports import QUERIES
+
+    seen, write = [], ordering.written
+    monkeypatch.setattr(ordering, "written", lambda df, name: seen.append(df.columns) or write(df, name))
+    for name in ("production_dedup", "global_title_dedup"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen and not any({"abstract", "authors"} & set(c) for c in seen)
