@@ -358,3 +358,11 @@ def test_dedup_queries_write_no_texts(spark, monkeypatch):
     for name in ("production_dedup", "global_title_dedup"):
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert seen and not any({"abstract", "authors"} & set(c) for c in seen)
+
+
+def test_titles_alone_in_their_scope_are_not_spelled(spark, monkeypatch):
+    seen, spell = [], titles.spelled
+    monkeypatch.setattr(titles, "spelled", lambda rows, scope=(): seen.append(sorted(r["place"] for r in rows.collect())) or spell(rows, scope))
+    rows = spark.createDataFrame([(1, "abcdefghijk", "x"), (2, "abcdefghijkl", "x"), (3, "abcdefghijk", "y"), (4, "else", None), (5, "else", None)], "place long, t string, s string")
+    gone = titles.greedily_dropped(rows, 0.9, titles.indel_at_least(0.9), [F.col("s")])
+    assert {r["place"] for r in gone.collect()} == {2, 5} and seen == [[1, 2, 4, 5]]
