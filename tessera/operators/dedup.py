@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as X
 from tessera.operators.ordering import numbered
 from tessera.operators.titles import greedily_dropped, indel_at_least, indel_ratio, matcher_above
+from tessera.storage import written
 
 
 def keep_first(df: DataFrame, key: Column, *order: Column, blanks: bool = True) -> DataFrame:
@@ -115,6 +116,7 @@ def similar_titles(df: DataFrame, title: str, threshold: float = 0.8, limit: int
 
     A title shares at most as many characters with the wanted one as both have of each; that bounds its similarity in built-in expressions.
     The titles of the highest bounds are compared first, and then only those whose bound reaches the threshold and the last of the best.
+    Keys and bounds are written first, as a condition on them would make the key anew for each character that it counts. df is written with them, so give only columns that are wanted.
     """
 
     @F.pandas_udf("double")
@@ -126,7 +128,7 @@ def similar_titles(df: DataFrame, title: str, threshold: float = 0.8, limit: int
     n = F.length("__t")
     shared = sum((F.least(F.lit(wanted.count(c)), n - F.length(F.replace("__t", F.lit(c), F.lit("")))) for c in sorted(set(wanted))), F.lit(0))
     bound = F.when(n + len(wanted) == 0, 1.0).otherwise(2 * shared / (n + len(wanted)))
-    near = keyed.withColumn("__bound", bound).where(F.col("__bound") >= threshold - 1e-9)
+    near = written(keyed.withColumn("__bound", bound), "titles-bounds").where(F.col("__bound") >= threshold - 1e-9)
     best = near.orderBy(F.desc("__bound"), "ord").limit(limit).withColumn("similarity", ratio("__t")).select("similarity").collect()
     least = min((r["similarity"] for r in best), default=0.0) if len(best) == limit else 0.0
     scored = near.where(F.col("__bound") >= least - 1e-9).withColumn("similarity", ratio("__t"))

@@ -104,7 +104,7 @@ def fuzzy_title_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def similar_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.similar_titles(papers(spark, sf_dir), "The and attion to thanedble the, anea. Eriner thanea.", 0.5).select("ord", "title", "similarity")
+    return dedup.similar_titles(papers(spark, sf_dir).select("ord", "title"), "The and attion to thanedble the, anea. Eriner thanea.", 0.5).select("ord", "title", "similarity")
 
 
 INCLUDE, EXCLUDE = ("this", "with", "from"), ("clown",)

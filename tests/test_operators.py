@@ -366,3 +366,10 @@ def test_titles_alone_in_their_scope_are_not_spelled(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "abcdefghijk", "x"), (2, "abcdefghijkl", "x"), (3, "abcdefghijk", "y"), (4, "else", None), (5, "else", None)], "place long, t string, s string")
     gone = titles.greedily_dropped(rows, 0.9, titles.indel_at_least(0.9), [F.col("s")])
     assert {r["place"] for r in gone.collect()} == {2, 5} and seen == [[1, 2, 4, 5]]
+
+
+def test_similar_titles_make_each_key_once(spark):
+    df = papers(spark, (1, "a study of wargames", "", "", 2020, "", "", "", 0), (2, "other", "", "", 2020, "", "", "", 0))
+    found = dedup.similar_titles(df, "study of wargames", 0.5)
+    assert ords(found) == [1]
+    assert "regexp" not in found._jdf.queryExecution().executedPlan().toString().lower()
