@@ -115,7 +115,7 @@ def candidate_pairs(rows: DataFrame, most: float, similar: Callable[[str, str],
     tiles = x.join(y, (F.col("x.block") == F.col("y.block")) | ((F.col("x.block") < F.col("y.block")) & met)).where("x.fresh or y.fresh").select(F.col("x.block").alias("i"), F.col("y.block").alias("j"))
     # A row per two blocks; each title goes to the tiles of its block.
     tiles = written(tiles.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")), "titles-tiles")
-    dealt = placed.drop("before", "w").join(F.broadcast(tiles), "block")
+    dealt = placed.drop("before", "w").join(F.broadcast(tiles), "block").repartition(_width(rows), "i", "j")  # few bytes, much work: not to be put together
 
     def compared(table: pa.Table) -> pa.Table:
         pairs = close_pairs(table, most, similar)
