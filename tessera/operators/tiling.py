@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters of one title that are compared at a time: a 64-bit number, whose last bit takes the carry.
 WORD = 63
@@ -18,6 +19,12 @@ _OWN = "abcdefghijklmnopqrstuvwxyz .,-0123456789àâçéèêíîïñóôöúûü
 _CODES, _END = 64, 63
 _CODE = np.array([len(_OWN) + c % (_END - len(_OWN)) for c in range(256)], np.uint8)
 _CODE[[ord(c) for c in _OWN]] = range(len(_OWN))
+#: Groups of characters that are counted in each title; all others are one more.
+_GROUPS = (*"etaoinshrdlu ", "cmf", "pgwy", "bvkxjqz")
+_GROUP = np.full(_CODES, len(_GROUPS), np.uint8)
+for _k, _group in enumerate(_GROUPS):
+    _GROUP[_CODE[[ord(c) for c in _group]]] = _k
+_GROUP[_END] = len(_GROUPS) + 1
 
 
 def common(a: str, b: str) -> int:
@@ -47,6 +54,11 @@ class Spelled:
 
         self.texts = texts
 
+    def counts(self) -> np.ndarray:
+        """Groups x titles: how many characters of each group a title has."""
+        groups = _GROUP[self.codes]
+        return np.array([np.add.reduceat(groups == k, self.start, dtype=np.int32) for k in range(len(_GROUPS) + 1)])
+
     def text(self, i: int) -> str:
         return self.texts[i]
 
@@ -134,26 +146,31 @@ def within(s: Spelled, a: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
         carried, first, at = carries, begin, at + WORD
 
 
-def _near_in_counts(n: np.ndarray, scope: np.ndarray, counts: np.ndarray, fresh: np.ndarray, block: np.ndarray, most: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one scope whose lengths and counts of characters allow so few edits, one title with those after it at a time. Rows are sorted by scope and length."""
-    low, high = block[0], block[-1]
-    begin = 0 if low == high else int(np.searchsorted(block, high))
-    last = len(n) if low == high else begin
-    by_count = np.ascontiguousarray(counts.T)
-    scopes_end = np.searchsorted(scope, scope, side="right")
-    longest = np.floor(n * (1 + most) / (1 - most) + 1e-6) if most < 1 else np.full(len(n), np.inf)
-    for i in range(last):
-        start, stop = max(i + 1, begin), int(scopes_end[i])
-        if start >= stop:
+def _near_in_counts(s: Spelled, scope: np.ndarray, fresh: np.ndarray, block: np.ndarray, home: int, own: bool, most: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one scope whose lengths and counts of characters allow so few edits: one fresh title with those of the home block, which come first, sorted by scope and length.
+
+    Two fresh titles meet once: inside the home block, which is compared with itself if own, by the earlier one, and in the tile of the lower block.
+    """
+    n, by_count = s.n, s.counts()
+    at_home = int(np.searchsorted(block != home, True))
+    scope_start, scope_end = (np.searchsorted(scope[:at_home], scope, side=side) for side in ("left", "right"))
+    shortest, longest = (np.ceil(n * (1 - most) / (1 + most) - 1e-6), np.floor(n * (1 + most) / (1 - most) + 1e-6)) if most < 1 else (np.zeros(len(n)), np.full(len(n), np.inf))
+    every = bool(fresh.all())
+    for i in np.flatnonzero(fresh).tolist():
+        if i < at_home and not own:
             continue
+        start, stop = int(scope_start[i]), int(scope_end[i])
         stop = start + int(np.searchsorted(n[start:stop], longest[i], side="right"))
+        start = i + 1 if every and i < at_home else start + int(np.searchsorted(n[start:stop], shortest[i], side="left"))
         if start >= stop:
             continue
         apart = by_count[:, start:stop] - by_count[:, i : i + 1]
         apart = np.abs(apart, out=apart).sum(axis=0, dtype=np.int32)
         found = apart <= most * (n[start:stop] + n[i]) + 1e-9
-        if not fresh[i]:
-            found &= fresh[start:stop]
+        if not every and i < at_home:
+            found &= ~fresh[start:stop] | (np.arange(start, stop) > i)
+        elif block[i] < home:
+            found &= ~fresh[start:stop]
         j = np.flatnonzero(found)
         if len(j):
             yield np.full(len(j), i), j + start
@@ -162,12 +179,13 @@ def _near_in_counts(n: np.ndarray, scope: np.ndarray, counts: np.ndarray, fresh:
 def close_pairs(table: pa.Table, most: float, similar: Callable[[str, str], bool] | None = None) -> tuple[list[int], list[int]]:
     """Places (the earlier one first) of the pairs of a tile that differ by at most most (len a + len b) insertions and deletions and, if given, are similar(later, earlier).
 
-    table: place, t, scope, n, counts, fresh, block, of one or two blocks. Pairs without a fresh title aren't looked at, nor are pairs inside one of two blocks.
+    table: place, t, scope, fresh, block, i and j of a tile. Titles of block i are compared with each other, if j is i, and with the others. Pairs without a fresh title aren't looked at.
     """
-    table = table.sort_by([("block", "ascending"), ("scope", "ascending"), ("n", "ascending"), ("place", "ascending")])
+    home, own = table["i"][0].as_py(), table["i"][0] == table["j"][0]
+    table = table.append_column("guest", pc.not_equal(table["block"], home)).append_column("n", pc.utf8_length(table["t"]))
+    table = table.sort_by([("guest", "ascending"), ("scope", "ascending"), ("n", "ascending"), ("place", "ascending")])
     texts, place = table["t"].to_pylist(), table["place"].to_numpy()
-    n, scope, fresh, block = (table[c].to_numpy() for c in ("n", "scope", "fresh", "block"))
-    counts = np.array(table["counts"].to_pylist(), np.int32)
+    scope, fresh, block = (table[c].to_numpy() for c in ("scope", "fresh", "block"))
     s = Spelled(texts)
     first, second = [], []
 
@@ -190,7 +208,7 @@ def close_pairs(table: pa.Table, most: float, similar: Callable[[str, str], bool
 
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
-    for pair in _near_in_counts(n, scope, counts, fresh, block, most):
+    for pair in _near_in_counts(s, scope, fresh, block, home, own, most):
         waiting.append(pair)
         held += len(pair[0])
         if held >= 16 * PAIRS:

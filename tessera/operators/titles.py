@@ -3,7 +3,8 @@
 A ratio of 2 LCS / (a + b) above a threshold leaves at most (1 - threshold) (a + b) insertions and deletions, so the
 lengths of a pair are near each other. Titles are sorted by scope and length and cut into blocks; each two blocks whose
 lengths can meet are a tile, which a task compares whole (`tiling.py`): first by counts of characters, then by the longest common
-subsequence, 63 characters of one title at a time, until too many are left over. Only titles move, as often as a block has tiles; pairs never do.
+subsequence, 63 characters of one title at a time, until too many are left over. Only titles move, as often as a block has tiles that
+they can have a partner in; pairs never do. There are BLOCKS blocks however many titles or tasks there are, so what moves grows as the titles.
 
 Near copies come in groups, of which no pairs are listed: before that each title is compared with the first title of a few
 buckets (least hashes of its pieces). Titles similar to such a first one wait outside while the rest is compared and
@@ -26,8 +27,10 @@ from tessera.operators.ordering import running
 from tessera.operators.tiling import close_pairs, common
 from tessera.storage import new_path, written
 
-#: What a title weighs in its block: one for each so many characters, as long ones take longer. A block holds no more than BLOCK, and less in small tables.
-WEIGHED, BLOCK = 128, 16384
+#: What a title weighs in its block: one for each so many characters, as long ones take longer. A block holds LEAST or more and no more than BLOCK, as a task holds two.
+WEIGHED, LEAST, BLOCK = 128, 256, 65536
+#: Blocks, unless those would be too large: a title meets a tenth of them or so, as lengths of one language's titles are spread.
+BLOCKS = 64
 #: Least hashes by which a title meets the first title of a bucket.
 BUCKETS = 2
 #: Groups of characters that are counted in each title: an insertion or deletion changes one count by one.
@@ -104,18 +107,16 @@ def candidate_pairs(rows: DataFrame, most: float, similar: Callable[[str, str],
     """
     marked = rows.withColumn("fresh", F.lit(True)) if fresh is None else rows.join(fresh.select("place", F.lit(True).alias("fresh")), "place", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
     weight = F.greatest(F.lit(1), F.floor(F.col("n") / WEIGHED)).cast("long")
-    columns = ["place", "t", "scope", "n", "counts", "fresh"]
-    sorted_ = written(running(marked.select(*columns, weight.alias("w")), [F.col("scope"), F.col("n"), F.col("place")], "w"), "titles-sorted")
+    sorted_ = written(running(marked.select("place", "t", "scope", "n", "fresh", weight.alias("w")), [F.col("scope"), F.col("n"), F.col("place")], "w"), "titles-sorted")
     total = sorted_.agg(F.sum("w")).first()[0] or 0
-    block = min(BLOCK, max(256, total // (4 * _width(rows)) + 1))
+    block = min(BLOCK, max(LEAST, total // BLOCKS + 1))
     placed = sorted_.withColumn("block", F.floor(F.col("before") / block))
     ends = placed.groupBy("block").agg(F.min(F.struct("scope", "n")).alias("low"), F.max(F.struct("scope", "n")).alias("high"), F.max("fresh").alias("fresh"))
-    x, y = ends.alias("x"), ends.alias("y")
-    met = (F.col("x.high.scope") == F.col("y.low.scope")) & (F.col("y.low.n") - F.col("x.high.n") <= most * (F.col("y.low.n") + F.col("x.high.n")) + 1e-9)
-    tiles = x.join(y, (F.col("x.block") == F.col("y.block")) | ((F.col("x.block") < F.col("y.block")) & met)).where("x.fresh or y.fresh").select(F.col("x.block").alias("i"), F.col("y.block").alias("j"))
-    # A row per two blocks; each title goes to the tiles of its block.
-    tiles = written(tiles.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")), "titles-tiles")
-    dealt = placed.drop("before", "w").join(F.broadcast(tiles), "block").repartition(_width(rows), "i", "j")  # few bytes, much work: not to be put together
+    tiles = written(_seats(ends, most, fresh is None), "titles-tiles")
+    tasks = max(_width(rows), min(tiles.select("i", "j").distinct().count(), 4 * _width(rows)))
+    near = F.abs(F.col("n") - F.col("n_met")) <= most * (F.col("n") + F.col("n_met")) + 1e-9
+    seated = placed.join(F.broadcast(tiles), "block").where(F.col("scope_met").isNull() | (F.col("fresh") | ~F.col("guests")) & (F.col("scope") == F.col("scope_met")) & near)
+    dealt = seated.select("place", "t", "scope", "fresh", "block", "i", "j").repartition(tasks, "i", "j")  # few bytes, much work: not to be put together
 
     def compared(table: pa.Table) -> pa.Table:
         pairs = close_pairs(table, most, similar)
@@ -126,6 +127,25 @@ def candidate_pairs(rows: DataFrame, most: float, similar: Callable[[str, str],
     return out.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b"))
 
 
+def _seats(ends: DataFrame, most: float, every: bool) -> DataFrame:
+    """i, j, block: a row for each tile in which titles of a block are compared, and what a title there must be near to: scope_met and n_met, the nearest end of the block that it meets; null where the block meets itself.
+
+    If every title is compared, two blocks meet in a tile (i, j). Else a tile is a block (i, i) whose titles stay, and the fresh ones of all blocks near it are its guests.
+    """
+    x, y = ends.alias("x"), ends.alias("y")
+    met = (F.col("x.high.scope") == F.col("y.low.scope")) & (F.col("y.low.n") - F.col("x.high.n") <= most * (F.col("y.low.n") + F.col("x.high.n")) + 1e-9)
+    two = x.join(y, (F.col("x.block") < F.col("y.block")) & met)
+
+    def seat(i: str, j: str, block: str, end: str) -> Column:
+        return F.struct(F.col(i).alias("i"), F.col(j).alias("j"), F.col(block).alias("block"), F.col(f"{end}.scope").alias("scope_met"), F.col(f"{end}.n").alias("n_met"), F.lit(not every).alias("guests"), F.col(f"{block.split('.')[0]}.fresh").alias("fresh"))
+
+    of = (lambda k: ("x.block", "y.block")) if every else (lambda k: (k, k))
+    seats = two.select(F.explode(F.array(seat(*of("x.block"), "y.block", "x.high"), seat(*of("y.block"), "x.block", "y.low"))).alias("s")).select("s.*").where("fresh").drop("fresh")
+    homes = ends.select("block") if every else ends.where("fresh").select("block").unionByName(seats.select(F.col("i").alias("block"))).distinct()
+    alone = homes.select(F.col("block").alias("i"), F.col("block").alias("j"), "block", F.lit(None).cast("long").alias("scope_met"), F.lit(None).cast("int").alias("n_met"), F.lit(False).alias("guests"))
+    return alone.unionByName(seats)
+
+
 def greedy_losers(links: DataFrame, name: str) -> DataFrame:
     """place of what goes, if each place in turn stays unless it is linked to an earlier one that stays. links: a before b.
 

@@ -373,3 +373,39 @@ def test_similar_titles_make_each_key_once(spark):
     found = dedup.similar_titles(df, "study of wargames", 0.5)
     assert ords(found) == [1]
     assert "regexp" not in found._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_titles_move_as_often_however_many_tasks_there_are(spark, monkeypatch):
+    """Blocks were as many as four times the shuffle partitions, and a title moves to a tenth of the blocks or more."""
+    monkeypatch.setattr(titles, "WEIGHED", 1)
+    rng = random.Random(14)
+    made = ["".join(rng.choice("abcdefghij ") for _ in range(rng.randint(90, 110))) for _ in range(300)]
+    rows, seen, write, before = titles.spelled(spark.createDataFrame(list(enumerate(made)), "place long, t string")), [], titles.written, spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(titles, "written", lambda df, name: seen.append(df.count()) or write(df, name) if name == "titles-tiles" else write(df, name))
+    for partitions in ("4", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        titles.candidate_pairs(rows, 0.1)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
+
+
+@pytest.mark.parametrize("blocks", [1, 5, 40])
+def test_pairs_of_many_blocks_come_once(spark, monkeypatch, blocks):
+    """Blocks that hold ends of several scopes and scopes that reach over several blocks; all pairs, and those of later titles only."""
+    for name, value in (("WEIGHED", 1), ("LEAST", 1), ("BLOCKS", blocks)):
+        monkeypatch.setattr(titles, name, value)
+    rng = random.Random(13)
+    made: list[str] = []
+    while len(made) < 110:
+        t = list(rng.choice(made)) if made and rng.random() < 0.7 else [rng.choice("abcdefgh ") for _ in range(rng.randint(10, 90))]
+        for _ in range(rng.randint(0, 6)):
+            t.insert(rng.randrange(len(t) + 1), rng.choice("xyzé")) if rng.random() < 0.5 else t.pop(rng.randrange(len(t)))
+        made.append("".join(t))
+    scopes = [rng.choice("aaaab") for _ in made[10:]] + list("cdefghijkk")
+    rows = titles.spelled(spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(zip(made, scopes, strict=True))], "place long, t string, s string"), [F.col("s")])
+    want = [(i, j) for i in range(len(made)) for j in range(i + 1, len(made)) if scopes[i] == scopes[j] and titles.indel_ratio(made[i], made[j]) >= 0.9]
+    similar = titles.indel_at_least(0.9)
+    assert sorted((r["a"], r["b"]) for r in titles.candidate_pairs(rows, 0.1, similar).collect()) == want and len(want) > 40
+    for later in ({3}, set(range(0, 110, 9)), set(range(50, 90)), set(range(110))):
+        fresh = spark.createDataFrame([(i,) for i in sorted(later)], "place long")
+        assert sorted((r["a"], r["b"]) for r in titles.candidate_pairs(rows, 0.1, similar, fresh).collect()) == [p for p in want if later & set(p)]
