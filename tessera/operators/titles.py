@@ -8,8 +8,8 @@ they can have a partner in; pairs never do. There are BLOCKS blocks however many
 
 Near copies come in groups, of which no pairs are listed: before that each title is compared with the first title of a few
 buckets (least hashes of its pieces). Titles similar to such a first one wait outside while the rest is compared and
-decided; where their first one stays, they go. Where it goes, they join the rest and are compared with it. As the greedy
-choice is the only set in which a title stays exactly if no earlier similar one does, the result is the greedy one.
+decided; where their first one stays, they go. Where it goes, they wait for a title for which it goes, if they are similar to
+that, too; only the others join the rest and are compared with it. As the greedy choice is the only set in which a title stays exactly if no earlier similar one does, the result is the greedy one.
 """
 
 from __future__ import annotations
@@ -181,12 +181,27 @@ def greedily_dropped(titles: DataFrame, threshold: float, similar: Callable[[str
     links = written(candidate_pairs(rest, most, similar), "titles-links")
     while True:
         gone = greedy_losers(links, "titles")
-        loose = written(waiting.join(gone.withColumnRenamed("place", "first"), "first", "left_semi").select("place"), "titles-loose")
+        loose = written(waiting.join(gone.withColumnRenamed("place", "first"), "first", "left_semi").select("place", "first"), "titles-loose")
         if loose.isEmpty():
             return gone.unionByName(waiting.select("place"))
-        waiting = written(waiting.join(loose, "place", "left_anti"), "titles-waiting")
+        hung = written(_hung_again(loose, links, gone, rows, similar, most), "titles-hung")
+        fresh = written(loose.join(hung, "place", "left_anti").select("place"), "titles-fresh")
+        waiting = written(waiting.join(loose, "place", "left_anti").unionByName(hung), "titles-waiting")
+        if fresh.isEmpty():
+            return gone.unionByName(waiting.select("place"))
         rest = rows.join(waiting.select("place"), "place", "left_anti")
-        links = written(links.unionByName(candidate_pairs(rest, most, similar, loose)), "titles-links")
+        links = written(links.unionByName(candidate_pairs(rest, most, similar, fresh)), "titles-links")
+
+
+def _hung_again(loose: DataFrame, links: DataFrame, gone: DataFrame, rows: DataFrame, similar: Callable[[str, str], bool], most: float) -> DataFrame:
+    """place, first: of the loose titles those that are similar to a title for which their first one goes, too. It is earlier and stays, so they wait for that one.
+
+    Only the first and the last such title is tried, so there are at most two pairs a title.
+    """
+    stay = links.join(gone.withColumnRenamed("place", "a"), "a", "left_anti")
+    tried = stay.groupBy(F.col("b").alias("first")).agg(F.array_distinct(F.array(F.min("a"), F.max("a"))).alias("tried"))
+    pairs = loose.join(tried, "first").select(F.explode("tried").alias("a"), F.col("place").alias("b"))
+    return _verified(pairs, rows, similar, most).groupBy(F.col("b").alias("place")).agg(F.min("a").alias("first"))
 
 
 def _accompanied(titles: DataFrame, scope: Sequence[Column]) -> DataFrame:

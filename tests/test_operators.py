@@ -217,6 +217,24 @@ def test_groups_of_near_titles_hang_on_their_first(spark):
     assert gone == want
 
 
+def test_titles_whose_first_goes_hang_on_what_stays(spark, monkeypatch):
+    """The rest is compared with those only that aren't similar to the title for which their first one goes."""
+    kept = "a rather long title about the very common subject of reviews"
+    first = "xxx" + kept[3:]
+    made = [kept, first] + [first[:k] + "z" + first[k + 1 :] for k in range(3, 30)] + [first[:40] + "yyyy" + first[44:], "yyyyyyy" + kept[7:]]
+    rows = spark.createDataFrame(list(enumerate(made)), "place long, t string")
+    monkeypatch.setattr(titles, "first_links", lambda *_: spark.createDataFrame([(i, 1) for i in range(2, len(made))], "place long, first long"))
+    seen, pairs = [], titles.candidate_pairs
+    monkeypatch.setattr(titles, "candidate_pairs", lambda rest, most, similar, fresh=None: seen.append(fresh and ords(fresh.withColumnRenamed("place", "ord"))) or pairs(rest, most, similar, fresh))
+    gone = {r["place"] for r in titles.greedily_dropped(rows, 0.9, titles.indel_at_least(0.9)).collect()}
+    stay: list[int] = []
+    for i, t in enumerate(made):
+        if not any(titles.indel_ratio(made[k], t) >= 0.9 for k in stay):
+            stay.append(i)
+    far = [i for i in range(2, len(made)) if titles.indel_ratio(kept, made[i]) < 0.9]
+    assert gone == set(range(len(made))) - set(stay) and seen == [None, far] and len(stay) > 1 and len(far) < 3
+
+
 def test_no_titles(spark):
     assert titles.greedily_dropped(spark.createDataFrame([], "place long, t string"), 0.9, titles.indel_at_least(0.9)).count() == 0
 
