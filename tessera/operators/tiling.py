@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ _GROUP = np.full(_CODES, len(_GROUPS), np.uint8)
 for _k, _group in enumerate(_GROUPS):
     _GROUP[_CODE[[ord(c) for c in _group]]] = _k
 _GROUP[_END] = len(_GROUPS) + 1
+#: Pieces of so many characters are looked for, by 2^PIECES hashes and ZONES stretches of a title; titles of LONG or more are met in parts, and places are looked up BATCH at a time.
+SIZES, PIECES, ZONES, LONG, BATCH = (4, 3), 13, 32, 512, 1 << 15
 
 
 def common(a: str, b: str) -> int:
@@ -40,6 +42,32 @@ def common(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+def counted(texts: list[str], groups: Sequence[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Titles x groups: how many characters of each group a title has; and titles x buckets: least hashes of its pieces of four characters (a shorter title is one piece)."""
+    end = "\x00\x00\x00\x00"  # no piece reaches into the next title
+    points = np.frombuffer((end.join(texts) + 2 * end).encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = np.array([len(t) for t in texts], np.int64)
+    many = n + len(end)
+    start, whole = np.concatenate(([0], np.cumsum(many)[:-1])).astype(np.int64), int(many.sum())
+    group = np.full(256, len(groups), np.uint8)
+    for k, characters in enumerate(groups):
+        group[[ord(c) for c in characters]] = k
+    which = np.where(points[:whole] < 256, group[points[:whole] & 255], len(groups))
+    counts = np.stack([np.add.reduceat(which == k, start, dtype=np.int32) for k in range(len(groups))], axis=1)
+    hashes = np.zeros(whole, np.uint64)
+    for k in range(4):
+        hashes = (hashes ^ points[k : k + whole]) * np.uint64(0x9E3779B97F4A7C15)
+        hashes ^= hashes >> np.uint64(29)
+    beyond = np.repeat(start + np.maximum(n - 4, 0), many) < np.arange(whole)
+    least = np.empty((len(texts), buckets), np.int64)
+    for k in range(buckets):
+        mixed = (hashes ^ np.uint64(k)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(31)
+        mixed[beyond] = np.iinfo(np.uint64).max
+        least[:, k] = np.minimum.reduceat(mixed, start).view(np.int64)
+    return counts, least
+
+
 class Spelled:
     """Titles as one array of character numbers with a closing one after each title."""
 
@@ -62,6 +90,15 @@ class Spelled:
     def text(self, i: int) -> str:
         return self.texts[i]
 
+    def pieces(self, size: int, first: int, last: int) -> np.ndarray:
+        """Hashes of the pieces of size characters of titles first to last - 1, one for each character; those that reach over an end are no pieces."""
+        start, stop = (int(self.start[first]), int(self.end[last - 1]) + 1) if last > first else (0, 0)
+        codes = np.concatenate((self.codes[start:stop], np.full(size, _END, np.uint8)))
+        hashes = np.zeros(stop - start, np.uint32)
+        for k in range(size):
+            hashes = (hashes << np.uint32(6)) | codes[k : k + stop - start]
+        return ((hashes * np.uint32(2654435761)) >> np.uint32(32 - PIECES)).astype(np.int64)
+
     def apart(self, a: np.ndarray, b: np.ndarray, at: int) -> np.ndarray:
         """By how much the counts of characters from place at on differ, summed up: a lower bound of the edits there."""
         titles, row = np.unique(np.concatenate((a, b)), return_inverse=True)
@@ -146,13 +183,14 @@ def within(s: Spelled, a: np.ndarray, b: np.ndarray, most: float) -> np.ndarray:
         carried, first, at = carries, begin, at + WORD
 
 
-def _near_in_counts(s: Spelled, scope: np.ndarray, fresh: np.ndarray, block: np.ndarray, home: int, own: bool, most: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one scope whose lengths and counts of characters allow so few edits: one fresh title with those of the home block, which come first, sorted by scope and length.
+def _near_in_parts(s: Spelled, scope: np.ndarray, fresh: np.ndarray, block: np.ndarray, home: int, own: bool, most: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one scope whose lengths, counts of characters and shared pieces allow so few edits: one fresh title with those of the home block, which come first, sorted by scope and length.
 
     Two fresh titles meet once: inside the home block, which is compared with itself if own, by the earlier one, and in the tile of the lower block.
     """
     n, by_count = s.n, s.counts()
     at_home = int(np.searchsorted(block != home, True))
+    shared = Shared(s, at_home, most)
     scope_start, scope_end = (np.searchsorted(scope[:at_home], scope, side=side) for side in ("left", "right"))
     shortest, longest = (np.ceil(n * (1 - most) / (1 + most) - 1e-6), np.floor(n * (1 + most) / (1 - most) + 1e-6)) if most < 1 else (np.zeros(len(n)), np.full(len(n), np.inf))
     every = bool(fresh.all())
@@ -171,9 +209,72 @@ def _near_in_counts(s: Spelled, scope: np.ndarray, fresh: np.ndarray, block: np.
             found &= ~fresh[start:stop] | (np.arange(start, stop) > i)
         elif block[i] < home:
             found &= ~fresh[start:stop]
-        j = np.flatnonzero(found)
+        j = shared.near(i, np.flatnonzero(found) + start)
         if len(j):
-            yield np.full(len(j), i), j + start
+            yield np.full(len(j), i), j
+
+
+class Shared:
+    """How many pieces of the titles of the home block (the first at_home) another title can share with them, each near its place.
+
+    Of pieces that don't overlap an edit destroys one at most. Of those at each place a lost character destroys size, and one that comes size - 1.
+    A piece that stays moves by no more places than characters are lost or come before it. A title is cut into zones of 2^k places, ZONES at most.
+    """
+
+    def __init__(self, s: Spelled, at_home: int, most: float) -> None:
+        self.s, self.most = s, most
+        self.shift = np.maximum(np.frexp(s.n.astype(np.float64))[1].astype(np.int64) - ZONES.bit_length() + 1, 0)
+        # Long titles are met in parts of near lengths, as their pieces have fewer places then.
+        self.part = np.floor(np.log2(np.maximum(s.n, 1)) * np.where(s.n < LONG, 1, 8)).astype(np.int64)
+        self.met = np.zeros(ZONES << PIECES, np.uint8)
+        self.keys: dict[int, np.ndarray] = {}
+        many = s.n[:at_home] + 1
+        zones = np.arange(int(many.sum())) - np.repeat(s.start[:at_home], many) >> np.repeat(self.shift[:at_home], many)
+        for size in SIZES:
+            keys = (s.pieces(size, 0, at_home) * ZONES + np.minimum(zones, ZONES - 1)).astype(np.int32)
+            self.keys[size] = np.concatenate((keys, np.zeros(int(s.n.max(initial=0)) + 2, np.int32)))  # titles of a batch are read on over the last end
+
+    def near(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Those of the titles j (sorted by length) that can differ from title i by so few edits."""
+        if not len(j):
+            return j
+        borders = np.flatnonzero(np.diff(self.part[j])) + 1
+        return np.concatenate([self._near(i, part) for part in np.split(j, borders)]) if len(borders) else self._near(i, j)
+
+    def _near(self, i: int, j: np.ndarray) -> np.ndarray:
+        s, n, n_j = self.s, int(self.s.n[i]), self.s.n[j]
+        edits = np.floor(self.most * (n + n_j) + 1e-9).astype(np.int64)
+        lost, come = (edits + n_j - n) // 2, (edits + n - n_j) // 2  # characters that only j has, and only i
+        shift, back, on = int(self.shift[j[0]]), int(come.max()), int(lost.max())
+        for size in SIZES:
+            each = n_j - size + 1 - size * lost - (size - 1) * come
+            if max(int((n_j // size - edits).max()), int(each.max())) <= 0:
+                continue
+            hashes = s.pieces(size, i, i + 1)[: max(0, n - size + 1)] * ZONES
+            place = np.arange(len(hashes))
+            low, high = np.minimum(np.maximum(place - back, 0) >> shift, ZONES - 1), np.minimum(place + on >> shift, ZONES - 1)
+            self.met.fill(0)
+            if len(hashes):
+                zones = low[:, None] + np.arange(int((high - low).max()) + 1)
+                np.minimum(zones, high[:, None], out=zones)
+                zones += hashes[:, None]
+                self.met[zones] = 1
+            for step in (size, 1):
+                keep = self._count(size, step, j, n_j) >= (each if step == 1 else n_j // size - edits)
+                j, n_j, edits, lost, come, each = (v[keep] for v in (j, n_j, edits, lost, come, each))
+                if not len(j):
+                    return j
+        return j
+
+    def _count(self, size: int, step: int, j: np.ndarray, n_j: np.ndarray) -> np.ndarray:
+        """How many pieces of each j, every step places, are met. Shorter titles of a batch are read on over their end, which can only count more."""
+        out, keys, start, at = np.empty(len(j), np.int64), self.keys[size], self.s.start[j], 0
+        while at < len(j):
+            stop = min(len(j), at + max(1, BATCH * step // max(1, int(n_j[at]))))
+            places = np.arange(0, max(0, int(n_j[stop - 1]) - size + 1), step)
+            out[at:stop] = self.met.take(keys.take(start[at:stop, None] + places)).sum(axis=1, dtype=np.int64)
+            at = stop
+        return out
 
 
 def close_pairs(table: pa.Table, most: float, similar: Callable[[str, str], bool] | None = None) -> tuple[list[int], list[int]]:
@@ -208,7 +309,7 @@ def close_pairs(table: pa.Table, most: float, similar: Callable[[str, str], bool
 
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
     held = 0
-    for pair in _near_in_counts(s, scope, fresh, block, home, own, most):
+    for pair in _near_in_parts(s, scope, fresh, block, home, own, most):
         waiting.append(pair)
         held += len(pair[0])
         if held >= 16 * PAIRS:

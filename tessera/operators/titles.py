@@ -14,8 +14,9 @@ that, too; only the others join the rest and are compared with it. As the greedy
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from difflib import SequenceMatcher
+from heapq import heappop, heappush
 
 import pandas as pd
 import pyarrow as pa
@@ -24,11 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.ordering import running
-from tessera.operators.tiling import close_pairs, common
+from tessera.operators.tiling import close_pairs, common, counted
 from tessera.storage import new_path, written
 
-#: What a title weighs in its block: one for each so many characters, as long ones take longer. A block holds LEAST or more and no more than BLOCK, as a task holds two.
-WEIGHED, LEAST, BLOCK = 128, 256, 65536
+#: What a title weighs in its block: one for each so many characters, as long ones take longer, and very long ones as many times that as they hold LENGTHY characters. A block holds LEAST or more and no more than BLOCK, as a task holds two.
+WEIGHED, LENGTHY, LEAST, BLOCK = 128, 4000, 256, 65536
 #: Blocks, unless those would be too large: a title meets a tenth of them or so, as lengths of one language's titles are spread.
 BLOCKS = 64
 #: Least hashes by which a title meets the first title of a bucket.
@@ -56,7 +57,29 @@ def indel_at_least(threshold: float) -> Callable[[str, str], bool]:
 
 def matcher_above(threshold: float) -> Callable[[str, str], bool]:
     """By the standard library's matcher, whose ratio never exceeds indel_ratio; that one is tried first."""
-    return lambda new, kept: reaches(kept, new, threshold, strictly=True) and SequenceMatcher(None, new, kept).ratio() > threshold
+    return lambda new, kept: reaches(kept, new, threshold, strictly=True) and matched_above(new, kept, threshold)
+
+
+def matched_above(a: str, b: str, threshold: float) -> bool:
+    """Whether SequenceMatcher(None, a, b).ratio() is above the threshold: its blocks, those of the largest stretches first, until they suffice or what is left can't."""
+    if not a and not b:
+        return threshold < 1.0
+    matcher, length = SequenceMatcher(None, a, b), len(a) + len(b)
+    matched, left = 0, min(len(a), len(b))
+    stretches = [(-left, 0, len(a), 0, len(b))]
+    while stretches and 2.0 * matched / length <= threshold < 2.0 * (matched + left) / length:
+        least, a_start, a_stop, b_start, b_stop = heappop(stretches)
+        left += least
+        i, j, size = matcher.find_longest_match(a_start, a_stop, b_start, b_stop)
+        if not size:
+            continue
+        matched += size
+        for stretch in ((a_start, i, b_start, j), (i + size, a_stop, j + size, b_stop)):
+            most = min(stretch[1] - stretch[0], stretch[3] - stretch[2])
+            if most > 0:
+                left += most
+                heappush(stretches, (-most, *stretch))
+    return 2.0 * matched / length > threshold
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, similar: Callable[[str, str], bool], most: float) -> DataFrame:
@@ -79,23 +102,27 @@ def _width(df: DataFrame) -> int:
 
 
 def spelled(titles: DataFrame, scope: Sequence[Column] = ()) -> DataFrame:
-    """place, t, scope, n, chars and counts of the titles, as a written table.
+    """place, t, scope, n, counts and least of the titles, as a written table. least: least hashes of a title's pieces, one for each bucket."""
+    dealt = titles.select("place", "t", F.xxhash64(*scope, F.lit(0)).alias("scope")).repartition(_width(titles), "place").select("*", F.length("t").alias("n"))
+    counts, least = pa.list_(pa.int32()), pa.list_(pa.int64())
 
-    Slices of an array cost what they hold, substrings all that stands before them; and the array must not be made anew for each slice.
-    """
-    counts = F.array(*[F.length("t") - F.length(F.translate("t", group, "")) for group in COUNTED])
-    chars = F.regexp_extract_all("t", F.lit("(?s)."), F.lit(0))
-    dealt = titles.select("place", "t", F.xxhash64(*scope, F.lit(0)).alias("scope")).repartition(_width(titles), "place")
-    return written(dealt.select("*", F.length("t").alias("n"), chars.alias("chars"), counts.alias("counts")), "titles")
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                by_group, by_bucket = counted(batch["t"].to_pylist(), COUNTED, BUCKETS)
+                columns = [pa.array(by_group.tolist(), counts), pa.array(by_bucket.tolist(), least)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "counts", "least"])
+
+    schema = T.StructType([*dealt.schema.fields, T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("least", T.ArrayType(T.LongType()))])
+    return written(dealt.mapInArrow(measured, schema), "titles")
 
 
 def first_links(rows: DataFrame, similar: Callable[[str, str], bool], most: float) -> DataFrame:
     """place, first: titles that are similar to the first title of one of their buckets, which is earlier. rows: as spelled() gives them."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n") - 3)), lambda i: F.xxhash64(F.slice("chars", i, 4)))
-    least = [F.struct(F.lit(k).alias("k"), F.array_min(F.transform("grams", lambda g, k=k: F.xxhash64(g, F.lit(k)))).alias("h")) for k in range(BUCKETS)]
-    met = rows.select("place", "scope", grams.alias("grams")).select("place", "scope", F.explode(F.array(*least)).alias("bucket"))
-    firsts = met.groupBy("scope", "bucket").agg(F.min("place").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = met.join(firsts, ["scope", "bucket"]).where("a < place").select("a", F.col("place").alias("b")).distinct()
+    met = rows.select("place", "scope", F.posexplode("least").alias("k", "h"))
+    firsts = met.groupBy("scope", "k", "h").agg(F.min("place").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = met.join(firsts, ["scope", "k", "h"]).where("a < place").select("a", F.col("place").alias("b")).distinct()
     return _verified(pairs, rows, similar, most).groupBy(F.col("b").alias("place")).agg(F.min("a").alias("first"))
 
 
@@ -106,7 +133,7 @@ def candidate_pairs(rows: DataFrame, most: float, similar: Callable[[str, str],
     A few pairs more may come where rare characters count as one (see tiling.py).
     """
     marked = rows.withColumn("fresh", F.lit(True)) if fresh is None else rows.join(fresh.select("place", F.lit(True).alias("fresh")), "place", "left").withColumn("fresh", F.coalesce("fresh", F.lit(False)))
-    weight = F.greatest(F.lit(1), F.floor(F.col("n") / WEIGHED)).cast("long")
+    weight = (F.greatest(F.lit(1), F.floor(F.col("n") / WEIGHED)) * F.greatest(F.lit(1), F.floor(F.col("n") / LENGTHY))).cast("long")
     sorted_ = written(running(marked.select("place", "t", "scope", "n", "fresh", weight.alias("w")), [F.col("scope"), F.col("n"), F.col("place")], "w"), "titles-sorted")
     total = sorted_.agg(F.sum("w")).first()[0] or 0
     block = min(BLOCK, max(LEAST, total // BLOCKS + 1))

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import random
+from difflib import SequenceMatcher
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import scores
-from tessera.operators import dedup, metrics, ordering, rules, screening, search, statistics, tagging, titles
+from tessera.operators import dedup, metrics, ordering, rules, screening, search, statistics, tagging, tiling, titles
 
 PAPERS = "ord long, title string, abstract string, authors string, year int, doi string, arxiv_id string, url string, citations long"
 
@@ -427,3 +430,68 @@ def test_pairs_of_many_blocks_come_once(spark, monkeypatch, blocks):
     for later in ({3}, set(range(0, 110, 9)), set(range(50, 90)), set(range(110))):
         fresh = spark.createDataFrame([(i,) for i in sorted(later)], "place long")
         assert sorted((r["a"], r["b"]) for r in titles.candidate_pairs(rows, 0.1, similar, fresh).collect()) == [p for p in want if later & set(p)]
+
+
+def _edited(rng, text, edits, letters):
+    """edits insertions and deletions, spread evenly, half of each or all of one kind."""
+    kinds = rng.choice(["both", "lost", "come"])
+    out, every = list(text), max(1, len(text) // max(1, edits))
+    for k in range(edits):
+        at = min(len(out) - 1, k * every + rng.randrange(every))
+        if kinds == "come" or kinds == "both" and k % 2:
+            out.insert(at, rng.choice(letters))
+        else:
+            out.pop(at)
+    return "".join(out)
+
+
+def test_titles_that_share_few_pieces_are_not_compared(monkeypatch):
+    """Long titles of one language have much the same counts of characters; every pair of them went into the rows of the common-subsequence table."""
+    rng, seen, compare = random.Random(15), [], tiling.within
+    syllables = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 4))) for _ in range(40)] + [" "] * 12
+    made = ["".join(rng.choice(syllables) for _ in range(180))[: rng.randint(395, 405)] for _ in range(150)]
+    made += [_edited(rng, made[k], 20, "etaoin") for k in range(10)]
+    monkeypatch.setattr(tiling, "within", lambda s, a, b, most: seen.append(len(a)) or compare(s, a, b, most))
+    zeros = [0] * len(made)
+    table = pa.table({"place": list(range(len(made))), "t": made, "scope": zeros, "fresh": [True] * len(made), "block": zeros, "i": zeros, "j": zeros})
+    assert sorted(zip(*tiling.close_pairs(table, 0.1), strict=True)) == [(k, 150 + k) for k in range(10)]
+    assert sum(seen) < 60
+
+
+def test_pieces_lose_no_pair_at_the_limit():
+    """Pairs with as many edits as are allowed, short and long, with rare characters and repetitions, and titles of several scopes behind them."""
+    rng, lost = random.Random(16), 0
+    for length in (0, 1, 3, 5, 8, 20, 60, 150, 511, 700, 1300, 3000):
+        for letters in ("ab", "etaoinshr ", "abcdefghijklmnopqrstuvwxyz éß漢字"):
+            base = "".join(rng.choice(letters) for _ in range(length))
+            made = sorted([base] + [_edited(rng, base, int(length * rng.choice([0.05, 0.1, 0.15, 0.19, 0.2, 0.21])), letters) for _ in range(12 if length else 0)], key=len)
+            s = tiling.Spelled(made)
+            shared = tiling.Shared(s, len(made), 0.1)
+            for i in range(len(made)):
+                near = [j for j in range(len(made)) if j != i and len(made[i]) + len(made[j]) - 2 * tiling.common(made[i], made[j]) <= 0.1 * (len(made[i]) + len(made[j]))]
+                others = np.array([j for j in range(len(made)) if j != i], np.int64)
+                assert set(near) <= set(shared.near(i, others).tolist())
+                lost += len(near)
+    assert lost > 1000
+
+
+def test_the_matcher_ends_early_with_the_same_answer():
+    rng, yes = random.Random(17), 0
+    for _ in range(1500):
+        letters = rng.choice(["ab", "abcdefgh ", "abcdefghijklmnopqrstuvwxyz "])
+        a = "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 30, 150, 400])))
+        b = _edited(rng, a, rng.randint(0, len(a) // rng.choice([4, 8, 20])), letters) if a else rng.choice(["", "a"])
+        for threshold in (0.9, 0.5, 0.97):
+            want = SequenceMatcher(None, a, b).ratio() > threshold
+            assert titles.matched_above(a, b, threshold) == want
+            yes += want
+    assert 500 < yes < 4000
+
+
+def test_counts_and_least_pieces_of_titles():
+    made = ["", "a", "abc", "abcd", "xabcd", "été, ê漢😀", "see the Sea", "abcd"]
+    counts, least = tiling.counted(made, titles.COUNTED, 2)
+    assert counts.tolist() == [[sum(c in g for c in t) for g in titles.COUNTED] for t in made]
+    assert least[3].tolist() == least[7].tolist() and len({tuple(r) for r in least.tolist()}) >= 6
+    alone = [tiling.counted([t], titles.COUNTED, 2)[1][0].tolist() for t in made]
+    assert alone == least.tolist() and all(least[4][k] in (least[3][k], tiling.counted(["xabc"], titles.COUNTED, 2)[1][0][k]) for k in range(2))
